@@ -18,10 +18,10 @@ def parse_float(c: Column) -> Column:
 def parse_int(c: Column, to: str = "int") -> Column:
     """Text to integer, fraction cut toward zero ('17850.0' is 17850).
 
-    Plain digits are cast directly, so integers above 2^53 stay exact.
+    Plain digits are cast directly: integers above 2^53 stay exact, and the
+    pattern is only tried on the texts that are not plain.
     """
-    plain = F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(c).try_cast(to))
-    return F.coalesce(plain, parse_float(c).try_cast(to))
+    return F.coalesce(F.trim(c).try_cast(to), parse_float(c).try_cast(to))
 
 
 def parse_decimal(c: Column, to: str = "decimal(10,2)") -> Column:

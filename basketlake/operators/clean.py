@@ -38,6 +38,7 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
         F.round(col("quantity") * col("unit_price"), 2).cast("decimal(18,2)").alias("line_total"),
         col("invoice_no").startswith("C").alias("is_cancelled"),
         (col("quantity") < 0).alias("is_return"),
+        col("invoice_date").cast("date").alias("full_date"),
         F.date_format("invoice_date", "yyyy-MM").alias("year_month"),
     )
 

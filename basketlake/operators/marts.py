@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlake.functions.amounts import MONEY, avg_exact, change_pct, money_sum, ratio, share, sum_if
-from basketlake.functions.rules import rfm_segment, segment_description
+from basketlake.functions.rules import date_key, rfm_segment, segment_description
 from basketlake.operators.ranking import with_ntiles, with_ranks
 from basketlake.operators.star import distinct_per_key, left_join_all, valid_sale
 
@@ -20,48 +20,36 @@ def first_purchases(customers: DataFrame) -> DataFrame:
     )
 
 
-def invoice_days(fact: DataFrame) -> DataFrame:
-    """(day, invoice) sums: the level at which the four invoice counts become plain sums."""
-    line = F.col("line_total")
-    return fact.groupBy("date_key", "full_date", "invoice_no").agg(
-        F.max("is_cancelled").alias("cancelled"),
-        F.max("is_return").alias("returned"),
-        money_sum(F.when(valid_sale(), line).otherwise(0)).alias("revenue"),
-        sum_if(valid_sale(), F.col("quantity")).cast("bigint").alias("items"),
-        money_sum(F.when(F.col("is_cancelled"), line).otherwise(0)).alias("cancelled_amount"),
-        money_sum(F.when(F.col("is_return"), line).otherwise(0)).alias("returned_amount"),
-    )
-
-
-def mart_daily_kpis(fact: DataFrame, new_customers: DataFrame) -> DataFrame:
-    """Thirteen KPIs per day with sales.
+def mart_daily_kpis(invoices: DataFrame, new_customers: DataFrame) -> DataFrame:
+    """Thirteen KPIs per day with sales, from invoice totals.
 
     An invoice is cancelled as a whole (the flag is its number's prefix), so
-    pre-aggregating to (day, invoice) replaces four distinct counts. Customers
+    counting (day, invoice) rows replaces four distinct counts. Customers
     are counted apart. ``new_customers`` is :func:`first_purchases` or the like. All
     joins are at day level: a few thousand rows.
     """
-    days = (
-        invoice_days(fact)
-        .groupBy("date_key", "full_date")
-        .agg(
-            F.sum("revenue").cast(MONEY).alias("total_revenue"),
-            F.count_if(~F.col("cancelled")).alias("total_orders"),
-            F.sum("items").alias("total_items_sold"),
-            F.count_if("cancelled").alias("cancelled_orders"),
-            F.abs(F.sum("cancelled_amount")).cast(MONEY).alias("cancelled_revenue"),
-            F.count_if("returned").alias("return_orders"),
-            F.abs(F.sum("returned_amount")).cast(MONEY).alias("return_revenue"),
-            F.count(F.lit(1)).alias("_invoices"),
-        )
-    )
-    buyers = distinct_per_key(fact, ["full_date"], "customer_id", "unique_customers")
+    per_invoice = invoices.groupBy("full_date", "invoice_no").agg(
+        F.max("is_cancelled").alias("cancelled"),
+        F.max("has_return").alias("returned"),
+        *[F.sum(c).alias(c) for c in ("revenue", "items", "cancelled_amount", "returned_amount")],
+    )
+    days = per_invoice.groupBy("full_date").agg(
+        F.sum("revenue").cast(MONEY).alias("total_revenue"),
+        F.count_if(~F.col("cancelled")).alias("total_orders"),
+        F.sum("items").alias("total_items_sold"),
+        F.count_if("cancelled").alias("cancelled_orders"),
+        F.abs(F.sum("cancelled_amount")).cast(MONEY).alias("cancelled_revenue"),
+        F.count_if("returned").alias("return_orders"),
+        F.abs(F.sum("returned_amount")).cast(MONEY).alias("return_revenue"),
+        F.count(F.lit(1)).alias("_invoices"),
+    )
+    buyers = distinct_per_key(invoices, ["full_date"], "customer_id", "unique_customers")
     joined = left_join_all(days, [buyers, new_customers], ["full_date"])
     unique = F.coalesce("unique_customers", F.lit(0))
     new = F.coalesce("new_customers", F.lit(0))
     zero = F.lit(0)
     return joined.select(
-        "date_key",
+        date_key(F.col("full_date")).alias("date_key"),
         "full_date",
         "total_revenue",
         "total_orders",
@@ -79,15 +67,15 @@ def mart_daily_kpis(fact: DataFrame, new_customers: DataFrame) -> DataFrame:
     )
 
 
-def rfm_metrics(fact: DataFrame, kpis: DataFrame, as_of=None) -> DataFrame:
-    """Recency, frequency and monetary value per customer over uncancelled lines."""
+def rfm_metrics(invoices: DataFrame, kpis: DataFrame, as_of=None) -> DataFrame:
+    """Recency, frequency and monetary value per customer over uncancelled invoices."""
     per_customer = (
-        fact.where("customer_id IS NOT NULL AND NOT is_cancelled")
+        invoices.where("customer_id IS NOT NULL AND NOT is_cancelled")
         .groupBy("customer_id")
         .agg(
             F.max("full_date").alias("_last"),
             F.count_distinct("invoice_no").alias("frequency"),
-            money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("monetary"),
+            money_sum(F.col("revenue")).alias("monetary"),
         )
     )
     if as_of is None:
@@ -109,8 +97,8 @@ def rfm_scores(metrics: DataFrame) -> DataFrame:
     )
 
 
-def mart_rfm(fact: DataFrame, kpis: DataFrame, as_of=None, corrected: bool = False) -> DataFrame:
-    return rfm_scores(rfm_metrics(fact, kpis, as_of)).select(
+def mart_rfm(invoices: DataFrame, kpis: DataFrame, as_of=None, corrected: bool = False) -> DataFrame:
+    return rfm_scores(rfm_metrics(invoices, kpis, as_of)).select(
         "*",
         F.concat("r_score", "f_score", "m_score").alias("rfm_score"),
         rfm_segment(corrected).alias("rfm_segment"),
@@ -118,30 +106,28 @@ def mart_rfm(fact: DataFrame, kpis: DataFrame, as_of=None, corrected: bool = Fal
     )
 
 
-def mart_country_performance(fact: DataFrame) -> DataFrame:
+def mart_country_performance(invoices: DataFrame) -> DataFrame:
     """Revenue, orders, customers, AOV and shares per country.
 
     Orders overall are counted once more: an invoice may span two countries.
     """
-    live = fact.where(~F.col("is_cancelled"))
-    revenue = fact.groupBy("country_name").agg(
-        money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("total_revenue")
-    )
-    orders = distinct_per_key(live, ["country_name"], "invoice_no", "total_orders")
-    customers = distinct_per_key(fact, ["country_name"], "customer_id", "total_customers")
-    all_revenue = fact.where(valid_sale()).agg(F.coalesce(money_sum(F.col("line_total")), F.lit(0)).alias("_revenue"))
-    all_orders = live.agg(F.count_distinct("invoice_no").alias("_orders"))
+    live = F.when(~F.col("is_cancelled"), F.col("invoice_no"))
+    countries = invoices.groupBy("country_name").agg(
+        money_sum(F.col("revenue")).alias("total_revenue"),
+        F.count_distinct(live).alias("total_orders"),
+        F.count_distinct("customer_id").alias("total_customers"),
+    )
+    overall = invoices.agg(money_sum(F.col("revenue")).alias("_revenue"), F.count_distinct(live).alias("_orders"))
     zero = F.lit(0)
-    n_orders = F.coalesce("total_orders", zero)
+    n_orders = F.col("total_orders")
     return (
-        left_join_all(revenue, [orders, customers], ["country_name"])
-        .crossJoin(F.broadcast(all_revenue.crossJoin(F.broadcast(all_orders))))
+        countries.crossJoin(F.broadcast(overall))
         .select(
             F.xxhash64("country_name").alias("country_key"),
             "country_name",
             "total_revenue",
-            n_orders.alias("total_orders"),
-            F.coalesce("total_customers", zero).alias("total_customers"),
+            n_orders,
+            "total_customers",
             F.coalesce(ratio(F.col("total_revenue"), n_orders, 2), zero).cast(MONEY).alias("avg_order_value"),
             F.coalesce(share(F.col("total_revenue"), F.col("_revenue")), zero).cast("decimal(5,2)").alias("revenue_share_pct"),
             F.coalesce(ratio(n_orders, F.col("_orders"), 2, per=100), zero).cast("decimal(5,2)").alias("orders_share_pct"),
@@ -150,12 +136,18 @@ def mart_country_performance(fact: DataFrame) -> DataFrame:
 
 
 def product_sales(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("stock_code").agg(
+    """Sums per article, and its uncancelled invoices.
+
+    The count is kept apart: its shuffle then carries (article, invoice) only,
+    and the sums combine map-side to one row per article and task.
+    """
+    sums = fact.groupBy("stock_code").agg(
         money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("total_revenue"),
         sum_if(valid_sale(), F.col("quantity")).cast("bigint").alias("total_quantity"),
-        F.count_distinct(F.when(~F.col("is_cancelled"), F.col("invoice_no"))).alias("total_orders"),
         avg_exact(F.col("unit_price")).cast(MONEY).alias("avg_unit_price"),
     )
+    orders = distinct_per_key(fact.where(~F.col("is_cancelled")), ["stock_code"], "invoice_no", "total_orders")
+    return sums.join(orders, "stock_code", "left").withColumn("total_orders", F.coalesce("total_orders", F.lit(0)))
 
 
 def product_ranks(sales: DataFrame) -> DataFrame:

@@ -170,11 +170,17 @@ def run_status(results: DataFrame) -> DataFrame:
     )
 
 
-def raise_on_critical(results: DataFrame) -> None:
-    """Stops the run when a stored critical check failed (a handful of rows per run)."""
-    bad = results.where("NOT passed AND severity = 'critical'").select("check_name").distinct().take(20)
+def worst_status(outcome: list) -> str:
+    """The same rule for the collected results of one run."""
+    bad = {r.severity for r in outcome if not r.passed}
+    return "failed" if "critical" in bad else "warning" if "warning" in bad else "success"
+
+
+def raise_on_critical(outcome: list) -> None:
+    """Stops the run when a critical check failed."""
+    bad = sorted(r.check_name for r in outcome if not r.passed and r.severity == "critical")
     if bad:
-        raise DataQualityFailure("critical checks failed: " + ", ".join(sorted(r[0] for r in bad)))
+        raise DataQualityFailure("critical checks failed: " + ", ".join(bad))
 
 
 # --- profile -------------------------------------------------------------------------

@@ -5,7 +5,8 @@ orderings are stacked into one narrow frame of (ordering, sort value, id), range
 partitioned on all three. The id makes the order total, so even a value shared
 by most rows is cut at partition borders. The position of a row is its index in
 the partition plus the number of rows in earlier partitions; only those counts
-(one per partition and ordering) are ever brought together.
+(one per partition and ordering) are ever brought together. A frame that was
+counted and found small takes the plain window instead.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from basketlake.shared import cut_lineage
 
+# Frames of at most this many (counted) rows are ranked by a plain window in one task.
+ONE_TASK_ROWS = 1_000_000
+
 # monotonically_increasing_id() is (partition index << 33) + row index.
 _PARTITION_BITS = 33
 
@@ -67,20 +71,43 @@ def ntile_of(position, total, tiles: int):
     )
 
 
-def with_ntiles(df: DataFrame, key: str, tiles: int, orderings: dict[str, tuple[str, bool]]) -> DataFrame:
-    """``df`` plus one NTILE column per ordering (ties broken by key)."""
+def _window(key: str, column: str, descending: bool):
+    c = F.col(column)
+    return Window.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last(), key)
+
+
+def with_ntiles(
+    df: DataFrame, key: str, tiles: int, orderings: dict[str, tuple[str, bool]], one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """``df`` plus one NTILE column per ordering (ties broken by key).
+
+    ``df`` is stored first: it is read to count, to rank and to join.
+    """
+    df = cut_lineage(df)
+    if df.count() <= one_task_rows:
+        return df.select("*", *[F.ntile(tiles).over(_window(key, *o)).alias(n) for n, o in orderings.items()])
     pos = positions(df, key, orderings)
     tile = ntile_of(F.col("position"), F.col("total"), tiles)
     wide = pos.groupBy(key).agg(*[F.max(F.when(F.col("ordering") == n, tile)).alias(n) for n in orderings])
     return df.join(wide, key)
 
 
-def with_ranks(df: DataFrame, key: str, orderings: dict[str, tuple[str, bool]]) -> DataFrame:
+def with_ranks(
+    df: DataFrame, key: str, orderings: dict[str, tuple[str, bool]], one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """``df`` plus one RANK column per ordering: the first position of each tie group.
 
     Tie groups aggregate map-side; in the join back AQE splits a hot value, whose
     other side is a single row.
     """
+    df = cut_lineage(df)
+    if df.count() <= one_task_rows:
+        ranks = []
+        for name, (column, descending) in orderings.items():
+            c = F.col(column)
+            w = Window.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last())
+            ranks.append(F.rank().over(w).cast("bigint").alias(name))
+        return df.select("*", *ranks)
     pos = positions(df, key, orderings)
     firsts = pos.groupBy("ordering", "value").agg(F.min("position").alias("rank"))
     ranked = pos.join(firsts, ["ordering", "value"])

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlake.functions.amounts import avg_exact, money_sum, ratio, sum_if
+from basketlake.functions.amounts import money_sum, ratio, sum_if
 from basketlake.functions.rules import date_key
 
 VALID_SALE = "NOT is_cancelled AND NOT is_return"
@@ -87,40 +87,54 @@ def calendar(bounds: DataFrame) -> DataFrame:
     )
 
 
-def dim_country(stg: DataFrame) -> DataFrame:
+def dim_country(invoices: DataFrame) -> DataFrame:
     """Per country: customers, invoices (cancelled ones too), valid revenue.
 
-    Two distinct counts in one aggregate would triple the lines (Expand); three
-    pruned scans that end partitioned on country cost less and join in place.
+    The distinct counts run over invoice totals, and their shuffle is on (country,
+    value), so a country holding most sales is spread over the tasks.
     """
-    base = stg.groupBy("country").agg(money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("total_revenue"))
-    customers = distinct_per_key(stg, ["country"], "customer_id", "total_customers")
-    orders = distinct_per_key(stg, ["country"], "invoice_no", "total_orders")
-    return left_join_all(base, [customers, orders], ["country"]).select(
-        surrogate_key(F.col("country")).alias("country_key"),
-        F.col("country").alias("country_name"),
-        F.lit(None).cast("string").alias("region"),
-        F.coalesce("total_customers", F.lit(0)).alias("total_customers"),
-        F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
-        "total_revenue",
+    return (
+        invoices.groupBy("country_name")
+        .agg(
+            F.count_distinct("customer_id").alias("total_customers"),
+            F.count_distinct("invoice_no").alias("total_orders"),
+            money_sum(F.col("revenue")).alias("total_revenue"),
+        )
+        .select(
+            surrogate_key(F.col("country_name")).alias("country_key"),
+            "country_name",
+            F.lit(None).cast("string").alias("region"),
+            "total_customers",
+            "total_orders",
+            "total_revenue",
+        )
     )
 
 
 def dim_product(stg: DataFrame) -> DataFrame:
     """Per article: latest description, valid quantity and revenue, price, first and last sale.
 
-    The latest description is a max over a struct: it combines map-side, where a
-    row_number window would send every line of a best seller to one task.
+    Grouping by (article, description) first keeps the heavy pass a hash aggregate
+    that combines map-side; the latest description is then picked from the few
+    rows left. A row_number window would send every line of a best seller to one task.
     """
+    per_text = stg.groupBy("stock_code", "description").agg(
+        F.max("invoice_date").alias("_last"),
+        F.min("invoice_date").alias("_first"),
+        F.sum("unit_price").alias("_prices"),
+        F.count("unit_price").alias("_lines"),
+        sum_if(valid_sale(), F.col("quantity")).cast("bigint").alias("_quantity"),
+        money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("_revenue"),
+    )
     return (
-        stg.groupBy("stock_code")
+        per_text.groupBy("stock_code")
         .agg(
-            F.max(F.struct("invoice_date", "description")).getField("description").alias("description"),
-            avg_exact(F.col("unit_price")).alias("avg_unit_price"),
-            sum_if(valid_sale(), F.col("quantity")).cast("bigint").alias("total_quantity_sold"),
-            money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("total_revenue"),
-            F.min("invoice_date").cast("date").alias("first_sold_date"),
-            F.max("invoice_date").cast("date").alias("last_sold_date"),
+            F.max(F.struct("_last", "description")).getField("description").alias("description"),
+            ratio(F.sum("_prices"), F.sum("_lines"), 2).alias("avg_unit_price"),
+            F.sum("_quantity").alias("total_quantity_sold"),
+            money_sum(F.col("_revenue")).alias("total_revenue"),
+            F.min("_first").cast("date").alias("first_sold_date"),
+            F.max("_last").cast("date").alias("last_sold_date"),
         )
         .select(
             surrogate_key(F.col("stock_code")).alias("product_key"),
@@ -136,16 +150,16 @@ def dim_product(stg: DataFrame) -> DataFrame:
     )
 
 
-def dim_customer(stg: DataFrame) -> DataFrame:
+def dim_customer(invoices: DataFrame) -> DataFrame:
     """Per known customer: first and last date, invoices (cancelled ones too), revenue, AOV."""
     return (
-        stg.where(F.col("customer_id").isNotNull())
+        invoices.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
-            F.min("invoice_date").cast("date").alias("first_purchase_date"),
-            F.max("invoice_date").cast("date").alias("last_purchase_date"),
+            F.min("full_date").alias("first_purchase_date"),
+            F.max("full_date").alias("last_purchase_date"),
             F.count_distinct("invoice_no").alias("total_orders"),
-            money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("total_revenue"),
+            money_sum(F.col("revenue")).alias("total_revenue"),
         )
         .select(
             surrogate_key(F.col("customer_id")).alias("customer_key"),
@@ -211,8 +225,13 @@ def merge_dimension(existing: DataFrame, fresh: DataFrame, key: str) -> DataFram
 
 
 def fact_sales(stg: DataFrame) -> DataFrame:
-    """One row per staging line. Keys are computed, so this is a map-only job."""
-    d = F.col("invoice_date").cast("date")
+    """One row per staging line: a projection, no shuffle.
+
+    The warehouse keeps it as a view of staging, so the largest table is written
+    once. Keys nobody selects are never computed, and filters on the day and the
+    month reach the stored files.
+    """
+    d = F.col("full_date")
     return stg.select(
         date_key(d).alias("date_key"),
         F.when(F.col("customer_id").isNotNull(), surrogate_key(F.col("customer_id"))).alias("customer_key"),
@@ -224,7 +243,7 @@ def fact_sales(stg: DataFrame) -> DataFrame:
         "line_total",
         "is_cancelled",
         "is_return",
-        d.alias("full_date"),
+        "full_date",
         "customer_id",
         "stock_code",
         F.col("country").alias("country_name"),
@@ -232,6 +251,24 @@ def fact_sales(stg: DataFrame) -> DataFrame:
     )
 
 
+def invoice_totals(fact: DataFrame) -> DataFrame:
+    """Lines summed to (day, invoice, country, customer): what every count of invoices or
+    customers is made from.
+
+    One shuffle of the lines serves the daily, country and customer tables. An
+    invoice that spans days, countries or customers keeps a row for each.
+    """
+    line = F.col("line_total")
+    return fact.groupBy("full_date", "invoice_no", "country_name", "customer_id").agg(
+        F.max("is_cancelled").alias("is_cancelled"),
+        F.max("is_return").alias("has_return"),
+        money_sum(F.when(valid_sale(), line).otherwise(0)).alias("revenue"),
+        sum_if(valid_sale(), F.col("quantity")).cast("bigint").alias("items"),
+        money_sum(F.when(F.col("is_cancelled"), line).otherwise(0)).alias("cancelled_amount"),
+        money_sum(F.when(F.col("is_return"), line).otherwise(0)).alias("returned_amount"),
+    )
+
+
 def fact_sales_lookup(
     stg: DataFrame, customers: DataFrame, products: DataFrame, countries: DataFrame, dates: DataFrame
 ) -> DataFrame:

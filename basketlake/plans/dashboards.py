@@ -58,7 +58,8 @@ def monthly_summary(w: Warehouse) -> DataFrame:
 
 
 def monthly_distinct_customers(w: Warehouse) -> DataFrame:
-    sales = w.table("fact_sales").where("customer_id IS NOT NULL").select(F.col("year_month").alias("month"), "customer_id").distinct()
+    sales = w.table("agg_invoices").where("customer_id IS NOT NULL")
+    sales = sales.select(F.date_format("full_date", "yyyy-MM").alias("month"), "customer_id").distinct()
     return sales.groupBy("month").agg(F.count(F.lit(1)).alias("customers_distinct"))
 
 

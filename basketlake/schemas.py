@@ -51,7 +51,7 @@ RAW = (
 STAGING = (
     "invoice_no string, stock_code string, description string, quantity int,"
     "invoice_date timestamp_ntz, unit_price decimal(10,2), customer_id bigint, country string,"
-    "line_total decimal(18,2), is_cancelled boolean, is_return boolean, year_month string"
+    "line_total decimal(18,2), is_cancelled boolean, is_return boolean, full_date date, year_month string"
 )
 
 ETL_RUN_LOG = (

@@ -134,7 +134,7 @@ class StreamRefresh:
         fact = star.fact_sales(lines).join(F.broadcast(days), "full_date", "left_semi")
         moves = self._read("stream_first_purchase_moves", _MOVES).join(F.broadcast(days), "full_date", "left_semi")
         first = moves.groupBy("full_date").agg(F.sum("delta").alias("new_customers"))
-        fresh = marts.mart_daily_kpis(fact, first)
+        fresh = marts.mart_daily_kpis(star.invoice_totals(fact), first)
         return sinks.upsert_keyed(w.spark, w.path("mart_daily_kpis"), fresh, ["full_date"])
 
 

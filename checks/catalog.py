@@ -186,7 +186,7 @@ def load_raw(w):
 
 @query
 def clean_transactions(w):
-    return clean.clean_transactions(w.table("raw_transactions")).drop("year_month")
+    return clean.clean_transactions(w.table("raw_transactions")).drop("full_date", "year_month")
 
 
 @query
@@ -384,12 +384,12 @@ def mart_daily_kpis(w):
 
 @query
 def rfm_metrics(w):
-    return marts.rfm_metrics(w.table("fact_sales"), w.table("mart_daily_kpis"))
+    return marts.rfm_metrics(w.table("agg_invoices"), w.table("mart_daily_kpis"))
 
 
 @query
 def rfm_scores(w):
-    return marts.rfm_scores(marts.rfm_metrics(w.table("fact_sales"), w.table("mart_daily_kpis"))).select("customer_id", "r_score", "f_score", "m_score")
+    return marts.rfm_scores(marts.rfm_metrics(w.table("agg_invoices"), w.table("mart_daily_kpis"))).select("customer_id", "r_score", "f_score", "m_score")
 
 
 @query
@@ -631,8 +631,9 @@ def unpivot_metrics(w):
 
 @query
 def fill_daily_gaps(w):
-    """Daily revenue of every article: thousands of series with gaps."""
-    return series.fill_daily_gaps(_product_series(w), ["stock_code"])
+    """Daily revenue of every country, each series with its own gaps."""
+    sales = w.table("fact_sales").where(star.valid_sale()).groupBy("country_name", F.col("full_date").alias("ds"))
+    return series.fill_daily_gaps(sales.agg(money_sum(F.col("line_total")).cast("double").alias("value")), ["country_name"])
 
 
 def _product_series(w) -> DataFrame:

@@ -115,6 +115,8 @@ from (select date_key, full_date, {VALID_SUM} as total_revenue,
 left join (select first_purchase_date, count(*) as n from dim_customer group by first_purchase_date) on full_date = first_purchase_date
 """
 
+PARTS["invoices"] = "select distinct full_date, invoice_no, country_name, customer_id from fact"
+
 PARTS["today"] = "select max(full_date) as today from kpis"
 
 PARTS["rfm_metrics"] = f"""
@@ -559,7 +561,7 @@ _COUNTED = {
 }
 add("table_counts", " union all ".join(f"select '{n}' as table_name, count(*) as row_count from {p}" for n, p in _COUNTED.items()))
 _BUILT = {
-    **{n: p for n, p in _COUNTED.items()}, "dim_date": "calendar", "dim_customer_rfm": "dim_customer",
+    **_COUNTED, "agg_invoices": "invoices", "dim_date": "calendar", "dim_customer_rfm": "dim_customer",
     "mart_country_performance": "country_mart", "mart_product_performance": "product_mart", "mart_monthly_trends": "monthly",
 }
 add("run_etl", " union all ".join(f"select '{n}' as step_name, count(*) as rows_affected from {p}" for n, p in _BUILT.items()))
@@ -893,9 +895,10 @@ add(
 add("unpivot_metrics", "select metric_name, ds, value from series")
 add(
     "fill_daily_gaps",
-    """select k.stock_code, c.full_date as ds, coalesce(value, 0) as value
-    from (select stock_code, min(ds) as lo, max(ds) as hi from product_series group by 1) k join calendar c on c.full_date between lo and hi
-    left join product_series s on s.stock_code = k.stock_code and s.ds = c.full_date""",
+    f"""with sales as (select country_name, full_date as ds, sum(line_total)::double as value from fact where {VALID} group by 1, 2)
+    select k.country_name, c.full_date as ds, coalesce(value, 0) as value
+    from (select country_name, min(ds) as lo, max(ds) as hi from sales group by 1) k join calendar c on c.full_date between lo and hi
+    left join sales s on s.country_name = k.country_name and s.ds = c.full_date""",
 )
 add("naive_weekly_forecast", "select metric_name, ds, step, predicted, lower_bound, upper_bound from fc28")
 add("naive_weekly_forecast_many", "select stock_code, step, predicted from fc_products")
