@@ -123,7 +123,7 @@ def forecast(series: DataFrame, models: list[str] | None, horizon: int, keys: li
         + [T.StructField(c, T.DoubleType()) for c in ("predicted", "lower_bound", "upper_bound")]
     )
 
-    def one_fit(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one_fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ds")
         fitted = FITS[key[-1]](pdf["value"].to_numpy(float), horizon)
         if fitted is None:

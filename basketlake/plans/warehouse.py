@@ -74,7 +74,16 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        return name in self._frames or sinks.table_exists(self.spark, self.path(name))
+        if name in self._frames or sinks.table_exists(self.spark, self.path(name)):
+            return True
+        # Streams add raw batches partition by partition, which leaves no marker at the top.
+        return name == "raw_transactions" and sinks.path_exists(self.spark, self.path(name))
+
+    def forget(self, *names: str) -> None:
+        """Drop kept frames of tables that were written from elsewhere."""
+        for name in names:
+            self._frames.pop(name, None)
+        self._as_of = None
 
     def table(self, name: str) -> DataFrame:
         """The stored table, built first when it is missing.

@@ -95,10 +95,11 @@ def insert_if_absent(spark, path: str, rows: DataFrame, keys: list[str]) -> int:
     return _rewrite(insert_absent_rows(spark.read.parquet(path), rows, keys), path)
 
 
-def table_exists(spark, path: str) -> bool:
-    """A finished table: its folder holds the commit marker Spark writes last."""
-    jvm = spark._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+def path_exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def table_exists(spark, path: str) -> bool:
+    """A finished table: its folder holds the commit marker Spark writes last."""
+    return path_exists(spark, f"{path}/_SUCCESS")

@@ -79,23 +79,24 @@ class StreamRefresh:
         return _start(stream, self.batch, checkpoint, every)
 
     def _read(self, name: str, schema: str | None = None) -> DataFrame:
+        """A table written by earlier batches; with a schema it may not exist yet."""
         spark, path = self.w.spark, self.w.path(name)
-        try:
-            return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
-        except Exception:
-            if schema is None:
-                raise
+        if schema is None:
+            return spark.read.parquet(path)
+        if not sinks.path_exists(spark, path):
             return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(path)
 
     def batch(self, df: DataFrame, batch_id: int) -> None:
         t0 = time.monotonic()
         w = self.w
         write_batch(df, w.path("raw_transactions"), batch_id)
-        fresh = self._read("raw_transactions").where(F.col("batch_id") == batch_id).drop("batch_id")
+        fresh = w.spark.read.parquet(f"{w.path('raw_transactions')}/batch_id={batch_id}")
         write_batch(clean.clean_transactions(fresh), w.path("stream_staging"), batch_id, ["year_month"])
         stg = self._read("stream_staging")
         days = self._touched_days(stg.where(F.col("batch_id") == batch_id), batch_id)
         rows = self._refresh_days(stg, days)
+        w.forget("raw_transactions", "mart_daily_kpis", "table_refresh_log")
         at = dt.datetime.now()
         log = quality.refresh_row(w.spark, "mart_daily_kpis", f"batch-{batch_id}", rows, int((time.monotonic() - t0) * 1000), at, "incremental")
         sinks.upsert_keyed(w.spark, w.path("table_refresh_log"), log, ["table_name"])
