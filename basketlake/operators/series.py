@@ -12,10 +12,15 @@ from basketlake.functions import errors
 from basketlake.schemas import KPI_METRICS
 
 METRIC = ["metric_name"]
+# Names a model may be asked for by.
+MODELS = {"ets", "trend_seasonal", "naive"}
 
 
 def unpivot_metrics(kpis: DataFrame, metrics: list[str] = KPI_METRICS, day: str = "full_date") -> DataFrame:
     """Wide KPI rows to (metric_name, ds, value): one scan, no shuffle."""
+    unknown = [m for m in metrics if m not in KPI_METRICS]
+    if unknown:
+        raise ValueError(f"unknown metric {unknown}: choose from {KPI_METRICS}")
     wide = kpis.select(F.col(day).alias("ds"), *[F.col(m).cast("double").alias(m) for m in metrics])
     return wide.unpivot("ds", metrics, "metric_name", "value").select("metric_name", "ds", "value")
 
@@ -111,3 +116,13 @@ def select_best_model(scores: DataFrame, keys: list[str] = METRIC) -> DataFrame:
     return scores.where(F.col("mape").isNotNull()).groupBy(*keys).agg(
         F.min_by("model_type", order).alias("model_type"), F.min("mape").alias("mape")
     )
+
+
+def pick_model(scores: DataFrame, model: str | None = None, keys: list[str] = METRIC) -> DataFrame:
+    """The model to use per series: the best one for None or 'auto', else the named one."""
+    name = (model or "auto").strip().lower()
+    if name == "auto":
+        return select_best_model(scores, keys)
+    if name not in MODELS:
+        raise ValueError(f"unknown model {model!r}: choose from {sorted(MODELS)} or 'auto'")
+    return scores.where(F.col("model_type") == name).select(*keys, "model_type", "mape")

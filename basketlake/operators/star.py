@@ -53,14 +53,9 @@ def dim_date(spark: SparkSession, start, end) -> DataFrame:
     return calendar(bounds)
 
 
-def dim_date_for(stg: DataFrame) -> DataFrame:
+def dim_date_for(sales: DataFrame, day: str = "full_date") -> DataFrame:
     """Calendar that covers the data, so no sale can fall outside it."""
-    return calendar(
-        stg.agg(
-            F.min("invoice_date").cast("date").alias("start_date"),
-            F.max("invoice_date").cast("date").alias("end_date"),
-        )
-    )
+    return calendar(sales.agg(F.min(day).alias("start_date"), F.max(day).alias("end_date")))
 
 
 def calendar(bounds: DataFrame) -> DataFrame:

@@ -30,9 +30,9 @@ BY_MONTH = "year_month"
 STEPS = [
     ["stg_transactions_clean"],
     ["fact_sales"],
-    ["agg_invoices", "dim_date", "dim_product"],
-    ["dim_country", "dim_customer", "mart_country_performance"],
-    ["mart_daily_kpis", "mart_product_performance"],
+    ["agg_invoices", "dim_product"],
+    ["dim_date", "dim_country", "dim_customer", "mart_country_performance", "mart_product_performance"],
+    ["mart_daily_kpis"],
     ["mart_rfm", "mart_monthly_trends"],
     # RFM columns go to a table of their own: no run rewrites a dimension it has just read.
     ["dim_customer_rfm"],
@@ -122,7 +122,7 @@ class Warehouse:
             return self.raw()
         plans: dict[str, Callable[[], DataFrame]] = {
             "stg_transactions_clean": lambda: clean.clean_transactions(t("raw_transactions")),
-            "dim_date": lambda: star.dim_date_for(t("stg_transactions_clean")),
+            "dim_date": lambda: star.dim_date_for(t("agg_invoices")),
             "agg_invoices": lambda: star.invoice_totals(t("fact_sales")),
             "dim_country": lambda: star.dim_country(t("agg_invoices")),
             "dim_product": lambda: star.dim_product(t("stg_transactions_clean")),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read back; survives lost executors.
+
+    A written table rather than a checkpoint: it is columnar, so later readers
+    fetch the columns they use, and its row count is in the file footers.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/basketlake/{spark.sparkContext.applicationId}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

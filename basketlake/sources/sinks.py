@@ -73,19 +73,26 @@ def insert_absent_rows(existing: DataFrame, rows: DataFrame, keys: list[str]) ->
     return existing.unionByName(new)
 
 
-def _rewrite(merged: DataFrame, path: str) -> int:
+def _rewrite(merged: DataFrame, path: str, partition_by: str | None = None) -> int:
     # The target is being read: the merged rows are stored before it is replaced.
-    return write_table(cut_lineage(merged), path)
+    return write_table(cut_lineage(merged), path, partition_by=partition_by, only_touched=partition_by is not None)
 
 
-def upsert_keyed(spark, path: str, updates: DataFrame, keys: list[str], newest: list[str] | None = None) -> int:
-    """INSERT .. ON CONFLICT DO UPDATE on a Parquet table; returns its row count.
+def upsert_keyed(
+    spark, path: str, updates: DataFrame, keys: list[str], newest: list[str] | None = None, partition_by: str | None = None
+) -> int:
+    """INSERT .. ON CONFLICT DO UPDATE on a Parquet table; returns the rows written.
 
-    One writer at a time. A missing table is created.
+    One writer at a time. A missing table is created. With ``partition_by`` (a
+    column that depends on the key) only the partitions the updates fall into
+    are read and replaced, however large the table is.
     """
     if not table_exists(spark, path):
-        return write_table(latest_per_key(updates, keys, newest) if newest else updates, path)
-    return _rewrite(merge_keyed(spark.read.parquet(path), updates, keys, newest), path)
+        return write_table(latest_per_key(updates, keys, newest) if newest else updates, path, partition_by=partition_by)
+    existing = spark.read.parquet(path)
+    if partition_by:
+        existing = existing.join(updates.select(partition_by).distinct(), partition_by, "left_semi").select(*existing.columns)
+    return _rewrite(merge_keyed(existing, updates, keys, newest), path, partition_by)
 
 
 def insert_if_absent(spark, path: str, rows: DataFrame, keys: list[str]) -> int:

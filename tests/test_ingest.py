@@ -128,3 +128,15 @@ def test_upsert_against_a_dict_with_a_hot_key(spark, tmp_path):
     n = sinks.insert_if_absent(spark, path, spark.createDataFrame([(1, -1, -1), (77, -1, -1), (77, -1, -1)], "k int, v int, at int"), ["k"])
     assert n == len(have) + 1
     assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {**{k: v for k, (v, _) in have.items()}, 77: -1}
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "kv")
+    first = spark.createDataFrame([(k, 0, f"m{k % 5}") for k in range(50)], "k int, v int, m string")
+    sinks.upsert_keyed(spark, path, first, ["k"], partition_by="m")
+    before = {f: (tmp_path / "kv" / f).stat().st_mtime_ns for f in ("m=m0", "m=m3")}
+    sinks.upsert_keyed(spark, path, spark.createDataFrame([(3, 7, "m3"), (103, 8, "m3")], "k int, v int, m string"), ["k"], partition_by="m")
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {**{k: 0 for k in range(50)}, 3: 7, 103: 8}
+    after = {f: (tmp_path / "kv" / f).stat().st_mtime_ns for f in before}
+    assert after["m=m0"] == before["m=m0"] and after["m=m3"] != before["m=m3"]

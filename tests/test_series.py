@@ -95,6 +95,15 @@ def test_best_model_ties_and_missing_scores(spark):
     assert rows(series.select_best_model(s)) == [("m", "a", 1.0)]
 
 
+def test_models_and_metrics_are_checked(frame, spark):
+    s = spark.createDataFrame([("m", "ets", 2.0), ("m", "naive", 1.0)], "metric_name string, model_type string, mape double")
+    assert rows(series.pick_model(s)) == [("m", "naive", 1.0)] and rows(series.pick_model(s, " ETS ")) == [("m", "ets", 2.0)]
+    with pytest.raises(ValueError, match="unknown model"):
+        series.pick_model(s, "oracle")
+    with pytest.raises(ValueError, match="unknown metric"):
+        series.unpivot_metrics(spark.range(1), ["profit"])
+
+
 def test_ets_refuses_short_series(frame):
     assert forecast.forecast_ets(frame(days(range(13)))).count() == 0
 

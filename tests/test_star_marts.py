@@ -26,6 +26,10 @@ def invoices(fact):
     return star.invoice_totals(fact).cache()
 
 
+def test_calendar_covers_the_data(stg):
+    assert [r.full_date.day for r in star.dim_date_for(stg).orderBy("full_date").collect()] == [1, 2, 3]
+
+
 def test_clean_and_quarantine_partition_raw(raw, stg):
     bad = clean.quarantine_rejects(raw)
     assert stg.count() == 7 and stg.count() + bad.count() == raw.count()
