@@ -78,12 +78,9 @@ def rfm_metrics(invoices: DataFrame, kpis: DataFrame, as_of=None) -> DataFrame:
             money_sum(F.col("revenue")).alias("monetary"),
         )
     )
-    if as_of is None:
-        per_customer = per_customer.crossJoin(F.broadcast(kpis.agg(F.max("full_date").alias("_today"))))
-    else:
-        per_customer = per_customer.withColumn("_today", F.lit(str(as_of)).cast("date"))
+    today = kpis.agg(F.max("full_date")).scalar() if as_of is None else F.lit(str(as_of)).cast("date")
     return per_customer.select(
-        "customer_id", F.datediff("_today", "_last").alias("recency_days"), "frequency", "monetary"
+        "customer_id", F.datediff(today, "_last").alias("recency_days"), "frequency", "monetary"
     )
 
 
@@ -117,20 +114,20 @@ def mart_country_performance(invoices: DataFrame) -> DataFrame:
         F.count_distinct(live).alias("total_orders"),
         F.count_distinct("customer_id").alias("total_customers"),
     )
-    overall = invoices.agg(money_sum(F.col("revenue")).alias("_revenue"), F.count_distinct(live).alias("_orders"))
+    all_revenue = invoices.agg(money_sum(F.col("revenue"))).scalar()
+    all_orders = invoices.agg(F.count_distinct(live)).scalar()
     zero = F.lit(0)
     n_orders = F.col("total_orders")
     return (
-        countries.crossJoin(F.broadcast(overall))
-        .select(
+        countries.select(
             F.xxhash64("country_name").alias("country_key"),
             "country_name",
             "total_revenue",
             n_orders,
             "total_customers",
             F.coalesce(ratio(F.col("total_revenue"), n_orders, 2), zero).cast(MONEY).alias("avg_order_value"),
-            F.coalesce(share(F.col("total_revenue"), F.col("_revenue")), zero).cast("decimal(5,2)").alias("revenue_share_pct"),
-            F.coalesce(ratio(n_orders, F.col("_orders"), 2, per=100), zero).cast("decimal(5,2)").alias("orders_share_pct"),
+            F.coalesce(share(F.col("total_revenue"), all_revenue), zero).cast("decimal(5,2)").alias("revenue_share_pct"),
+            F.coalesce(ratio(n_orders, all_orders, 2, per=100), zero).cast("decimal(5,2)").alias("orders_share_pct"),
         )
     )
 

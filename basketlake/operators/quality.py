@@ -25,7 +25,8 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def retention_rate(raw: DataFrame, stg: DataFrame) -> DataFrame:
     """Staging rows as a percentage of raw rows, NULL when raw is empty."""
-    counts = raw.agg(F.count(F.lit(1)).alias("raw_rows")).crossJoin(F.broadcast(stg.agg(F.count(F.lit(1)).alias("staging_rows"))))
+    staging_rows = stg.agg(F.count(F.lit(1))).scalar().alias("staging_rows")
+    counts = raw.agg(F.count(F.lit(1)).alias("raw_rows")).select("raw_rows", staging_rows)
     return counts.withColumn("retention_pct", pct(F.col("staging_rows"), F.col("raw_rows")))
 
 

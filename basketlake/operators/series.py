@@ -43,8 +43,8 @@ def fill_daily_gaps(series: DataFrame, keys: list[str] = METRIC, fill: float | N
 
 def lookback_filter(series: DataFrame, days: int, keys: list[str] = METRIC) -> DataFrame:
     """Rows of the last ``days`` days before the newest day of all series (inclusive)."""
-    newest = series.agg(F.max("ds").alias("_newest"))
-    return series.crossJoin(F.broadcast(newest)).where(F.col("ds") >= F.date_sub("_newest", days)).drop("_newest")
+    newest = series.agg(F.max("ds")).scalar()
+    return series.where(F.col("ds") >= F.date_sub(newest, days))
 
 
 def train_test_split_tail(series: DataFrame, test_days: int = 14, min_train: int = 30, keys: list[str] = METRIC) -> DataFrame:

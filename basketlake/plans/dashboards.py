@@ -189,13 +189,10 @@ def top_customers(w: Warehouse, k: int = 20) -> DataFrame:
 
 def high_value_at_risk(w: Warehouse, k: int = 20) -> DataFrame:
     rfm = w.table("mart_rfm")
-    limit = F.broadcast(rfm.agg((F.sum("monetary") * 2).alias("_twice"), F.count("monetary").alias("_n")))
-    picked = (
-        rfm.where(F.col("rfm_segment").isin("At Risk", "Cant Lose Them"))
-        .crossJoin(limit)
-        # monetary > 2 * average, without rounding the average
-        .where(F.col("monetary").cast("decimal(20,2)") * F.col("_n").cast("decimal(12,0)") > F.col("_twice"))
-    )
+    twice, n = rfm.agg(F.sum("monetary") * 2).scalar(), rfm.agg(F.count("monetary")).scalar()
+    # monetary > 2 * average, without rounding the average
+    rich = F.col("monetary").cast("decimal(20,2)") * n.cast("decimal(12,0)") > twice
+    picked = rfm.where(F.col("rfm_segment").isin("At Risk", "Cant Lose Them")).where(rich)
     out = picked.select(
         "customer_id",
         F.col("monetary").alias("lifetime_value"),
@@ -380,19 +377,19 @@ def v_forecast_vs_actual(w: Warehouse) -> DataFrame:
         for column, name in (("predicted_value", f"forecast_{short}"), ("lower_bound", f"{short}_lower"), ("upper_bound", f"{short}_upper")):
             picks.append(F.max(F.when(F.col("metric_name") == metric, F.col(column))).alias(name))
     wide = fc.groupBy(F.col("forecast_date").alias("full_date")).agg(*picks)
-    log = w.table("table_refresh_log").where(F.col("table_name") == "mart_daily_kpis").agg(F.max("last_refresh_at").alias("data_freshness"))
+    log = w.table("table_refresh_log").where(F.col("table_name") == "mart_daily_kpis").agg(F.max("last_refresh_at"))
 
     def err(actual: str, predicted: str) -> Column:
         a = F.col(actual).cast("decimal(20,2)")
         return F.when(a > 0, share(F.abs(a - F.col(predicted)), a))
 
     kpis = w.table("mart_daily_kpis").select("full_date", F.col("total_revenue").alias("actual_revenue"), F.col("total_orders").alias("actual_orders"))
-    return kpis.join(wide, "full_date", "left").crossJoin(F.broadcast(log)).select(
+    return kpis.join(wide, "full_date", "left").select(
         "full_date", "actual_revenue", "actual_orders",
         "forecast_revenue", "revenue_lower", "revenue_upper", "forecast_orders", "orders_lower", "orders_upper",
         err("actual_revenue", "forecast_revenue").alias("revenue_error_pct"),
         err("actual_orders", "forecast_orders").alias("orders_error_pct"),
-        "data_freshness",
+        log.scalar().alias("data_freshness"),
     )
 
 
@@ -447,12 +444,12 @@ def yearly_outlook(w: Warehouse, as_of=None, exact_365: bool = False) -> DataFra
         "metric_name", "predicted_value", ["total_revenue", "total_orders"],
     ).toDF("_fr", "_fo")
     since = w.as_of() - (364 if exact_365 else 365) * DAY
-    past = w.table("mart_daily_kpis").where(F.col("full_date") >= since).agg(
-        money_sum(F.col("total_revenue")).alias("_ar"), F.sum("total_orders").cast(MONEY).alias("_ao")
-    )
+    past = w.table("mart_daily_kpis").where(F.col("full_date") >= since)
+    revenue, orders = past.agg(money_sum(F.col("total_revenue"))).scalar(), past.agg(F.sum("total_orders")).scalar()
+    both = ahead.select("*", revenue.alias("_ar"), orders.alias("_ao"))
     whole = lambda c, n: F.round(c, 0).cast("decimal(20,0)").alias(n)
     fr, fo, ar, ao = (F.col(c).cast(MONEY) for c in ("_fr", "_fo", "_ar", "_ao"))
-    return ahead.crossJoin(F.broadcast(past)).select(
+    return both.select(
         whole(fr, "forecast_revenue_365d"), whole(ar, "last_365d_revenue"), whole(fr - ar, "delta_revenue"), change_pct(fr, ar).alias("delta_revenue_pct"),
         whole(fo, "forecast_orders_365d"), whole(ao, "last_365d_orders"), whole(fo - ao, "delta_orders"), change_pct(fo, ao).alias("delta_orders_pct"),
     )

@@ -184,12 +184,11 @@ class Warehouse:
         rows = [
             self.table(source)
             .agg(F.max(day).cast("timestamp_ntz").alias("last_refresh_at"))
-            .crossJoin(F.broadcast(self.table(name).agg(F.count(F.lit(1)).alias("row_count"))))
             .select(
                 F.lit(name).alias("table_name"),
                 "last_refresh_at",
                 F.lit(None).cast("string").alias("refresh_run_id"),
-                "row_count",
+                self.table(name).agg(F.count(F.lit(1))).scalar().alias("row_count"),
                 F.lit(None).cast("bigint").alias("refresh_duration_ms"),
                 F.lit("full").alias("refresh_type"),
             )

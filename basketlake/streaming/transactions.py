@@ -40,9 +40,10 @@ def _start(stream: DataFrame, each: Callable, checkpoint: str, every: str | None
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] = ()) -> int:
     """Write one batch under its own ``batch_id``; writing it again replaces it."""
-    seen_cols = [*partition_by, "batch_id"]
     out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    out.write.mode("overwrite").partitionBy(*seen_cols).option("partitionOverwriteMode", "dynamic").parquet(path)
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
+    out.write.mode("overwrite").partitionBy(*partition_by, "batch_id").option("partitionOverwriteMode", "dynamic").parquet(path)
     return batch_id
 
 

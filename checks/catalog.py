@@ -199,6 +199,14 @@ def cleaning_rules_catalog(w):
     return clean.cleaning_rules_catalog(w.table("raw_transactions")).select("rule_name", "target_column", "rule_type", "affected", "records_affected_pct")
 
 
+for _rule in rules.CLEANING_RULES:
+    # The raw rows each rule acts on.
+    query(
+        (lambda r: lambda w: w.table("raw_transactions").where(r.touches()).select("invoice_no", "stock_code", "quantity", "unit_price"))(_rule),
+        f"rule_{_rule.name}",
+    )
+
+
 @query
 def dim_date(w):
     return w.build("dim_date")
@@ -371,7 +379,7 @@ def star_drill(w):
 @query
 def scalar_cross(w):
     days = w.table("mart_daily_kpis").agg(F.count(F.lit(1)).alias("kpi_days"))
-    return days.crossJoin(F.broadcast(w.table("mart_rfm").agg(F.count(F.lit(1)).alias("rfm_customers"))))
+    return days.select("kpi_days", w.table("mart_rfm").agg(F.count(F.lit(1))).scalar().alias("rfm_customers"))
 
 
 # --- marts ---------------------------------------------------------------------------

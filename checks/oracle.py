@@ -410,6 +410,8 @@ add(
         for n, t, k, c in _RULES
     ),
 )
+for _n, _, _, _c in _RULES:
+    add(f"rule_{_n}", f"select invoice_no, stock_code, quantity, unit_price::double as unit_price from raw where {_c}")
 add(
     "dim_date",
     """select strftime(full_date, '%Y%m%d')::int as date_key, full_date, year(full_date)::int as year, quarter(full_date)::int as quarter,
