@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,19 +23,34 @@ def write_table(
     With ``cluster`` the rows are first rebalanced on the partition column: AQE
     gives a small month one file and cuts a huge month into several, so the file
     count follows the data and not tasks times months. ``only_touched`` replaces
-    just the partitions present in ``df``; otherwise the table is replaced whole.
+    just the partitions present in ``df``. A whole table is replaced by writing the
+    new one beside it first: a failed job leaves the old table, and ``df`` may read it.
     """
     if partition_by and cluster:
         df = df.hint("rebalance", partition_by)
+    spark = df.sparkSession
+    replaces = mode == "overwrite" and not only_touched and path_exists(spark, path)
+    target = f"{path}.new-{uuid.uuid4().hex}" if replaces else path
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
         writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
-    writer.parquet(path)
+    writer.parquet(target)
+    if replaces:
+        _swap(spark, target, path)
     return int(seen.get["rows"])
 
 
+def _swap(spark, fresh: str, path: str) -> None:
+    """Put a finished table in the place of an old one."""
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {fresh} to {path}")
+
+
 def load_raw_overwrite(raw: DataFrame, path: str) -> int:
     return write_table(raw, path, "overwrite")
 
@@ -73,11 +90,6 @@ def insert_absent_rows(existing: DataFrame, rows: DataFrame, keys: list[str]) ->
     return existing.unionByName(new)
 
 
-def _rewrite(merged: DataFrame, path: str, partition_by: str | None = None) -> int:
-    # The target is being read: the merged rows are stored before it is replaced.
-    return write_table(cut_lineage(merged), path, partition_by=partition_by, only_touched=partition_by is not None)
-
-
 def upsert_keyed(
     spark, path: str, updates: DataFrame, keys: list[str], newest: list[str] | None = None, partition_by: str | None = None
 ) -> int:
@@ -92,14 +104,18 @@ def upsert_keyed(
     existing = spark.read.parquet(path)
     if partition_by:
         existing = existing.join(updates.select(partition_by).distinct(), partition_by, "left_semi").select(*existing.columns)
-    return _rewrite(merge_keyed(existing, updates, keys, newest), path, partition_by)
+    merged = merge_keyed(existing, updates, keys, newest)
+    if partition_by:
+        # Partitions are replaced in place, so what is read from them is stored first.
+        return write_table(cut_lineage(merged), path, partition_by=partition_by, only_touched=True)
+    return write_table(merged, path)
 
 
 def insert_if_absent(spark, path: str, rows: DataFrame, keys: list[str]) -> int:
     """INSERT .. ON CONFLICT DO NOTHING on a Parquet table; returns its row count."""
     if not table_exists(spark, path):
         return write_table(rows.dropDuplicates(keys), path)
-    return _rewrite(insert_absent_rows(spark.read.parquet(path), rows, keys), path)
+    return write_table(insert_absent_rows(spark.read.parquet(path), rows, keys), path)
 
 
 def path_exists(spark, path: str) -> bool:

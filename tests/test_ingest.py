@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from basketlake.functions import parsers
@@ -140,3 +141,14 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert got == {**{k: 0 for k in range(50)}, 3: 7, 103: 8}
     after = {f: (tmp_path / "kv" / f).stat().st_mtime_ns for f in before}
     assert after["m=m0"] == before["m=m0"] and after["m=m3"] != before["m=m3"]
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        sinks.write_table(spark.range(5).selectExpr("id div (id - 3) as id"), path)
+    assert spark.read.parquet(path).count() == 5
+    # A table may be rewritten from itself.
+    assert sinks.write_table(spark.read.parquet(path).where("id > 1"), path) == 3
+    assert spark.read.parquet(path).count() == 3
