@@ -1,8 +1,8 @@
 """Benchmark decontamination: hash set of benchmark windows, probed by the windows of the documents.
 
-A window is ``window`` consecutive words of an item (a shorter item is one window). The set of window
-hashes is broadcast while it holds no more than ``broadcast_windows`` rows, and joined by a shuffle
-beyond. Every hash hit is verified on the words themselves.
+A window is ``window`` consecutive words of an item (a shorter item is one window). The set of windows
+is broadcast while it holds no more than ``broadcast_windows`` rows. Beyond, hashes of the windows are
+joined by a shuffle, and every hash hit is verified on the words themselves.
 """
 
 from __future__ import annotations
@@ -45,13 +45,20 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broad
     """(doc_id, _th, pos, len, item_id): every occurrence of a benchmark window, positions in words from 1."""
     bench = written(benchmark_windows(benchmark, window), "bench")
     lengths = sorted(r[0] for r in bench.select("len").distinct().collect())
-    small = bench.count() <= broadcast_windows
+    if bench.count() <= broadcast_windows:
+        # The set holds the windows' own words, so a hit is verified as it is found.
+        found = None
+        for n in lengths:
+            spans = _keyed(docs).select("doc_id", "_th", F.posexplode(_windows(_words(F.col("_text")), n, lambda s, i: F.concat_ws(" ", s))).alias("_p", "phrase"))
+            here = spans.join(F.broadcast(bench.where(F.col("len") == n).drop("len")), "phrase").select("doc_id", "_th", (F.col("_p") + 1).alias("pos"), F.lit(n).alias("len"), "item_id")
+            found = here if found is None else found.unionByName(here)
+        if found is not None:
+            return found.distinct()
     keys = bench.select("len", F.xxhash64(F.split("phrase", " ")).alias("_h")).distinct()
-    hint = (lambda d: F.broadcast(d)) if small else (lambda d: d)
     found = None
     for n in lengths:
         hashes = _keyed(docs).select("doc_id", "_th", F.posexplode(_windows(_words(F.col("_text")), n, lambda s, i: F.xxhash64(s))).alias("_p", "_h"))
-        here = hashes.join(hint(keys.where(F.col("len") == n).select("_h")), "_h", "left_semi").select("doc_id", "_th", (F.col("_p") + 1).alias("pos"), F.lit(n).alias("len"))
+        here = hashes.join(keys.where(F.col("len") == n).select("_h"), "_h", "left_semi").select("doc_id", "_th", (F.col("_p") + 1).alias("pos"), F.lit(n).alias("len"))
         found = here if found is None else found.unionByName(here)
     if found is None:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _th bigint, pos int, len int, item_id string")
@@ -61,7 +68,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broad
     )
     d, f = _keyed(docs).alias("d"), found.alias("f")
     marks = d.join(f, F.expr("d.doc_id <=> f.doc_id and d._th = f._th")).select("d.doc_id", "d._th", F.explode(phrases).alias("_m")).select("doc_id", "_th", "_m.pos", "_m.len", "_m.phrase")
-    return marks.join(hint(bench), ["len", "phrase"]).select("doc_id", "_th", "pos", "len", "item_id").distinct()
+    return marks.join(bench, ["len", "phrase"]).select("doc_id", "_th", "pos", "len", "item_id").distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
