@@ -4,14 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlake.llm import decontaminate, mixing, sanitise, simhash, tokens, toxicity
+from basketlake.llm import decontaminate, language, lm, mixing, neighbours, repeats, sanitise, simhash, tokens, toxicity
 from basketlake.llm.common import table
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.clusters(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -20,6 +32,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitise.personal_data(table(spark, sf_dir, "documents"))
 
@@ -32,5 +48,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op5_simhash, op6_decontamination, op8_sanitisation, op9_mixing, op10_token_files)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_language, op2_toxicity, op3_neighbours, op4_lm_scores, op5_simhash, op6_decontamination, op7_repeats, op8_sanitisation, op9_mixing, op10_token_files)
+}
 ORACLE = {"op6_decontamination": decontaminate.SQL}
