@@ -6,19 +6,19 @@ import numpy as np
 import zstandard
 
 
-def compress(data: bytes) -> bytes:
-    return zstandard.compress(data, 1)
+def compress(data: bytes, level: int = 3) -> bytes:
+    return zstandard.compress(data, level)
 
 
 def expand(data: bytes) -> bytes:
     return zstandard.decompress(data)
 
 
-def pack(a: np.ndarray) -> bytes:
+def pack(a: np.ndarray, level: int = 3) -> bytes:
     """Unsigned integers byte plane by byte plane, leading zero planes left out, compressed."""
     a = np.ascontiguousarray(a, "<u8").view(np.uint8).reshape(-1, 8)
     planes = max((k + 1 for k in range(8) if a[:, k].any()), default=0)
-    return bytes([planes]) + len(a).to_bytes(7, "little") + compress(a[:, :planes].T.tobytes())
+    return bytes([planes]) + len(a).to_bytes(7, "little") + compress(a[:, :planes].T.tobytes(), level)
 
 
 def unpack(b: bytes) -> np.ndarray:
