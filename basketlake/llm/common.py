@@ -43,3 +43,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def shielded(docs: DataFrame, *used: str):
+    """``docs`` with all columns but the used ones renamed out of an operator's way, and what gives the names back."""
+    names = {c: c if c in used else f"__other{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return inner, lambda df: df.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import lower_ascii, words_of, written
+from basketlake.llm.common import lower_ascii, shielded, words_of, written
 
 #: Everything that is neither an ASCII letter or digit nor above ASCII parts words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -107,7 +107,8 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
     """``docs`` without the contaminated ones, all columns kept."""
     bad = contamination(docs, benchmark, window, share).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
     bad = written(bad, "contaminated")
-    return docs.join(bad, F.expr("doc_id <=> _bad"), "left_anti")
+    rows, named = shielded(docs, "doc_id")
+    return named(rows.join(bad, F.expr("doc_id <=> _bad"), "left_anti"))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -118,9 +119,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     hits = written(hits.withColumnRenamed("doc_id", "_id"), "cuts")
     parts = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)([\x00-\x2F\x3A-\x60\x7B-\x7F]*)"
     lead = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x60\x7B-\x7F]*", 0)
-    kept = F.filter(F.regexp_extract_all("text", F.lit(parts), 0), lambda x, i: ~F.array_contains("_cut", i + 1))
-    joined = docs.join(hits, F.expr("doc_id <=> _id and xxhash64(text) = _th"), "left")
-    return joined.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.concat(lead, F.array_join(kept, "")))).select(*docs.columns)
+    pieces = F.regexp_extract_all("text", F.lit(parts), F.lit(0))
+    kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size(pieces)), "_cut"), lambda i: F.element_at(pieces, i))
+    rows, named = shielded(docs, "doc_id", "text")
+    joined = rows.join(hits, F.expr("doc_id <=> _id and xxhash64(text) = _th"), "left")
+    return named(joined.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.concat(lead, F.array_join(kept, "")))))
 
 
 SQL = r"""

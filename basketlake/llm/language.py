@@ -110,7 +110,7 @@ def language(pages: DataFrame, docs: DataFrame, sample_rows: int = SAMPLE_ROWS,
     parts = lambda alias="p": [F.sum(F.get("p", i)).alias(f"{alias}{i}") for i in range(m)]
     array = lambda alias: F.array(*[F.col(f"{alias}{i}") for i in range(m)])
 
-    every = e.groupBy().agg(*parts("g")).select(F.transform(array("g"), lambda x: x + 1.0).alias("g"))  # one row
+    every = e.groupBy().agg(*parts("g")).select(F.transform(array("g"), lambda x: F.coalesce(x, F.lit(0.0)) + 1.0).alias("g"))  # one row
     g = every.first()["g"]
     share = F.array(*[F.lit(x / sum(g)) for x in g])
     total = F.array(*[F.lit(x) for x in g])

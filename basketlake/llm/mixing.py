@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import WORD, written
+from basketlake.llm.common import WORD, shielded, written
 
 BLOCK = 64
 SHARD = 65_536
@@ -152,17 +152,18 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, mos
     rows = got.groupBy(F.col("doc_id").alias("_id"), F.col("_th").alias("_t"), "start", "_copy").agg(F.sort_array(F.collect_list("_r")).alias("_ranges"))
     same = sized.groupBy("doc_id", "_th").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_i"), F.col("_th").alias("_h"))
     same = written(same, "repeated")
-    once = docs
+    own, named = shielded(docs, "doc_id", "source", "text", "n_chars")
+    once = own
     if same.count():  # rows of repeated documents are in ``rows`` one by one; their text is taken from one of them
         on = F.expr("doc_id <=> _i and xxhash64(text) = _h")
-        again = docs.join(same, on, "left_semi").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
-        once = docs.join(same, on, "left_anti").unionByName(again)
+        again = own.join(same, on, "left_semi").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+        once = own.join(same, on, "left_anti").unionByName(again)
     words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0)
     cut = F.element_at(F.transform(F.array(words), lambda w: F.transform("_ranges", lambda r: F.array_join(F.slice(w, r["at"] + 1, r["n"]), ""))), 1)
     mixed = once.join(rows, F.expr("doc_id <=> _id and xxhash64(text) = _t")).withColumn("text", F.array_join(cut, ""))
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(*docs.columns)
+    return named(mixed)
 
 
 def taken(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, most: int = 3, seed: int = 0) -> DataFrame:

@@ -88,7 +88,7 @@ class _Reader:
             live, lo, rg, same = live[go], lo[go], rg[go], same[go]
             rg = np.where(same, rg, -lo & (_BOT - 1))
             lane = on[live]
-            self.code[lane] = ((self.code[lane] << 8) | self.data[self.at[lane]]) & _ALL
+            self.code[lane] = ((self.code[lane] << 8) | self.data[np.minimum(self.at[lane], len(self.data) - 1)]) & _ALL
             self.at[lane] += 1
             low[live], rng[live] = (lo << 8) & _ALL, (rg << 8) & _ALL
         self.low[on], self.range[on] = low, rng

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import written
+from basketlake.llm.common import shielded, written
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 #: (first bit, lengths of the Hamming codes) of each block; 15 + 7, 7 + 7 + 7, 7 + 7 + 7 bits.
@@ -222,8 +222,9 @@ def keep_one(docs: DataFrame, most: int = DISTANCE) -> DataFrame:
     same = rows.groupBy("doc_id", "_th").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t"))
     same = written(same, "repeated")
     on = F.expr("doc_id <=> _id and xxhash64(text) = _t")
-    kept = docs.join(first, on, "left_semi")
+    own, named = shielded(docs, "doc_id", "text")
+    kept = own.join(first, on, "left_semi")
     if not same.count():
-        return kept
+        return named(kept)
     again = kept.join(same, on, "left_semi").withColumn("_t", F.xxhash64("text")).dropDuplicates(["doc_id", "_t"]).drop("_t")
-    return kept.join(same, on, "left_anti").unionByName(again)
+    return named(kept.join(same, on, "left_anti").unionByName(again))
