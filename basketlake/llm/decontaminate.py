@@ -117,8 +117,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
         F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("len") - 1)))).alias("_cut")
     )
     hits = written(hits.withColumnRenamed("doc_id", "_id"), "cuts")
-    parts = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)([\x00-\x2F\x3A-\x60\x7B-\x7F]*)"
-    lead = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x60\x7B-\x7F]*", 0)
+    gap = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # capitals belong to words here
+    parts, lead = rf"[^{gap}]+[{gap}]*", F.regexp_extract("text", f"^[{gap}]*", 0)
     pieces = F.regexp_extract_all("text", F.lit(parts), F.lit(0))
     kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size(pieces)), "_cut"), lambda i: F.element_at(pieces, i))
     rows, named = shielded(docs, "doc_id", "text")
