@@ -31,12 +31,12 @@ def aggregate_query(
     time_column: str | None = None,
     grain: str = "day",
     raw_columns: list[str] | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
     """Chart query: ``metrics`` (name -> SQL aggregate) by ``dims`` and a time grain.
 
-    ``raw_columns`` switches to a plain projection. ``limit`` is the chart's row
-    cap; rows are ordered by the dimensions so the cap is repeatable.
+    ``raw_columns`` switches to a plain projection. ``limit`` is a cap that
+    the caller asks for; rows are ordered by the dimensions, so it is repeatable.
     """
     for condition in filters or []:
         df = df.where(condition)
@@ -48,7 +48,8 @@ def aggregate_query(
             by.append(F.date_trunc(grain, time_column).cast("date").alias(time_column))
         order = [*(dims or []), *([time_column] if time_column else [])]
         out = df.groupBy(*by).agg(*[F.expr(sql).alias(name) for name, sql in (metrics or {}).items()])
-    return out.orderBy(*order).limit(limit) if limit and order else out
+    out = out.orderBy(*order) if order else out
+    return out.limit(limit) if limit else out
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: list[str]) -> DataFrame:

@@ -5,8 +5,7 @@ orderings are stacked into one narrow frame of (ordering, sort value, id), range
 partitioned on all three. The id makes the order total, so even a value shared
 by most rows is cut at partition borders. The position of a row is its index in
 the partition plus the number of rows in earlier partitions; only those counts
-(one per partition and ordering) are ever brought together. A frame that was
-counted and found small takes the plain window instead.
+(one per partition and ordering) are ever brought together. Every size takes this path.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from pyspark.sql import functions as F
 
 from basketlake.shared import cut_lineage
 
-# Frames of at most this many (counted) rows are ranked by a plain window in one task.
-ONE_TASK_ROWS = 1_000_000
-
 # monotonically_increasing_id() is (partition index << 33) + row index.
 _PARTITION_BITS = 33
 
@@ -27,14 +23,20 @@ def positions(df: DataFrame, key: str, orderings: dict[str, tuple[str, bool]]) -
     """(ordering, value, key, position, total) for every row and ordering.
 
     ``orderings`` maps a name to (numeric column, descending). Ties are broken
-    by ``key`` ascending, which must be unique. Values must fit DECIMAL(20,2).
+    by ``key`` ascending, which must be unique and not NULL. NULL values come last.
     """
     names = list(orderings)
-    pairs = ", ".join(
-        f"{i}, cast({'-' if desc else ''}`{column}` as decimal(20,2))" for i, (column, desc) in enumerate(orderings.values())
-    )
-    stacked = df.selectExpr(f"`{key}` as _id", f"stack({len(names)}, {pairs}) as (_ordering, _value)")
-    order = ["_ordering", "_value", "_id"]
+    # A row for each ordering with its value in a column of the value's own type; the others are NULL there.
+    values = [f"_value{i}" for i in range(len(names))]
+    entries = [
+        F.struct(
+            F.lit(i).alias("_ordering"), F.col(column).isNull().alias("_null"),
+            *[((-F.col(column) if desc else F.col(column)) if k == i else F.lit(None).cast(df.schema[orderings[names[k]][0]].dataType)).alias(v) for k, v in enumerate(values)],
+        )
+        for i, (column, desc) in enumerate(orderings.values())
+    ]
+    stacked = df.select(F.col(key).alias("_id"), F.explode(F.array(*entries)).alias("_e")).select("_id", "_e.*")
+    order = ["_ordering", "_null", *values, "_id"]
     # The bounds of a range shuffle are sampled: the result is stored once, so
     # counts and positions cannot come from two different cuts.
     stored = cut_lineage(
@@ -53,7 +55,7 @@ def positions(df: DataFrame, key: str, orderings: dict[str, tuple[str, bool]]) -
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_ordering") + 1)
     return stored.join(F.broadcast(offsets), ["_ordering", "_part"]).select(
         label.alias("ordering"),
-        F.col("_value").alias("value"),
+        F.struct("_null", *values).alias("value"),
         F.col("_id").alias(key),
         (F.col("_before") + F.col("_row") - F.col("_first") + 1).alias("position"),
         "total",
@@ -71,45 +73,28 @@ def ntile_of(position, total, tiles: int):
     )
 
 
-def _window(key: str, column: str, descending: bool):
-    c = F.col(column)
-    return Window.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last(), key)
-
-
-def with_ntiles(
-    df: DataFrame, key: str, tiles: int, orderings: dict[str, tuple[str, bool]], one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def with_ntiles(df: DataFrame, key: str, tiles: int, orderings: dict[str, tuple[str, bool]]) -> DataFrame:
     """``df`` plus one NTILE column per ordering (ties broken by key).
 
-    ``df`` is stored first: it is read to count, to rank and to join.
+    ``df`` is stored first: it is read to rank and to join.
     """
     df = cut_lineage(df)
-    if df.count() <= one_task_rows:
-        return df.select("*", *[F.ntile(tiles).over(_window(key, *o)).alias(n) for n, o in orderings.items()])
     pos = positions(df, key, orderings)
     tile = ntile_of(F.col("position"), F.col("total"), tiles)
     wide = pos.groupBy(key).agg(*[F.max(F.when(F.col("ordering") == n, tile)).alias(n) for n in orderings])
     return df.join(wide, key)
 
 
-def with_ranks(
-    df: DataFrame, key: str, orderings: dict[str, tuple[str, bool]], one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def with_ranks(df: DataFrame, key: str, orderings: dict[str, tuple[str, bool]]) -> DataFrame:
     """``df`` plus one RANK column per ordering: the first position of each tie group.
 
     Tie groups aggregate map-side; in the join back AQE splits a hot value, whose
     other side is a single row.
     """
     df = cut_lineage(df)
-    if df.count() <= one_task_rows:
-        ranks = []
-        for name, (column, descending) in orderings.items():
-            c = F.col(column)
-            w = Window.orderBy(c.desc_nulls_last() if descending else c.asc_nulls_last())
-            ranks.append(F.rank().over(w).cast("bigint").alias(name))
-        return df.select("*", *ranks)
     pos = positions(df, key, orderings)
     firsts = pos.groupBy("ordering", "value").agg(F.min("position").alias("rank"))
-    ranked = pos.join(firsts, ["ordering", "value"])
+    firsts = firsts.select(F.col("ordering").alias("_o"), F.col("value").alias("_v"), "rank")
+    ranked = pos.join(firsts, F.expr("ordering = _o and value <=> _v"))
     wide = ranked.groupBy(key).agg(*[F.max(F.when(F.col("ordering") == n, F.col("rank"))).alias(n) for n in orderings])
     return df.join(wide, key)

@@ -397,13 +397,14 @@ def forecast_vs_actual_combined(w: Warehouse) -> DataFrame:
     return v_forecast_vs_actual(w).withColumnRenamed("full_date", "date").drop("data_freshness").orderBy("date")
 
 
-def future_forecasts(w: Warehouse, as_of=None, k: int = 28) -> DataFrame:
+def future_forecasts(w: Warehouse, as_of=None, days: int = 14) -> DataFrame:
+    """The next ``days`` days of every metric."""
+    first = _tomorrow(w, as_of)
     return (
         w.table("ml_forecast_daily")
-        .where(F.col("forecast_date") >= _tomorrow(w, as_of))
+        .where((F.col("forecast_date") >= first) & (F.col("forecast_date") < F.date_add(F.lit(first), days)))
         .select(F.col("forecast_date").alias("date"), F.col("metric_name").alias("metric"), F.col("predicted_value").alias("predicted"), "lower_bound", "upper_bound")
         .orderBy("metric", "date")
-        .limit(k)
     )
 
 

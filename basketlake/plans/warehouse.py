@@ -255,7 +255,7 @@ class Warehouse:
             if fail_on_critical:
                 quality.raise_on_critical(outcome)
         except Exception as exc:
-            status, error = "failed", str(exc)[:2000]
+            status, error = "failed", str(exc)
             raise
         finally:
             rows = {name: n for name, n, _, _ in report}

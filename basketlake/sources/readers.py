@@ -13,7 +13,8 @@ ENCODING = "ISO-8859-1"
 
 
 def csv_options(reader):
-    return reader.schema(CSV_TEXT).option("header", True).option("encoding", ENCODING).option("escape", '"').option("multiLine", False)
+    """With a declared schema, a header that names other columns, or in another order, is an error."""
+    return reader.schema(CSV_TEXT).option("enforceSchema", False).option("header", True).option("encoding", ENCODING).option("escape", '"').option("multiLine", False)
 
 
 def rename_by_position(df: DataFrame) -> DataFrame:
@@ -48,8 +49,12 @@ def typed(text: DataFrame, excel: bool = False) -> DataFrame:
 
 
 def read_transactions_csv(spark: SparkSession, path: str, excel: bool = False) -> DataFrame:
-    """Latin-1 CSV with a header line; one split per block, schema declared."""
-    return typed(rename_by_name(csv_options(spark.read).csv(path)), excel)
+    """Latin-1 CSV with a header line, whose names pick the columns in any order.
+
+    All files of one call share a header: one that differs is an error, not a mix-up.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("encoding", ENCODING).option("escape", '"')
+    return typed(rename_by_name(reader.csv(path)), excel)
 
 
 def read_transactions_json(docs: DataFrame, column: str = "payload") -> DataFrame:

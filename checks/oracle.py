@@ -731,7 +731,7 @@ add("forecast_vs_actual_combined", combined("date", ""))
 add(
     "future_forecasts",
     """select forecast_date as date, metric_name as metric, predicted_value::double as predicted, lower_bound::double as lower_bound, upper_bound::double as upper_bound
-    from forecast, today where forecast_date > today order by metric_name, forecast_date limit 28""",
+    from forecast, today where forecast_date between today + 1 and today + 14 order by metric_name, forecast_date""",
 )
 add(
     "latest_forecasts",
@@ -832,7 +832,7 @@ add("last_data_date", "select max(full_date) as last_data_date, count(*) as tota
 add("chart_total_revenue", "select sum(total_revenue)::double as sum_total_revenue from kpis")
 add("chart_total_orders", "select sum(total_orders)::bigint as sum_total_orders from kpis")
 add("chart_avg_order_value", "select round(avg(avg_order_value::double), 4) as avg_order_value from kpis")
-add("chart_revenue_trend", "select full_date, total_revenue::double as sum_total_revenue from kpis order by full_date limit 1000")
+add("chart_revenue_trend", "select full_date, total_revenue::double as sum_total_revenue from kpis order by full_date")
 add("chart_revenue_trend_monthly", "select date_trunc('month', full_date)::date as full_date, sum(total_revenue)::double as sum_total_revenue from kpis group by 1")
 add("chart_revenue_by_country", "select country_name, total_revenue::double as sum_total_revenue from country_mart")
 add("chart_monthly_performance", f"select year_month, {dbl('total_revenue')}, total_orders, {dbl('avg_order_value')} from monthly")

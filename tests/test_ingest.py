@@ -152,3 +152,12 @@ def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
     # A table may be rewritten from itself.
     assert sinks.write_table(spark.read.parquet(path).where("id > 1"), path) == 3
     assert spark.read.parquet(path).count() == 3
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Country,More,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,InvoiceNo\nFrance,x,85123A,HEART,6,12/1/2010 8:26,2.55,17850,536365\n", encoding="latin-1")
+    row = readers.read_transactions_csv(spark, str(tmp_path / "a.csv")).first()
+    assert (row.invoice_no, row.country, row.stock_code, row.quantity, row.customer_id) == ("536365", "France", "85123A", 6, "17850")
+    (tmp_path / "b.csv").write_text("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country,More\n536366,1,HEART,6,12/1/2010 8:26,2.55,17850,France,x\n", encoding="latin-1")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_transactions_csv(spark, str(tmp_path)).collect()
