@@ -238,6 +238,13 @@ def anomaly_rows(found: DataFrame, run_id=None) -> DataFrame:
     )
 
 
+def keep_acknowledgement(found: DataFrame, stored: DataFrame) -> DataFrame:
+    """``found`` with the acknowledgement that the stored row of the same day and metric has."""
+    keys, marks = ["anomaly_date", "metric_name"], ["acknowledged", "acknowledged_by", "acknowledged_at"]
+    done = stored.where("acknowledged").select(*keys, *[F.col(c).alias(f"_{c}") for c in marks])
+    return found.join(done, keys, "left").select(*[F.coalesce(f"_{c}", c).alias(c) if c in marks else F.col(c) for c in found.columns])
+
+
 def acknowledge_anomaly(anomalies: DataFrame, day, metric: str, by: str = "analyst", at=None) -> DataFrame:
     """Marks one (day, metric) as acknowledged; every other row passes through."""
     hit = (F.col("anomaly_date") == F.lit(str(day)).cast("date")) & (F.col("metric_name") == metric)

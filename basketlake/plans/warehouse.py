@@ -37,6 +37,15 @@ STEPS = [
     # RFM columns go to a table of their own: no run rewrites a dimension it has just read.
     ["dim_customer_rfm"],
 ]
+# A training, over the tables above. Its rows are merged by key, so that earlier forecasts can be
+# held against what happened, and earlier runs stay.
+TRAINING = [["backtest_days"], ["ml_backtest_results", "ml_model_runs", "ml_forecast_daily", "ml_anomalies_daily"]]
+KEPT = {
+    "ml_backtest_results": ["run_id", "prediction_date"],
+    "ml_model_runs": ["run_id"],
+    "ml_forecast_daily": ["forecast_date", "metric_name"],
+    "ml_anomalies_daily": ["anomaly_date", "metric_name"],
+}
 # Stored tables that are views: the fact is a projection of staging.
 VIEWS = {"fact_sales": "stg_transactions_clean"}
 
@@ -104,6 +113,12 @@ class Warehouse:
             source = VIEWS[name]
             return self.rows[source] if source in self.rows else self.table(source).count()
         df = self.build(name)
+        if name in KEPT and self.exists(name):
+            if name == "ml_anomalies_daily":
+                df = anomalies.keep_acknowledgement(df, self.table(name))
+            self._frames.pop(name, None)
+            self.rows[name] = sinks.upsert_keyed(self.spark, self.path(name), df, KEPT[name])
+            return self.rows[name]
         self._frames.pop(name, None)
         staging = name == "stg_transactions_clean"
         rows = sinks.write_table(df, self.path(name), partition_by=BY_MONTH if staging else None, cluster=staging)
@@ -134,6 +149,7 @@ class Warehouse:
             "mart_country_performance": lambda: marts.mart_country_performance(t("agg_invoices")),
             "mart_product_performance": lambda: marts.mart_product_performance(t("fact_sales"), t("dim_product")),
             "mart_monthly_trends": lambda: marts.mart_monthly_trends(t("mart_daily_kpis")),
+            "backtest_days": lambda: forecast.backtest_days(self.metric_series(), self.models),
             "ml_backtest_results": lambda: forecast.backtest_rows(self.backtest_days(), self.train_id()),
             "ml_model_runs": self._model_runs,
             "ml_forecast_daily": self._forecasts,
@@ -155,11 +171,13 @@ class Warehouse:
 
     def backtest_days(self) -> DataFrame:
         """Hold-out predictions, stored once: scores, choice and back-test rows share them."""
-        name = "backtest_days"
-        if not self.exists(name):
-            df = forecast.backtest_days(self.metric_series(), self.models)
-            sinks.write_table(df, self.path(name))
-        return self.table(name)
+        return self.table("backtest_days")
+
+    def acknowledge(self, day, metric: str, by: str = "analyst", at=None) -> None:
+        """Stores the acknowledgement of an anomaly; later trainings keep it."""
+        name = "ml_anomalies_daily"
+        sinks.write_table(anomalies.acknowledge_anomaly(self.table(name), day, metric, by, at), self.path(name))
+        self.forget(name)
 
     def scores(self) -> DataFrame:
         return forecast.score_backtest(self.backtest_days())
@@ -223,8 +241,13 @@ class Warehouse:
         run_id: str | None = None,
         refresh_type: str = "full",
         fail_on_critical: bool = True,
+        ingest: bool = True,
+        train: bool | None = None,
     ) -> list[tuple[str, int, int, str]]:
-        """Rebuild the tables in order, check them and log the run.
+        """Read the source again, rebuild the tables in order, check them and log the run.
+
+        ``ingest=False`` starts from the stored raw table, as does a warehouse without a source.
+        Tables of a training are brought up to date where they are stored; ``train`` makes it all or none.
 
         Returns (step, rows, milliseconds, status) per step. Row counts are taken
         while writing. The run ends failed, warning or success by its worst check;
@@ -237,8 +260,10 @@ class Warehouse:
         status, error = "running", None
         passed = failed = 0
         try:
-            if not self.exists("raw_transactions"):
+            if (ingest and self.raw is not None) or not self.exists("raw_transactions"):
                 steps = [["raw_transactions"], *steps]
+            wanted = [[n for n in group if train or (train is None and self.exists(n))] for group in TRAINING]
+            steps = [*steps, *[group for group in wanted if group]]
             for group in steps:
                 with ThreadPoolExecutor(len(group)) as pool:
                     for line in pool.map(inheritable_thread_target(self.spark)(self._step), group):
@@ -260,7 +285,7 @@ class Warehouse:
         finally:
             rows = {name: n for name, n, _, _ in report}
             self._log_refreshes(report, times, run_id, refresh_type)
-            self._log_run(run_id, started, status, source_file, rows, error, passed, failed)
+            self._log_run(run_id, started, status, source_file, rows, error, passed, failed, refresh_type)
         return report
 
     def _step(self, name: str) -> tuple[str, int, int, str]:
@@ -276,7 +301,7 @@ class Warehouse:
             updates = self.spark.createDataFrame(done, TABLE_REFRESH_LOG)
             sinks.upsert_keyed(self.spark, self.path("table_refresh_log"), updates, ["table_name"])
 
-    def _log_run(self, run_id, started, status, source_file, rows, error, passed, failed) -> None:
+    def _log_run(self, run_id, started, status, source_file, rows, error, passed, failed, refresh_type) -> None:
         read, kept = rows.get("raw_transactions"), rows.get("stg_transactions_clean")
         if read is None and self.exists("raw_transactions"):
             read = self.table("raw_transactions").count()
@@ -289,7 +314,7 @@ class Warehouse:
             "dq_checks_failed": str(failed),
         }
         rejected = read - kept if read is not None and kept is not None else None
-        row = (run_id, "etl_full", started, now, status, source_file, read, rows.get("fact_sales"), rejected, error, None)
+        row = (run_id, f"etl_{refresh_type}", started, now, status, source_file, read, rows.get("fact_sales"), rejected, error, None)
         meta = F.to_json(F.create_map(*[F.lit(x) for pair in facts.items() for x in pair]))
         line = self.spark.createDataFrame([row], ETL_RUN_LOG).withColumn("metadata", meta)
         sinks.write_table(line, self.path("etl_run_log"), "append")

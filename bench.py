@@ -70,7 +70,7 @@ def main() -> None:
 
     w = new_warehouse(spark, FOLDER)
     timed("ingest_raw", lambda: w.refresh("raw_transactions"))
-    report = timed("full_etl", lambda: w.run_etl(FOLDER, fail_on_critical=False))
+    report = timed("full_etl", lambda: w.run_etl(FOLDER, fail_on_critical=False, ingest=False))
     timed("backtest_and_train", lambda: w.refresh("ml_forecast_daily"))
     timed("forecast_14d", lambda: consume(forecast.forecast_ets(w.metric_series(), 14)))
     timed("detect_anomalies", lambda: w.refresh("ml_anomalies_daily"))

@@ -286,16 +286,19 @@ def _price_list(spark, folder) -> DataFrame:
 
 def _price_updates(spark, folder) -> DataFrame:
     """Many updates per part; the highest (order, line, price) is the newest."""
-    return table(spark, folder, "lineitem").where("l_partkey % 2 = 0").select(
+    return table(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("part"), F.round("l_extendedprice", 2).alias("price"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("version")
     )
 
 
 @on_tables
 def upsert_keyed(spark, folder):
-    path = _scratch(spark, "prices")
-    sinks.write_table(_price_list(spark, folder), path)
-    sinks.upsert_keyed(spark, path, _price_updates(spark, folder), ["part"], ["version", "price"])
+    """Balances of all customers, updated by the newest event of those who have one."""
+    path = _scratch(spark, "balances")
+    balance = F.round("c_acctbal", 2).alias("amount")
+    sinks.write_table(table(spark, folder, "customer").select(F.col("c_custkey").alias("customer"), balance, F.lit(-1).cast("bigint").alias("version")), path)
+    events = table(spark, folder, "events").select(F.col("user_id").alias("customer"), F.col("value").alias("amount"), F.col("event_id").alias("version"))
+    sinks.upsert_keyed(spark, path, events, ["customer"], ["version", "amount"])
     return spark.read.parquet(path)
 
 
@@ -517,8 +520,8 @@ for _fn in (
     d.product_delta_30d, d.country_delta_30d, d.daily_product_trend, d.growing_countries, d.products_needing_attention,
     d.moving_avg_7d, d.wow_growth, d.forecast_vs_actual_revenue, d.forecast_vs_actual_orders, d.forecast_vs_actual_combined,
     d.v_forecast_vs_actual, d.future_forecasts, d.latest_forecasts, d.forecast_14d_revenue, d.forecast_14d_orders, d.yearly_outlook,
-    d.actual_vs_forecast_30d, d.anomaly_table, d.anomaly_by_severity, d.latest_anomalies, d.latest_anomalies_50, d.recent_anomalies_7d,
-    d.active_alerts_7d, d.active_alerts_14d, d.critical_alert_count, d.alert_summary, d.model_performance_latest,
+    d.actual_vs_forecast_30d, d.anomaly_table, d.anomaly_by_severity, d.latest_anomalies, d.latest_anomalies_50,
+    d.active_alerts_14d, d.critical_alert_count, d.model_performance_latest,
     d.model_comparison, d.v_model_performance, d.model_runs_latest, d.data_freshness, d.v_dashboard_freshness, d.last_data_date,
     d.period_cross,
 ):
@@ -528,7 +531,17 @@ for _name, _segment in (("champions", "Champions"), ("loyal", "Loyal Customers")
     query((lambda s: lambda w: d.rfm_segment_count(w, s))(_segment), f"rfm_segment_count_{_name}")
 
 query(lambda w: d.forecast_vs_actual_revenue(w, faithful=True), "forecast_vs_actual_full")
-query(lambda w: d.serious_anomalies_7d(w).select("anomaly_date", "metric_name", "severity", "anomaly_type", "deviation_pct"), "serious_anomalies_7d")
+
+
+def _alert_day(w):
+    """The newest day with a serious alert, as the day of alert queries."""
+    return w.table("ml_anomalies_daily").where("severity in ('critical', 'high')").agg(F.max("anomaly_date")).first()[0]
+
+
+for _fn in (d.recent_anomalies_7d, d.active_alerts_7d, d.alert_summary):
+    query((lambda fn: lambda w: fn(w, _alert_day(w)))(_fn), _fn.__name__)
+
+query(lambda w: d.serious_anomalies_7d(w, _alert_day(w)).select("anomaly_date", "metric_name", "severity", "anomaly_type", "deviation_pct"), "serious_anomalies_7d")
 query(lambda w: d.yearly_outlook(w, exact_365=True), "yearly_outlook_exact_365")
 
 
@@ -565,7 +578,7 @@ chart(
 
 @query
 def chart_active_alerts(w):
-    return aggregate.aggregate_query(d.active_alerts_7d(w), {"alerts": "count(*)"}, ["anomaly_date", "metric_name", "severity", "anomaly_type"])
+    return aggregate.aggregate_query(d.active_alerts_7d(w, _alert_day(w)), {"alerts": "count(*)"}, ["anomaly_date", "metric_name", "severity", "anomaly_type"])
 
 
 @query
@@ -629,6 +642,42 @@ def run_etl(spark, folder):
     return spark.createDataFrame([(s, n) for s, n, _, _ in report if s != "data_quality_checks"], "step_name string, rows_affected bigint")
 
 
+FIRST_LOAD = "2000-06-01"
+_GROWN: dict[tuple, Warehouse] = {}
+
+
+def _grown(spark, folder) -> Warehouse:
+    """A warehouse loaded and trained twice: with the lines before a day, then with all."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _GROWN:
+        raw = tpch.raw_transactions(spark, folder)
+        loads = iter([raw.where(F.col("invoice_date") < FIRST_LOAD), raw])
+        w = Warehouse(spark, _scratch(spark, "grown"), lambda: next(loads), models=("naive",), z_threshold=1.45, forest=False)
+        w.run_etl("first", fail_on_critical=False, train=True)
+        w.run_etl("second", fail_on_critical=False)
+        _GROWN[key] = w
+    return _GROWN[key]
+
+
+@on_tables
+def run_etl_twice(spark, folder):
+    """Daily KPIs after the second load."""
+    return _grown(spark, folder).table("mart_daily_kpis")
+
+
+@on_tables
+def run_etl_twice_log(spark, folder):
+    """Rows of the refreshed tables; those of a training hold both."""
+    names = ["mart_daily_kpis", "mart_rfm", "mart_product_performance", "ml_forecast_daily", "ml_model_runs"]
+    return _grown(spark, folder).table("table_refresh_log").where(F.col("table_name").isin(names)).select("table_name", "row_count")
+
+
+@on_tables
+def forecast_kept_vs_actual(spark, folder):
+    """Forecasts of the first training against what the second load brought."""
+    return d.forecast_vs_actual_combined(_grown(spark, folder))
+
+
 # --- time series -----------------------------------------------------------------------
 
 

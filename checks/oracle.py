@@ -311,6 +311,16 @@ from errors join (select metric_name, min(ds) as lo, max(ds) as hi from series g
 where metric_name in ('total_revenue', 'total_orders')
 """
 
+PARTS["alert_day"] = "select max(anomaly_date) as today from anomalies where severity in ('critical', 'high')"
+# What a training before this day foresaw stays where the later one says nothing.
+PARTS["filled_early"] = "select * from filled2 where ds <= (select max(full_date) from kpis where full_date < date '2000-06-01')"
+naive("filled_early", 365, "fc_early")
+PARTS["forecast_kept"] = """
+select forecast_date, metric_name, predicted_value, lower_bound, upper_bound from forecast
+union all select ds, metric_name, cast(predicted as decimal(20,2)), cast(lower_bound as decimal(20,2)), cast(upper_bound as decimal(20,2))
+from fc_early where ds not in (select forecast_date from forecast)
+"""
+
 _NAME = re.compile(r"\b(" + "|".join(sorted(PARTS, key=len, reverse=True)) + r")\b")
 # Names that are both a part and a column or table word must follow "from" or "join" or a comma to count as a part.
 _USE = re.compile(r"(?:from|join|,)\s*\(?\s*(" + "|".join(sorted(PARTS, key=len, reverse=True)) + r")\b")
@@ -444,13 +454,13 @@ add("severity_order", "select anomaly_date, metric_name, severity, priority from
 
 # --- keyed writes ------------------------------------------------------------------------------
 
-_LATEST = """select l_partkey as part, round(l_extendedprice, 2) as price, l_orderkey * 10 + l_linenumber as version from lineitem where l_partkey % 2 = 0
+_LATEST = """select l_partkey as part, round(l_extendedprice, 2) as price, l_orderkey * 10 + l_linenumber as version from lineitem
 qualify row_number() over (partition by l_partkey order by l_orderkey * 10 + l_linenumber desc, round(l_extendedprice, 2) desc) = 1"""
 add("latest_per_key", _LATEST)
 add(
     "upsert_keyed",
-    f"""with u as ({_LATEST}) select * from u union all select p_partkey, round(p_retailprice, 2), 0 from part
-    where p_partkey % 3 <> 0 and p_partkey not in (select part from u)""",
+    """with u as (select user_id as customer, value as amount, event_id as version from events qualify row_number() over (partition by user_id order by event_id desc) = 1)
+    select * from u union all select c_custkey, round(c_acctbal, 2), -1 from customer where c_custkey not in (select customer from u)""",
 )
 add(
     "insert_if_absent",
@@ -567,6 +577,13 @@ _BUILT = {
     "mart_country_performance": "country_mart", "mart_product_performance": "product_mart", "mart_monthly_trends": "monthly",
 }
 add("run_etl", " union all ".join(f"select '{n}' as step_name, count(*) as rows_affected from {p}" for n, p in _BUILT.items()))
+add("run_etl_twice", _KPIS)
+add(
+    "run_etl_twice_log",
+    """select 'mart_daily_kpis' as table_name, count(*) as row_count from kpis union all select 'mart_rfm', count(*) from rfm
+    union all select 'mart_product_performance', count(*) from product_mart union all select 'ml_forecast_daily', count(*) from forecast_kept
+    union all select 'ml_model_runs', 2 * count(*) from model_runs""",
+)
 add(
     "top_k",
     "select invoice_no, sum(line_total)::double as amount from fact group by 1 order by sum(line_total) desc, invoice_no limit 28",
@@ -728,6 +745,7 @@ def combined(day: str, extra: str) -> str:
 
 add("v_forecast_vs_actual", combined("full_date", ", (select last_refresh_at from refresh_log where table_name = 'mart_daily_kpis') as data_freshness"))
 add("forecast_vs_actual_combined", combined("date", ""))
+add("forecast_kept_vs_actual", combined("date", "").replace("join forecast ", "join forecast_kept "))
 add(
     "future_forecasts",
     """select forecast_date as date, metric_name as metric, predicted_value::double as predicted, lower_bound::double as lower_bound, upper_bound::double as upper_bound
@@ -768,14 +786,14 @@ add(
 )
 add(
     "recent_anomalies_7d",
-    "select anomaly_date, metric_name, severity, anomaly_type, deviation_pct from anomalies, today where anomaly_date >= today - 7 order by anomaly_date desc, metric_name limit 10",
+    "select anomaly_date, metric_name, severity, anomaly_type, deviation_pct from anomalies, alert_day where anomaly_date >= today - 7 order by anomaly_date desc, metric_name limit 10",
 )
-_SERIOUS = "from anomalies, today where anomaly_date >= today - 7 and severity in ('critical', 'high')"
+_SERIOUS = "from anomalies, alert_day where anomaly_date >= today - 7 and severity in ('critical', 'high')"
 add("serious_anomalies_7d", f"select anomaly_date, metric_name, severity, anomaly_type, deviation_pct {_SERIOUS}")
 add(
     "active_alerts_7d",
     """select anomaly_date, metric_name, actual_value, expected_value, deviation_pct, severity, anomaly_type, null::varchar as probable_cause, business_interpretation,
-    recommended_action, priority as priority_order from anomalies, today where anomaly_date >= today - 7""",
+    recommended_action, priority as priority_order from anomalies, alert_day where anomaly_date >= today - 7""",
 )
 add(
     "active_alerts_14d",
@@ -848,7 +866,7 @@ add(
     """select forecast_date, round(predicted_value::double, 4) as predicted, round(lower_bound::double, 4) as lower, round(upper_bound::double, 4) as upper
     from forecast where metric_name = 'total_revenue'""",
 )
-add("chart_active_alerts", "select anomaly_date, metric_name, severity, anomaly_type, count(*) as alerts from anomalies, today where anomaly_date >= today - 7 group by 1, 2, 3, 4")
+add("chart_active_alerts", "select anomaly_date, metric_name, severity, anomaly_type, count(*) as alerts from anomalies, alert_day where anomaly_date >= today - 7 group by 1, 2, 3, 4")
 add("chart_model_performance", "select target_metric, model_type, round(avg(mape), 4) as avg_mape, min(mape) as best_mape from model_runs group by 1, 2")
 
 # --- data quality -----------------------------------------------------------------------------------

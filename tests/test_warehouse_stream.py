@@ -39,6 +39,25 @@ def test_totals_agree_across_marts(built):
     assert total("mart_daily_kpis") == total("mart_country_performance") == total("mart_product_performance") == total("mart_monthly_trends")
 
 
+def test_second_run_reads_the_source_again(spark, tmp_path):
+    raw, data = skewed_raw(spark, 3000)
+    loads = [raw.where("invoice_date < timestamp '2011-06-10'"), raw]
+    w = Warehouse(spark, str(tmp_path), lambda: loads[0], models=("naive",), z_threshold=1.45, forest=False)
+    w.run_etl("first", fail_on_critical=False, train=True)
+    first = {n: w.table(n).count() for n in ("ml_forecast_daily", "ml_model_runs", "mart_daily_kpis")}
+    early = w.as_of()
+    found = w.table("ml_anomalies_daily").first()
+    w.acknowledge(found.anomaly_date, found.metric_name, "me", "2024-01-01 00:00:00")
+    loads.pop(0)
+    w.run_etl("second", fail_on_critical=False)
+    assert w.table("raw_transactions").count() == len(data) and w.as_of() > early
+    assert w.table("ml_forecast_daily").count() > first["ml_forecast_daily"]
+    assert w.table("ml_model_runs").count() == 2 * first["ml_model_runs"]
+    assert w.table("backtest_days").agg({"ds": "max"}).first()[0] == w.as_of()
+    assert w.table("ml_anomalies_daily").where("acknowledged").select("acknowledged_by").collect() == [("me",)]
+    assert {"ml_forecast_daily", "ml_anomalies_daily"} <= {r.table_name for r in w.table("table_refresh_log").collect()}
+
+
 def test_failed_run_is_logged_and_raised(spark, tmp_path):
     raw, _ = skewed_raw(spark, 50)
     w = Warehouse(spark, str(tmp_path), lambda: raw.where("false"))
