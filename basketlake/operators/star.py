@@ -269,14 +269,18 @@ def fact_sales_lookup(
 ) -> DataFrame:
     """Fact against dimensions that were loaded elsewhere (their keys, their coverage).
 
-    Customer is a left join, the others are inner and drop uncovered lines. No
-    side is forced to broadcast: Spark compares each dimension with its size
-    threshold and AQE splits the hot keys of the shuffled joins.
+    Customer is a left join, the others are inner and drop uncovered lines. Lines
+    without a customer, a large share of all, match none: they pass beside the join,
+    so that no task gathers them. No side is forced to broadcast: Spark compares each
+    dimension with its size threshold and AQE splits the hot keys of the shuffled joins.
     """
+    lines = fact_sales(stg).drop("customer_key", "product_key", "country_key")
+    keys = customers.select("customer_id", "customer_key")
+    known = lines.where("customer_id IS NOT NULL").join(keys, "customer_id", "left")
+    none = F.lit(None).cast(keys.schema["customer_key"].dataType)
+    unknown = lines.where("customer_id IS NULL").withColumn("customer_key", none)
     return (
-        fact_sales(stg)
-        .drop("customer_key", "product_key", "country_key")
-        .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
+        known.unionByName(unknown)
         .join(products.select("stock_code", "product_key"), "stock_code")
         .join(countries.select("country_name", "country_key"), "country_name")
         .join(dates.select("date_key"), "date_key", "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local master may
-    run without it; there a fresh temporary folder takes its place. A cluster
+    ``spark.checkpoint.dir`` is read from the session. Only a master of one
+    process may run without it; there a fresh temporary folder takes its place. A cluster
     without the setting is an error: executors could not see each other's files.
     """
     sc = spark.sparkContext
@@ -23,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="basketlake-"))
         current = sc.getCheckpointDir()

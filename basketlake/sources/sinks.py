@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -43,12 +44,24 @@ def write_table(
 
 
 def _swap(spark, fresh: str, path: str) -> None:
-    """Put a finished table in the place of an old one."""
-    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    """Put a finished table in the place of an old one.
+
+    The old table is set aside first and dropped last, so a whole copy exists at any
+    moment; it comes back when the new one cannot be moved.
+    """
+    aside = f"{path}.old-{uuid.uuid4().hex}"
+    new, old, kept = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, aside))
     fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {fresh} to {path}")
+    if not fs.rename(old, kept):
+        raise OSError(f"could not set {path} aside")
+    try:  # file systems say no by an answer or by an error
+        moved, why = fs.rename(new, old), None
+    except Py4JJavaError as exc:
+        moved, why = False, exc
+    if not moved:
+        fs.rename(kept, old)
+        raise OSError(f"could not move {fresh} to {path}") from why
+    fs.delete(kept, True)
 
 
 def load_raw_overwrite(raw: DataFrame, path: str) -> int:

@@ -154,6 +154,15 @@ def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_a_swap_that_fails_puts_the_old_table_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(5), path)
+    with pytest.raises(OSError):
+        sinks._swap(spark, str(tmp_path / "absent"), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_csv_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Country,More,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,InvoiceNo\nFrance,x,85123A,HEART,6,12/1/2010 8:26,2.55,17850,536365\n", encoding="latin-1")
     row = readers.read_transactions_csv(spark, str(tmp_path / "a.csv")).first()

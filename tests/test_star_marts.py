@@ -85,6 +85,15 @@ def test_fact_by_keys_equals_fact_by_lookup(spark, stg, fact, invoices):
     assert short.count() == 3
 
 
+def test_lookup_of_mostly_null_customers(spark, stg, fact, invoices):
+    dims = star.dim_customer(invoices), star.dim_product(stg), star.dim_country(invoices), star.dim_date_for(stg)
+    nulls = stg.withColumn("customer_id", F.when(F.col("invoice_no") == "536365", F.col("customer_id")))
+    got = star.fact_sales_lookup(nulls, *dims)
+    assert got.count() == fact.count()
+    assert got.where("customer_id IS NULL AND customer_key IS NOT NULL").count() == 0
+    assert got.where("customer_key IS NOT NULL").count() == nulls.where("customer_id IS NOT NULL").count() > 0
+
+
 def test_daily_kpis(invoices):
     kpis = marts.mart_daily_kpis(invoices, marts.first_purchases(star.dim_customer(invoices)))
     got = {r.full_date.day: r for r in kpis.collect()}
