@@ -78,6 +78,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     is clean; an empty benchmark leaves every document clean; repeated rows each get their row; an
     item with a null id hits words but is in no list. Only doc_id and text are read.
     """
+    return _judged(docs, benchmark, window, share, broadcast_windows).drop("_t")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, share: int, broadcast_windows: int) -> DataFrame:
+    """The rows of ``contamination``, and _t, the hash of the row's text: an id alone may stand for several texts."""
     per_doc = (
         find_hits(docs, benchmark, window, broadcast_windows)
         .groupBy("doc_id", "_th")
@@ -98,17 +103,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     every = docs.select("doc_id", F.xxhash64("text").alias("_t"), F.size(_words(F.col("text"))).cast("bigint").alias("n_words"))
     n_hit = F.coalesce("_hit", F.lit(0).cast("bigint"))
     return every.join(per_doc, F.expr("doc_id <=> _id and _t = _th"), "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("_n", F.lit(0).cast("bigint")).alias("n_items"),
+        "doc_id", "_t", "n_words", n_hit.alias("n_hit"), F.coalesce("_n", F.lit(0).cast("bigint")).alias("n_items"),
         F.coalesce("_sha", F.sha2(F.lit(""), 256)).alias("items_sha256"), ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
     )
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """``docs`` without the contaminated ones, all columns kept."""
-    bad = contamination(docs, benchmark, window, share).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+    bad = _judged(docs, benchmark, window, share, BROADCAST_WINDOWS).where("contaminated").select(F.col("doc_id").alias("_bad"), F.col("_t").alias("_bt")).distinct()
     bad = written(bad, "contaminated")
-    rows, named = shielded(docs, "doc_id")
-    return named(rows.join(bad, F.expr("doc_id <=> _bad"), "left_anti"))
+    rows, named = shielded(docs, "doc_id", "text")
+    return named(rows.join(bad, F.expr("doc_id <=> _bad and xxhash64(text) = _bt"), "left_anti"))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -134,6 +134,13 @@ def test_contamination(spark, docs, nothing, bound):
         assert decontaminate.contamination(nothing, bench).count() == 0
 
 
+def test_contaminated_rows_go_alone(spark):
+    rows = [(None, ITEM), (None, _prose(30)), (None, None), (7, ITEM), (7, _prose(31)), (8, _prose(32))]
+    bench = spark.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    kept = decontaminate.remove_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), bench)
+    assert ordered(kept.collect()) == ordered(r for r in rows if r[1] != ITEM)
+
+
 def test_personal_data(docs, nothing):
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
