@@ -28,6 +28,8 @@ WIDTH, GRAM = 200, 24
 BATCH_BYTES, SHARD_BYTES, SORT_BYTES = 4 << 20, 12 << 20, 2 << 20
 #: An anchor that occurs more often is very frequent.
 FREQUENT = 5_000
+#: Low bits of a gram's hash that make room for its position; longer stretches of text are taken in parts.
+PLACE_BITS = 24
 
 
 def _hash_grams(raw: np.ndarray, k: int) -> np.ndarray:
@@ -52,29 +54,39 @@ def _hash_grams(raw: np.ndarray, k: int) -> np.ndarray:
 
 def runs(raw: np.ndarray, lens: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first string, number of strings, anchor hash) of the runs of strings with one anchor, texts one after another."""
+    start = np.concatenate([[0], np.cumsum(lens)])
+    inside = np.zeros(len(raw) + 1, np.int64)
+    long = lens >= width
+    inside[start[:-1][long]] += 1
+    inside[start[1:][long] - width + 1] -= 1
+    inside = np.cumsum(inside)
+    # A stretch holds as many bytes as positions fit; the next one starts with the first string that did not fit.
+    most = 1 << PLACE_BITS
+    parts = [_runs(raw[at : at + most], inside[at : at + most], width, gram, at) for at in range(0, max(len(raw) - width + 1, 1), most - width + 1)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _runs(raw: np.ndarray, inside: np.ndarray, width: int, gram: int, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of one stretch that begins at byte ``at``; ``inside`` tells where a string may start."""
     none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     if len(raw) < width:
         return none
     h = _hash_grams(raw, gram)
-    key = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     window, size = width - gram + 1, 1
     while 2 * size <= window:
         key = np.minimum(key[:-size], key[size:])
         size *= 2
     if size < window:
         key = np.minimum(key[: len(key) - (window - size)], key[window - size :])
-    anchor = (key & np.uint64(0xFFFFFF)).astype(np.int64)
-    start = np.concatenate([[0], np.cumsum(lens)])
-    inside = np.zeros(len(raw) + 1, np.int64)
-    long = lens >= width
-    inside[start[:-1][long]] += 1
-    inside[start[1:][long] - width + 1] -= 1
-    p = np.nonzero(np.cumsum(inside)[: len(anchor)])[0]
+    anchor = (key & low).astype(np.int64)
+    p = np.nonzero(inside[: len(anchor)])[0]
     if not len(p):
         return none
     a = anchor[p]
     new = np.nonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)]))[0]
-    return p[new], np.diff(np.append(new, len(p))), h[a[new]]
+    return p[new] + at, np.diff(np.append(new, len(p))), h[a[new]]
 
 
 def _batches(batch_bytes: int):

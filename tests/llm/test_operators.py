@@ -239,6 +239,24 @@ def test_repeats(docs, nothing, small):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+def test_anchors_of_long_texts(monkeypatch):
+    n = (1 << 24) + 5_000
+    raw = np.random.default_rng(3).integers(0, 256, n, dtype=np.uint8)
+    raw[-900:] = raw[:900]  # the copy lies beyond the positions that 24 bits can hold
+    first, count, key = repeats.runs(raw, np.array([n]), 200, 24)
+    each = np.repeat(key, count)
+    assert (np.repeat(first - np.cumsum(count) + count, count) + np.arange(len(each)) == np.arange(n - 199)).all()
+    assert (each[:701] == each[-701:]).all()
+    raw, lens = raw[:5_000], np.array([150, 1_850, 3_000])
+    want = repeats.runs(raw, lens, 200, 24)
+    monkeypatch.setattr(repeats, "PLACE_BITS", 9)
+    got = repeats.runs(raw, lens, 200, 24)
+    spread = lambda r: (np.concatenate([np.arange(a, a + c) for a, c in zip(r[0], r[1], strict=True)]).tolist(), np.repeat(r[2], r[1]).tolist())
+    assert spread(got)[0] == spread(want)[0]
+    # Fewer bits may name another gram where hashes tie; equal strings still have equal anchors.
+    assert len(spread(got)[1]) == 1_850 - 199 + 3_000 - 199
+
+
 def test_mixing(docs, nothing):
     got = mixing.taken(docs, block=8)
     rows = got.collect()
