@@ -26,17 +26,24 @@ BLOCKS = ((0, (15, 7)), (22, (7, 7, 7)), (43, (7, 7, 7)))
 CELL_ROWS, HOT_ROWS = 200_000, 40_000
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Majority bits of the XXH64 of all word shingles; texts of fewer words have one shingle, none give zero."""
+def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The XXH64 of all word shingles; texts of fewer words have one shingle, those without words none."""
     words = text.encode().lower().split() if text else []  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     k = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(line[a:b], seed) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, len(words) - k + 1)
+    return np.fromiter((digest(line[a:b], seed) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)), np.uint64, len(words) - k + 1)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """Majority bits of the shingles' hashes; a text without words gives zero."""
+    h = shingles(text, shingle, seed)
+    if not len(h):
+        return 0
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 1 << 16):
         ones += np.unpackbits(h[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -216,7 +223,11 @@ def clusters(docs: DataFrame, most: int = DISTANCE) -> DataFrame:
 
 def keep_one(docs: DataFrame, most: int = DISTANCE) -> DataFrame:
     """``docs`` with one document of each component, that of the least id; of repeated rows one stays."""
-    rows = clusters(docs, most)
+    return keep_first(docs, clusters(docs, most))
+
+
+def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """One of ``docs`` for each root of ``rows`` (doc_id, _th, root)."""
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th")).alias("_s"), F.count("*").alias("_n"))
     first = written(first.select(F.col("_s.doc_id").alias("_id"), F.col("_s._th").alias("_t")), "kept")
     same = rows.groupBy("doc_id", "_th").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t"))

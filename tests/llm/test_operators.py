@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from basketlake.llm import decontaminate, induced, language, lm, mixing, neighbours, rangecoder, repeats, sanitise, simhash, tokens, toxicity, trie
+from basketlake.llm import decontaminate, induced, language, lm, mixing, near, neighbours, rangecoder, repeats, sanitise, simhash, tokens, toxicity, trie
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,6 +101,31 @@ def test_simhash_hot_anchors(spark, monkeypatch):
     assert len(set(got.values())) == 1  # twelve bits: all are linked through each other
 
 
+def test_near_copies(spark, docs, nothing):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(11)
+    texts = [r[1] for r in ROWS]
+    for _ in range(6):  # copies with changed words, on both sides of the limit, and a passage that many share
+        base = [f"w{x}" for x in rng.integers(0, 5_000, 100)]
+        for changes in (0, 1, 1, 2, 2, 3, 5, 9):
+            other = list(base)
+            for at in rng.integers(0, 100, changes):
+                other[at] = "changed" + str(rng.integers(0, 9_000))
+            texts.append(" ".join(other))
+    texts += [" ".join(f"w{x}" for x in rng.integers(0, 5_000, 40)) + " " + PASSAGE[:200] for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := words(t)) else set() for t in texts]
+    alike = [[j for j in range(len(sets)) if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])] for i in range(len(sets))]
+    least = list(range(len(sets)))
+    for _ in rows:
+        least = [min(least[j] for j in alike[i]) for i in range(len(sets))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()) == sorted(set(least))
+    kept = near.keep_one(docs)
+    assert kept.columns == docs.columns and near.keep_one(nothing).count() == 0
+
+
 BENCH = [(1, ITEM), (10, "Short item"), (2, None), (3, "..."), (4, PASSAGE), (None, _prose(20)), (1, ITEM)]
 
 
