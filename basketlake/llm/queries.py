@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlake.llm import decontaminate, language, lm, mixing, neighbours, repeats, sanitise, simhash, tokens, toxicity
+from basketlake.llm import decontaminate, language, lm, mixing, negatives, neighbours, repeats, sanitise, simhash, spelling, tokens, toxicity, urls
 from basketlake.llm.common import table
 
 
@@ -48,8 +48,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_toxicity, op3_neighbours, op4_lm_scores, op5_simhash, op6_decontamination, op7_repeats, op8_sanitisation, op9_mixing, op10_token_files)
+    for f in (op1_language, op2_toxicity, op3_neighbours, op4_lm_scores, op5_simhash, op6_decontamination, op7_repeats, op8_sanitisation, op9_mixing, op10_token_files, op11_url_filter, op12_spelling, op13_hard_negatives)
 }
-ORACLE = {"op6_decontamination": decontaminate.SQL}
+ORACLE = {"op6_decontamination": decontaminate.SQL, "op11_url_filter": urls.SQL, "op13_hard_negatives": negatives.SQL}
