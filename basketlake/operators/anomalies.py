@@ -1,4 +1,4 @@
-"""Anomalies in daily series: rolling z-score per day type plus an isolation forest."""
+"""Anomalies in daily series: a rolling z-score and a median rule per day type, and optionally an isolation forest."""
 
 from __future__ import annotations
 
@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlake.operators.series import METRIC
+from basketlake.operators.series import METRIC, lookback_filter
 
 MIN_DAYS = 14
 ROLLING_ROWS = 4
 Z_THRESHOLD = 2.5
+#: Robust z-score beyond which a day stands out, and what makes a median deviation comparable to a standard deviation.
+ROBUST_THRESHOLD, MAD_SCALE = 3.5, 1.4826
+#: Metrics a detection over recent days takes, and how far it looks back.
+DETECTED_METRICS = ["total_revenue", "total_orders", "unique_customers", "avg_order_value"]
+LOOKBACK_DAYS = 30
 
 
 def _day_types(series: DataFrame, keys: list[str]) -> DataFrame:
@@ -62,6 +67,23 @@ def anomaly_zscore(series: DataFrame, keys: list[str] = METRIC) -> DataFrame:
     )
 
 
+def anomaly_median(scored: DataFrame, keys: list[str] = METRIC) -> DataFrame:
+    """Adds ``median``, ``spread`` and ``robust_z``: how far a day is from the median of its day type, in median deviations.
+
+    One day that stands out moves neither, while it moves the mean and the deviation of its own window. Two small
+    aggregates, of a row per series and day type, are joined back. A day type whose days are mostly equal has spread 0;
+    then the rest differ at all, and ``robust_z`` is taken against one hundredth of the median, or against 1.
+    """
+    by = [*keys, "is_weekend"]
+    centre = scored.groupBy(*by).agg(F.median("value").alias("median"))
+    apart = scored.join(centre, by).withColumn("_off", F.abs(F.col("value") - F.col("median")))
+    spread = apart.groupBy(*by).agg((F.median("_off") * MAD_SCALE).alias("spread"))
+    off = F.col("value") - F.col("median")
+    hundredth = F.abs("median") / 100
+    unit = F.when(F.col("spread") > 0, F.col("spread")).when(hundredth > 0, hundredth).otherwise(F.lit(1.0))
+    return apart.drop("_off").join(spread, by).withColumn("robust_z", off / unit)
+
+
 # --- isolation forest ---------------------------------------------------------
 
 TREES = 100
@@ -175,14 +197,32 @@ def recommended_action():
     )
 
 
-def label_anomalies(scored: DataFrame, z_threshold: float = Z_THRESHOLD, metric: str = "metric_name") -> DataFrame:
-    """Keeps the anomalous days and explains them; ``if_anomaly`` counts when present."""
+def label_anomalies(
+    scored: DataFrame, z_threshold: float = Z_THRESHOLD, metric: str = "metric_name", robust_threshold: float = ROBUST_THRESHOLD
+) -> DataFrame:
+    """Keeps the anomalous days and explains them; ``robust_z`` and ``if_anomaly`` count when present.
+
+    A day that only the median rule finds is measured against the median: expected value, deviation and score are its.
+    """
     flag = F.abs("z_score") > z_threshold
+    if "robust_z" in scored.columns:
+        robust = ~flag & (F.abs("robust_z") > robust_threshold)
+        v = F.col("value")
+        base = F.when(F.col("median") == 0, 1.0).otherwise(F.col("median"))
+        scored = (
+            scored.withColumn("_robust", robust)
+            .withColumn("expected", F.when(F.col("_robust"), F.col("median")).otherwise(F.col("expected")))
+            .withColumn("deviation_pct", F.when(F.col("_robust"), F.round((v - F.col("median")) / base * 100, 2)).otherwise(F.col("deviation_pct")))
+            .withColumn("z_score", F.when(F.col("_robust"), F.col("robust_z")).otherwise(F.col("z_score")))
+        )
+        # Either score above its own limit; the median rule's is kept apart, as ``z_score`` holds the one that counts.
+        flag = F.col("_robust") | flag
     if "if_anomaly" in scored.columns:
         flag = flag | F.col("if_anomaly")
     kind = F.when(F.col("value") > F.col("expected"), "spike").when(F.col("value") < F.col("expected"), "drop")
     return (
         scored.where(flag)
+        .drop("_robust")
         .withColumn("anomaly_type", kind)
         .withColumn("severity", severity())
         .withColumn("business_interpretation", interpretation(metric))
@@ -195,19 +235,28 @@ def detect_anomalies(
     keys: list[str] = METRIC,
     contamination: float = 0.1,
     z_threshold: float = Z_THRESHOLD,
-    forest: bool = True,
+    forest: bool = False,
+    robust: bool = True,
+    robust_threshold: float = ROBUST_THRESHOLD,
+    lookback_days: int | None = None,
 ) -> DataFrame:
-    """Isolation forest or z-score, with type, severity, text and advice per anomalous day."""
+    """Z-score or median rule, or the isolation forest, with type, severity, text and advice per anomalous day.
+
+    ``lookback_days`` keeps the days up to so many before the newest of all, and the rules then know only these.
+    """
+    if lookback_days is not None:
+        series = lookback_filter(series, lookback_days, keys)
     scored = anomaly_zscore(series, keys)
+    if robust:
+        scored = anomaly_median(scored, keys)
     if forest:
         scored = anomaly_isolation_forest(scored, keys, contamination)
-    return label_anomalies(scored, z_threshold, keys[0])
+    return label_anomalies(scored, z_threshold, keys[0], robust_threshold)
 
 
 def anomaly_rows(found: DataFrame, run_id=None) -> DataFrame:
-    """Detected days in the shape of the anomaly table."""
+    """Detected days in the shape of the anomaly table. Scores and deviations are doubles: a day of any size keeps its figure."""
     none = lambda t: F.lit(None).cast(t)
-    limit = F.lit(99999999)
     # Means of cents end in halves of a cent: six digits first, so that the last bit of a
     # double does not decide how they round.
     money = lambda c: F.round(F.col(c).cast("decimal(22,6)"), 2).cast("decimal(20,2)")
@@ -218,8 +267,8 @@ def anomaly_rows(found: DataFrame, run_id=None) -> DataFrame:
         money("expected").alias("expected_value"),
         none("decimal(20,2)").alias("lower_bound"),
         none("decimal(20,2)").alias("upper_bound"),
-        F.when(F.abs("deviation_pct") < limit, F.col("deviation_pct")).cast("decimal(12,4)").alias("deviation_pct"),
-        F.when(F.abs("z_score") < limit, F.col("z_score")).cast("decimal(12,4)").alias("z_score"),
+        "deviation_pct",
+        F.round("z_score", 4).alias("z_score"),
         "anomaly_type",
         "severity",
         "is_weekend",

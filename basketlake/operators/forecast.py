@@ -1,15 +1,17 @@
 """Forecast models, back-test and model choice.
 
-Spark shuffles the work: one task per (series, model), each a single daily
-series. Errors, baseline and choice are plain DataFrame aggregates; only the
-numeric fit is Python.
+The models of ``NATIVE`` are DataFrame expressions over any number of series. Those of ``FITS`` are optional
+numeric fits in Python, one task per (series, model), each a single daily series. Errors, baseline and choice are
+plain DataFrame aggregates.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +22,14 @@ from basketlake.operators.series import (
     forecast_errors,
     naive_weekly_forecast,
     select_best_model,
-    train_test_split_tail,
+    smoothing_forecast,
+    weekday_mean_forecast,
 )
 
 # Display names of the models.
-MODEL_NAMES = {"ets": "ETS", "trend_seasonal": "Trend + seasonality", "naive": "Naive weekly"}
+MODEL_NAMES = {
+    "ets": "ETS", "trend_seasonal": "Trend + seasonality", "naive": "Naive weekly", "weekday_mean": "Weekday mean", "smoothing": "Exponential smoothing",
+}
 LEVEL = 0.95
 Z_LEVEL = 1.96
 SEASON = 7
@@ -79,43 +84,48 @@ def _design(t: np.ndarray, knots: np.ndarray) -> np.ndarray:
     return np.column_stack(cols)
 
 
-def fit_trend_seasonal(y: np.ndarray, horizon: int) -> tuple[np.ndarray, float] | None:
-    """Ridge least squares on a bending trend plus weekly and yearly seasons."""
+def fit_trend_seasonal(y: np.ndarray, horizon: int, knots: int = 25, yearly_penalty: float = 5.0) -> tuple[np.ndarray, float] | None:
+    """Ridge least squares on a bending trend plus weekly and yearly seasons; the same model at every length."""
     n = len(y)
     if n < 2 * SEASON:
         return None
     scale = float(np.abs(y).max()) or 1.0
     t = np.arange(n + horizon, dtype=float)
-    knots = np.linspace(0, 0.8 * (n - 1), 26)[1:] if n >= 100 else np.array([])
-    x = _design(t, knots)
+    bends = np.linspace(0, 0.8 * (n - 1), knots + 1)[1:]
+    x = _design(t, bends)
     # Slope changes are held back most, seasons little, level and slope not at all.
-    penalty = np.r_[0.0, 1e-6, np.full(len(knots), 20.0), np.full(6, 0.01), np.full(20, 0.01 if n >= 730 else 5.0)]
+    penalty = np.r_[0.0, 1e-6, np.full(knots, 20.0), np.full(6, 0.01), np.full(20, yearly_penalty)]
     coef = np.linalg.solve(x[:n].T @ x[:n] + np.diag(penalty), x[:n].T @ (y / scale))
     fitted = x @ coef * scale
     return fitted[n:], float((y - fitted[:n]).std())
 
 
-def fit_naive(y: np.ndarray, horizon: int) -> tuple[np.ndarray, float] | None:
-    if len(y) < SEASON:
-        return np.full(horizon, y.mean()), float(y.std())
-    diff = y[SEASON:] - y[:-SEASON]
-    return y[-SEASON:][np.arange(horizon) % SEASON], float(diff.std(ddof=1)) if len(diff) > 1 else 0.0
-
-
-FITS = {"ets": fit_ets, "trend_seasonal": fit_trend_seasonal, "naive": fit_naive}
+FITS = {"ets": fit_ets, "trend_seasonal": fit_trend_seasonal}
+NATIVE = {"naive": naive_weekly_forecast, "weekday_mean": weekday_mean_forecast, "smoothing": smoothing_forecast}
 
 
-def forecast(series: DataFrame, models: list[str] | None, horizon: int, keys: list[str] = METRIC) -> DataFrame:
+def forecast(series: DataFrame, models: list[str], horizon: int, keys: list[str] = METRIC) -> DataFrame:
     """Forecast of each (gap-filled) series with each model.
 
-    ``models=None`` means the series frame already names its model in
-    ``model_type``. Columns: keys, model_type, ds, step, predicted, lower_bound,
-    upper_bound; values clipped at 0 and rounded to 2 digits. A model that
-    cannot be fitted to a series gives no rows for it.
+    A series frame with a column ``model_type`` names its model itself, one of ``models``. Columns: keys,
+    model_type, ds, step, predicted, lower_bound, upper_bound; values clipped at 0 and rounded to 2 digits.
+    A model that cannot be fitted to a series gives no rows for it.
     """
-    if models is not None:
-        names = F.array(*[F.lit(m) for m in models])
-        series = series.withColumn("model_type", F.explode(names))
+    named = "model_type" in series.columns
+    columns = [*keys, "model_type", "ds", "step", "predicted", "lower_bound", "upper_bound"]
+    frames = []
+    for m in [m for m in models if m in NATIVE]:
+        own = series.where(F.col("model_type") == m) if named else series
+        rows = NATIVE[m](own.select(*keys, "ds", "value"), horizon, keys)
+        frames.append(rows.withColumn("model_type", F.lit(m)).select(*columns))
+    if fits := [m for m in models if m in FITS]:
+        chosen = F.array(*[F.lit(m) for m in fits])
+        frames.append(_fitted(series.where(F.col("model_type").isin(fits)) if named else series.withColumn("model_type", F.explode(chosen)), horizon, keys))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _fitted(series: DataFrame, horizon: int, keys: list[str]) -> DataFrame:
+    """The fits named in ``model_type``, one task per series and model."""
     key_fields = [series.schema[k] for k in keys]
     schema = T.StructType(
         key_fields
@@ -147,20 +157,30 @@ def forecast_trend_seasonal(series: DataFrame, horizon: int = 14, keys: list[str
     return forecast(fill_daily_gaps(series, keys), ["trend_seasonal"], horizon, keys)
 
 
-def backtest_days(series: DataFrame, models: list[str], test_days: int = 14, keys: list[str] = METRIC) -> DataFrame:
-    """Prediction next to the actual for every hold-out day, model and series."""
-    split = train_test_split_tail(fill_daily_gaps(series, keys), test_days, keys=keys)
-    train = split.where(~F.col("is_test")).drop("is_test")
-    actual = split.where("is_test").select(*keys, "ds", F.col("value").alias("actual"))
-    fitted = forecast(train, models, test_days, keys).drop("step")
-    base = naive_weekly_forecast(train, test_days, keys).select(*keys, "ds", F.col("predicted").alias("baseline"))
-    return fitted.join(actual, keys + ["ds"]).join(base, keys + ["ds"])
+def backtest_days(series: DataFrame, models: list[str], test_days: int = 14, keys: list[str] = METRIC, origins: int = 3, min_train: int = 30) -> DataFrame:
+    """Prediction next to the actual for every hold-out day, model and series, from rolling origins.
 
-
-def backtest(series: DataFrame, models: list[str], test_days: int = 14, keys: list[str] = METRIC) -> DataFrame:
+    Origin 0 forecasts the last ``test_days`` days from all days before, origin 1 the ``test_days`` before
+    those, and so on; an origin with less than ``min_train`` days before it is left out. Columns: keys, origin,
+    model_type, ds, predicted, lower_bound, upper_bound, actual, baseline.
+    """
+    filled = fill_daily_gaps(series, keys)
+    w = Window.partitionBy(*keys)
+    placed = filled.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_back", F.row_number().over(w.orderBy(F.col("ds").desc())))
+    rolled = placed.withColumn("origin", F.explode(F.sequence(F.lit(0), F.lit(origins - 1))))
+    rolled = rolled.where((F.col("_n") >= (F.col("origin") + 1) * test_days + min_train) & (F.col("_back") > F.col("origin") * test_days))
+    test = F.col("_back") <= (F.col("origin") + 1) * test_days
+    by = [*keys, "origin"]
+    train = rolled.where(~test).select(*by, "ds", "value")
+    actual = rolled.where(test).select(*by, "ds", F.col("value").alias("actual"))
+    predicted = forecast(train, models, test_days, by).drop("step")
+    base = naive_weekly_forecast(train, test_days, by).select(*by, "ds", F.col("predicted").alias("baseline"))
+    return predicted.join(actual, by + ["ds"]).join(base, by + ["ds"])
+
+
+def backtest(series: DataFrame, models: list[str], test_days: int = 14, keys: list[str] = METRIC, origins: int = 3) -> DataFrame:
     """Errors of each model on the hold-out days against the naive week."""
-    days = backtest_days(series, models, test_days, keys)
-    return score_backtest(days, keys)
+    return score_backtest(backtest_days(series, models, test_days, keys, origins), keys)
 
 
 def score_backtest(days: DataFrame, keys: list[str] = METRIC) -> DataFrame:
@@ -193,6 +213,7 @@ def backtest_rows(days: DataFrame, run_id: str) -> DataFrame:
         F.concat_ws("-", F.lit(run_id), "model_type", "metric_name").alias("run_id"),
         "metric_name",
         "model_type",
+        "origin",
         F.col("ds").alias("prediction_date"),
         money(a, "actual_value"),
         money(p, "predicted_value"),
@@ -204,10 +225,13 @@ def backtest_rows(days: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def forecast_all(series: DataFrame, best: DataFrame, horizon: int = 365, keys: list[str] = METRIC) -> DataFrame:
-    """One long forecast per series with its chosen model; shorter horizons are a filter on ``step``."""
+def forecast_all(series: DataFrame, best: DataFrame, horizon: int = 365, keys: list[str] = METRIC, models: list[str] | None = None) -> DataFrame:
+    """One long forecast per series with its chosen model; shorter horizons are a filter on ``step``.
+
+    ``models`` are those that ``best`` may name.
+    """
     filled = fill_daily_gaps(series, keys)
-    return forecast(filled.join(best.select(*keys, "model_type"), keys), None, horizon, keys)
+    return forecast(filled.join(best.select(*keys, "model_type"), keys), models or [*NATIVE, *FITS], horizon, keys)
 
 
 def forecast_rows(predicted: DataFrame, run_id: str | None = None, version: str = "1") -> DataFrame:
@@ -227,13 +251,14 @@ def forecast_rows(predicted: DataFrame, run_id: str | None = None, version: str
     )
 
 
-def record_model_runs(scores: DataFrame, spans: DataFrame, run_id: str, at, version: str = "1", keys: list[str] = METRIC) -> DataFrame:
-    """Back-test scores of trained models as rows of the model run table.
+def record_model_runs(scores: DataFrame, spans: DataFrame, best: DataFrame, run_id: str, at, version: str = "1", keys: list[str] = METRIC) -> DataFrame:
+    """Back-test scores as rows of the model run table: the model trained per series is ``completed``, the others ``rejected``.
 
-    ``spans`` holds train_start_date, train_end_date and train_samples per series.
+    ``spans`` holds train_start_date, train_end_date and train_samples per series, ``best`` the chosen model_type.
     """
     four = lambda c, t: F.round(c, 4).cast(t).alias(c)
-    joined = scores.join(spans, keys)
+    chosen = best.select(*keys, "model_type", F.lit("completed").alias("status"))
+    joined = scores.join(spans, keys).join(chosen, [*keys, "model_type"], "left")
     return joined.select(
         F.concat_ws("-", F.lit(run_id), "model_type", "metric_name").alias("run_id"),
         F.lit(str(at)).cast("timestamp_ntz").alias("run_timestamp"),
@@ -252,13 +277,32 @@ def record_model_runs(scores: DataFrame, spans: DataFrame, run_id: str, at, vers
         F.round(improvement_pct(F.col("baseline_mape"), F.col("mape")), 4).cast("decimal(12,4)").alias("improvement_vs_baseline_pct"),
         F.lit(version).alias("model_version"),
         F.lit(version).alias("code_version"),
-        F.lit("completed").alias("status"),
+        F.coalesce("status", F.lit("rejected")).alias("status"),
         F.lit(None).cast("string").alias("error_message"),
         F.lit("basketlake").alias("created_by"),
         F.lit(None).cast("string").alias("notes"),
     )
 
 
+def detection_runs(found: DataFrame, spans: DataFrame, run_id: str, at, parameters: dict, version: str = "1") -> DataFrame:
+    """A row of the model run table for each series in which a detection found days; it has no forecast errors."""
+    days = found.groupBy("metric_name").agg(F.count(F.lit(1)).alias("_days"))
+    none = lambda *names: [F.lit(None).cast(t).alias(n) for n, t in names]
+    text = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in parameters.items()]))
+    return spans.join(days, "metric_name").select(
+        F.concat_ws("-", F.lit(run_id), F.lit("anomaly"), "metric_name").alias("run_id"),
+        F.lit(str(at)).cast("timestamp_ntz").alias("run_timestamp"),
+        F.lit("anomaly_robust").alias("model_type"),
+        F.col("metric_name").alias("target_metric"),
+        "train_start_date", "train_end_date", F.col("train_samples").cast("int").alias("train_samples"), text.alias("parameters"),
+        *none(*[(c, "decimal(12,4)") for c in ("mape", "smape")], *[(c, "decimal(20,4)") for c in ("rmse", "mae")],
+              ("baseline_mape", "decimal(12,4)"), ("baseline_rmse", "decimal(20,4)"), ("improvement_vs_baseline_pct", "decimal(12,4)")),
+        F.lit(version).alias("model_version"), F.lit(version).alias("code_version"), F.lit("completed").alias("status"),
+        F.lit(None).cast("string").alias("error_message"), F.lit("basketlake").alias("created_by"),
+        F.concat(F.col("_days").cast("string"), F.lit(" days found")).alias("notes"),
+    )
+
+
 def train_spans(series: DataFrame, keys: list[str] = METRIC) -> DataFrame:
     return series.where(F.col("value").isNotNull()).groupBy(*keys).agg(
         F.min("ds").alias("train_start_date"),

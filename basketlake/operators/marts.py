@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlake.functions.amounts import MONEY, avg_exact, change_pct, money_sum, ratio, share, sum_if
+from basketlake.functions.amounts import MONEY, avg_exact, change_pct, money_sum, ratio, share
 from basketlake.functions.rules import date_key, rfm_segment, segment_description
 from basketlake.operators.ranking import with_ntiles, with_ranks
-from basketlake.operators.star import distinct_per_key, left_join_all, valid_sale
+from basketlake.operators.star import distinct_per_key, left_join_all
 
 
 def first_purchases(customers: DataFrame) -> DataFrame:
@@ -103,45 +103,36 @@ def mart_rfm(invoices: DataFrame, kpis: DataFrame, as_of=None, corrected: bool =
     )
 
 
-def mart_country_performance(invoices: DataFrame) -> DataFrame:
-    """Revenue, orders, customers, AOV and shares per country.
+def mart_country_performance(totals: DataFrame) -> DataFrame:
+    """Revenue, orders, customers, AOV and shares per country, from :func:`star.country_totals`.
 
-    Orders overall are counted once more: an invoice may span two countries.
+    An invoice may span two countries, so the share's base is not the sum of their orders.
     """
-    live = F.when(~F.col("is_cancelled"), F.col("invoice_no"))
-    countries = invoices.groupBy("country_name").agg(
-        money_sum(F.col("revenue")).alias("total_revenue"),
-        F.count_distinct(live).alias("total_orders"),
-        F.count_distinct("customer_id").alias("total_customers"),
-    )
-    all_revenue = invoices.agg(money_sum(F.col("revenue"))).scalar()
-    all_orders = invoices.agg(F.count_distinct(live)).scalar()
+    all_revenue = totals.agg(money_sum(F.col("total_revenue"))).scalar()
+    all_orders = totals.agg(F.sum("counted_orders")).scalar()
     zero = F.lit(0)
-    n_orders = F.col("total_orders")
-    return (
-        countries.select(
-            F.xxhash64("country_name").alias("country_key"),
-            "country_name",
-            "total_revenue",
-            n_orders,
-            "total_customers",
-            F.coalesce(ratio(F.col("total_revenue"), n_orders, 2), zero).cast(MONEY).alias("avg_order_value"),
-            F.coalesce(share(F.col("total_revenue"), all_revenue), zero).cast("decimal(5,2)").alias("revenue_share_pct"),
-            F.coalesce(ratio(n_orders, all_orders, 2, per=100), zero).cast("decimal(5,2)").alias("orders_share_pct"),
-        )
+    n_orders = F.col("live_orders")
+    return totals.select(
+        F.xxhash64("country_name").alias("country_key"),
+        "country_name",
+        "total_revenue",
+        n_orders.alias("total_orders"),
+        "total_customers",
+        F.coalesce(ratio(F.col("total_revenue"), n_orders, 2), zero).cast(MONEY).alias("avg_order_value"),
+        F.coalesce(share(F.col("total_revenue"), all_revenue), zero).cast("decimal(5,2)").alias("revenue_share_pct"),
+        F.coalesce(ratio(n_orders, all_orders, 2, per=100), zero).cast("decimal(5,2)").alias("orders_share_pct"),
     )
 
 
-def product_sales(fact: DataFrame) -> DataFrame:
-    """Sums per article, and its uncancelled invoices.
+def product_sales(days: DataFrame, fact: DataFrame) -> DataFrame:
+    """Sums per article from :func:`star.product_days`, and its uncancelled invoices from the lines.
 
-    The count is kept apart: its shuffle then carries (article, invoice) only,
-    and the sums combine map-side to one row per article and task.
+    An invoice may span days, so invoices are counted over the lines; that shuffle carries (article, invoice) only.
     """
-    sums = fact.groupBy("stock_code").agg(
-        money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("total_revenue"),
-        sum_if(valid_sale(), F.col("quantity")).cast("bigint").alias("total_quantity"),
-        avg_exact(F.col("unit_price")).cast(MONEY).alias("avg_unit_price"),
+    sums = days.groupBy("stock_code").agg(
+        money_sum(F.col("revenue")).alias("total_revenue"),
+        F.sum("quantity").alias("total_quantity"),
+        ratio(F.sum("prices"), F.sum("priced_lines"), 2).cast(MONEY).alias("avg_unit_price"),
     )
     orders = distinct_per_key(fact.where(~F.col("is_cancelled")), ["stock_code"], "invoice_no", "total_orders")
     return sums.join(orders, "stock_code", "left").withColumn("total_orders", F.coalesce("total_orders", F.lit(0)))
@@ -153,9 +144,10 @@ def product_ranks(sales: DataFrame) -> DataFrame:
     )
 
 
-def mart_product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
+def mart_product_performance(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Ranked sales per article; ``sales`` from :func:`product_sales`."""
     return (
-        product_ranks(product_sales(fact))
+        product_ranks(sales)
         .join(products.select("stock_code", "product_key", "description", "product_category"), "stock_code")
         .select(
             "product_key",

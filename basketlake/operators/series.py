@@ -5,7 +5,7 @@ A series has one row per day, so one group is at most as long as the calendar.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlake.functions import errors
@@ -13,7 +13,7 @@ from basketlake.schemas import KPI_METRICS
 
 METRIC = ["metric_name"]
 # Names a model may be asked for by.
-MODELS = {"ets", "trend_seasonal", "naive"}
+MODELS = {"naive", "weekday_mean", "smoothing", "ets", "trend_seasonal"}
 
 
 def unpivot_metrics(kpis: DataFrame, metrics: list[str] = KPI_METRICS, day: str = "full_date") -> DataFrame:
@@ -98,6 +98,62 @@ def naive_weekly_forecast(
     )
 
 
+def _cents(c: Column) -> Column:
+    """Clipped at zero and rounded to two digits; six digits first, so that the last bit of a double decides nothing."""
+    return F.round(F.greatest(c, F.lit(0.0)).cast("decimal(24,6)"), 2).cast("double")
+
+
+def _by_weekday(weekdays: DataFrame, horizon: int, keys: list[str], z: float) -> DataFrame:
+    """Forecast rows from (keys, _weekday, _last, _level, _sd, _n): a level per series and day of the week.
+
+    A weekday that a short series lacks takes the mean of the others, weighed by their days.
+    """
+    w = Window.partitionBy(*keys)
+    last = F.max("_last").over(w)
+    mean = F.sum(F.col("_level") * F.col("_n")).over(w) / F.sum("_n").over(w)
+    per = weekdays.withColumn("_end", last).withColumn("_mean", mean).groupBy(*keys).agg(
+        F.first("_end").alias("_end"), F.first("_mean").alias("_mean"),
+        F.map_from_entries(F.collect_list(F.struct("_weekday", F.struct("_level", "_sd")))).alias("_of"),  # seven entries at most
+    )
+    steps = per.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step")).withColumn("ds", F.date_add("_end", F.col("step")))
+    found = F.col("_of")[F.weekday("ds")]
+    level, sd = F.coalesce(found["_level"], F.col("_mean")), F.coalesce(found["_sd"], F.lit(0.0))
+    return steps.select(
+        *keys, "ds", "step", _cents(level).alias("predicted"), _cents(level - z * sd).alias("lower_bound"), _cents(level + z * sd).alias("upper_bound")
+    )
+
+
+def weekday_mean_forecast(series: DataFrame, horizon: int, keys: list[str] = METRIC, weeks: int = 8, z: float = 1.96) -> DataFrame:
+    """The mean of the last ``weeks`` days of the same day of the week; bounds are ``z`` of their deviations."""
+    w = Window.partitionBy(*keys, F.weekday("ds")).orderBy(F.col("ds").desc())
+    recent = series.withColumn("_weekday", F.weekday("ds")).withColumn("_back", F.row_number().over(w)).where(F.col("_back") <= weeks)
+    levels = recent.groupBy(*keys, "_weekday").agg(
+        F.max("ds").alias("_last"), F.avg("value").alias("_level"), F.stddev_pop("value").alias("_sd"), F.count(F.lit(1)).alias("_n")
+    )
+    return _by_weekday(levels, horizon, keys, z)
+
+
+def smoothing_forecast(series: DataFrame, horizon: int, keys: list[str] = METRIC, alpha: float = 0.3, z: float = 1.96) -> DataFrame:
+    """Exponential smoothing of each day of the week: level = alpha * value + (1 - alpha) * level, from the first day on.
+
+    A fold over the days in order. The array of one series and weekday is a seventh of the calendar at most. Bounds are
+    ``z`` root mean squares of the one-step errors.
+    """
+    days = series.groupBy(*keys, F.weekday("ds").alias("_weekday")).agg(F.array_sort(F.collect_list(F.struct("ds", "value"))).alias("_days"))
+    first = F.struct(F.col("_days")[0]["value"].alias("level"), F.lit(0.0).alias("squares"))
+
+    def step(state: Column, day: Column) -> Column:
+        error = day["value"] - state["level"]
+        return F.struct((alpha * day["value"] + (1 - alpha) * state["level"]).alias("level"), (state["squares"] + error * error).alias("squares"))
+
+    folded = days.withColumn("_s", F.aggregate(F.slice("_days", F.lit(2), F.greatest(F.size("_days") - 1, F.lit(0))), first, step))
+    levels = folded.select(
+        *keys, "_weekday", F.element_at("_days", -1)["ds"].alias("_last"), F.col("_s.level").alias("_level"),
+        F.sqrt(F.col("_s.squares") / F.greatest(F.size("_days") - 1, F.lit(1))).alias("_sd"), F.size("_days").cast("bigint").alias("_n"),
+    )
+    return _by_weekday(levels, horizon, keys, z)
+
+
 def forecast_errors(pairs: DataFrame, by: list[str]) -> DataFrame:
     """MAPE, sMAPE, RMSE and MAE of (actual, predicted) rows per group: one aggregate."""
     a, p = F.col("actual"), F.col("predicted")

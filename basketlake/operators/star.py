@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlake.functions.amounts import money_sum, ratio, sum_if
@@ -82,54 +82,81 @@ def calendar(bounds: DataFrame) -> DataFrame:
     )
 
 
-def dim_country(invoices: DataFrame) -> DataFrame:
-    """Per country: customers, invoices (cancelled ones too), valid revenue.
+def country_totals(invoices: DataFrame) -> DataFrame:
+    """Per country: revenue, invoices, uncancelled invoices and customers, without a row blow-up.
 
-    The distinct counts run over invoice totals, and their shuffle is on (country,
-    value), so a country holding most sales is spread over the tasks.
+    One shuffle on the invoice serves all counts of invoices: there an invoice has a row per country it names, and
+    the first of its countries counts it once for the total over all countries. Customers take a second
+    shuffle, on (country, customer). ``counted_orders`` summed up is the number of uncancelled invoices.
     """
+    invoice = Window.partitionBy("invoice_no").orderBy("country_name")
+    pairs = (
+        invoices.repartition("invoice_no")
+        .groupBy("invoice_no", "country_name")
+        .agg(F.sum("revenue").alias("_revenue"), F.max("is_cancelled").alias("_cancelled"))
+        .withColumn("_first", F.row_number().over(invoice) == 1)
+    )
+    live = ~F.col("_cancelled")
+    totals = pairs.groupBy("country_name").agg(
+        money_sum(F.col("_revenue")).alias("total_revenue"),
+        F.count(F.lit(1)).alias("total_orders"),
+        F.count_if(live).alias("live_orders"),
+        F.count_if(live & F.col("_first")).alias("counted_orders"),
+    )
+    customers = distinct_per_key(invoices, ["country_name"], "customer_id", "total_customers")
+    joined = totals.join(customers, "country_name", "left")
+    return joined.withColumn("total_customers", F.coalesce("total_customers", F.lit(0)))
+
+
+def dim_country(totals: DataFrame) -> DataFrame:
+    """Per country: customers, invoices (cancelled ones too), valid revenue; from :func:`country_totals`."""
+    return totals.select(
+        surrogate_key(F.col("country_name")).alias("country_key"),
+        "country_name",
+        F.lit(None).cast("string").alias("region"),
+        "total_customers",
+        "total_orders",
+        "total_revenue",
+    )
+
+
+def product_days(stg: DataFrame) -> DataFrame:
+    """Lines summed to (day, article): what product tables and trends are made from.
+
+    ``description`` is the newest text of the day. An aggregate of one shuffle that combines map-side; a
+    row_number window would send every line of a best seller to one task.
+    """
+    newest = F.max(F.struct("invoice_date", "description"))
+    valid = valid_sale()
     return (
-        invoices.groupBy("country_name")
+        stg.groupBy("year_month", "full_date", "stock_code")
         .agg(
-            F.count_distinct("customer_id").alias("total_customers"),
-            F.count_distinct("invoice_no").alias("total_orders"),
-            money_sum(F.col("revenue")).alias("total_revenue"),
+            newest.alias("_newest"),
+            F.min("invoice_date").alias("first_at"),
+            F.sum("unit_price").alias("prices"),
+            F.count("unit_price").alias("priced_lines"),
+            F.count_if(valid).alias("valid_lines"),
+            sum_if(valid, F.col("quantity")).cast("bigint").alias("quantity"),
+            money_sum(F.when(valid, F.col("line_total")).otherwise(0)).alias("revenue"),
         )
         .select(
-            surrogate_key(F.col("country_name")).alias("country_key"),
-            "country_name",
-            F.lit(None).cast("string").alias("region"),
-            "total_customers",
-            "total_orders",
-            "total_revenue",
+            "full_date", "stock_code", F.col("_newest.description").alias("description"), "first_at", F.col("_newest.invoice_date").alias("last_at"),
+            F.col("prices").cast("decimal(20,2)").alias("prices"), "priced_lines", "valid_lines", "quantity", "revenue", "year_month",
         )
     )
 
 
-def dim_product(stg: DataFrame) -> DataFrame:
-    """Per article: latest description, valid quantity and revenue, price, first and last sale.
-
-    Grouping by (article, description) first keeps the heavy pass a hash aggregate
-    that combines map-side; the latest description is then picked from the few
-    rows left. A row_number window would send every line of a best seller to one task.
-    """
-    per_text = stg.groupBy("stock_code", "description").agg(
-        F.max("invoice_date").alias("_last"),
-        F.min("invoice_date").alias("_first"),
-        F.sum("unit_price").alias("_prices"),
-        F.count("unit_price").alias("_lines"),
-        sum_if(valid_sale(), F.col("quantity")).cast("bigint").alias("_quantity"),
-        money_sum(F.when(valid_sale(), F.col("line_total")).otherwise(0)).alias("_revenue"),
-    )
+def dim_product(days: DataFrame) -> DataFrame:
+    """Per article: latest description, valid quantity and revenue, price, first and last sale; from :func:`product_days`."""
     return (
-        per_text.groupBy("stock_code")
+        days.groupBy("stock_code")
         .agg(
-            F.max(F.struct("_last", "description")).getField("description").alias("description"),
-            ratio(F.sum("_prices"), F.sum("_lines"), 2).alias("avg_unit_price"),
-            F.sum("_quantity").alias("total_quantity_sold"),
-            money_sum(F.col("_revenue")).alias("total_revenue"),
-            F.min("_first").cast("date").alias("first_sold_date"),
-            F.max("_last").cast("date").alias("last_sold_date"),
+            F.max(F.struct("last_at", "description")).getField("description").alias("description"),
+            ratio(F.sum("prices"), F.sum("priced_lines"), 2).alias("avg_unit_price"),
+            F.sum("quantity").alias("total_quantity_sold"),
+            money_sum(F.col("revenue")).alias("total_revenue"),
+            F.min("first_at").cast("date").alias("first_sold_date"),
+            F.max("last_at").cast("date").alias("last_sold_date"),
         )
         .select(
             surrogate_key(F.col("stock_code")).alias("product_key"),

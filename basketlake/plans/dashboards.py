@@ -15,7 +15,6 @@ from basketlake.functions.amounts import MONEY, avg_exact, change_pct, money_sum
 from basketlake.functions.rules import revenue_tier, severity_order
 from basketlake.operators import quality
 from basketlake.operators.aggregate import metric_pivot_sum, period_sums, top_k
-from basketlake.operators.star import valid_sale
 from basketlake.plans.warehouse import Warehouse
 
 DAY = dt.timedelta(days=1)
@@ -30,7 +29,7 @@ def _tomorrow(w: Warehouse, as_of) -> dt.date:
 
 
 def _r(name: str, scale: int, alias: str | None = None) -> Column:
-    return F.round(name, scale).cast(f"decimal(20,{scale})").alias(alias or name)
+    return F.round(name, scale).cast(f"decimal(30,{scale})").alias(alias or name)
 
 
 # --- executive overview ---------------------------------------------------------------
@@ -235,21 +234,21 @@ def revenue_concentration(w: Warehouse, top: int = 10) -> DataFrame:
     return w.table("mart_product_performance").agg(share(best, F.sum("total_revenue"), 4).alias("top_share_pct"))
 
 
-def _window_delta(w: Warehouse, key: str, days: int, as_of) -> tuple[DataFrame, list[Column]]:
-    """Revenue per key in the last ``days`` days and the ``days`` before.
+def _window_delta(w: Warehouse, table: str, key: str, days: int, as_of) -> tuple[DataFrame, list[Column]]:
+    """Revenue per key in the last ``days`` days and the ``days`` before, from a table of day sums.
 
-    Only the two windows are scanned: literal dates prune months and row groups.
+    Only the two windows are read: literal dates prune months, where the table has them, and row groups.
     """
     end = _today(w, as_of)
     start = end - (days - 1) * DAY
     first = start - days * DAY
     now = F.col("full_date") >= start
-    sales = w.table("fact_sales").where(
-        F.col("year_month").between(f"{first:%Y-%m}", f"{end:%Y-%m}") & F.col("full_date").between(first, end) & valid_sale()
-    )
+    sales = w.table(table).where(F.col("full_date").between(first, end))
+    if "year_month" in sales.columns:
+        sales = sales.where(F.col("year_month").between(f"{first:%Y-%m}", f"{end:%Y-%m}"))
     sums = sales.groupBy(key).agg(
-        money_sum(F.when(now, F.col("line_total")).otherwise(0)).alias("_cur"),
-        money_sum(F.when(~now, F.col("line_total")).otherwise(0)).alias("_prev"),
+        money_sum(F.when(now, F.col("revenue")).otherwise(0)).alias("_cur"),
+        money_sum(F.when(~now, F.col("revenue")).otherwise(0)).alias("_prev"),
     )
     cur = F.coalesce("_cur", F.lit(0).cast(MONEY))
     prev = F.coalesce("_prev", F.lit(0).cast(MONEY))
@@ -263,28 +262,32 @@ def _window_delta(w: Warehouse, key: str, days: int, as_of) -> tuple[DataFrame,
 
 def product_delta_30d(w: Warehouse, as_of=None, k: int = 20) -> DataFrame:
     """Articles by revenue change. Articles that ever sold but not in the windows have delta 0."""
-    sums, columns = _window_delta(w, "stock_code", 30, as_of)
+    sums, columns = _window_delta(w, "agg_product_days", "stock_code", 30, as_of)
     sold = w.table("dim_product").where("total_quantity_sold > 0").select("stock_code", "description")
     out = sold.join(sums, "stock_code", "left").select(F.col("stock_code").alias("sku"), F.left("description", F.lit(50)).alias("product"), *columns)
     return top_k(out, "delta", k, ["sku"])
 
 
 def country_delta_30d(w: Warehouse, as_of=None, k: int = 10) -> DataFrame:
-    sums, columns = _window_delta(w, "country_name", 30, as_of)
+    sums, columns = _window_delta(w, "agg_invoices", "country_name", 30, as_of)
     sold = w.table("dim_country").where("total_revenue > 0").select("country_name")
     out = sold.join(sums, "country_name", "left").select(F.col("country_name").alias("country"), *columns)
     return top_k(out, "delta", k, ["country"])
 
 
 def daily_product_trend(w: Warehouse, start=None, end=None) -> DataFrame:
-    sales = w.table("fact_sales").where(valid_sale())
+    """Valid quantity and revenue per day and article: a scan of the day sums, no shuffle.
+
+    The result has as many rows as there are days times articles sold, so it is ordered (day, revenue
+    falling, article) within its partitions only; months are not mixed in one.
+    """
+    sales = w.table("agg_product_days").where("valid_lines > 0")
     if start is not None:
         sales = sales.where((F.col("full_date") >= start) & (F.col("year_month") >= str(start)[:7]))
     if end is not None:
         sales = sales.where((F.col("full_date") <= end) & (F.col("year_month") <= str(end)[:7]))
-    return sales.groupBy(F.col("full_date").alias("date"), F.col("stock_code").alias("sku")).agg(
-        F.sum("quantity").alias("quantity"), money_sum(F.col("line_total")).alias("revenue")
-    ).orderBy("date", F.desc("revenue"), "sku")
+    out = sales.select(F.col("full_date").alias("date"), F.col("stock_code").alias("sku"), "quantity", "revenue")
+    return out.sortWithinPartitions("date", F.desc("revenue"), "sku")
 
 
 def growing_countries(w: Warehouse, k: int = 10) -> DataFrame:
@@ -533,7 +536,7 @@ def active_alerts_14d(w: Warehouse, as_of=None) -> DataFrame:
         F.col("metric_name").alias("metric"),
         _r("actual_value", 0, "actual"),
         _r("expected_value", 0, "expected"),
-        F.concat(F.round("deviation_pct", 1).cast("decimal(12,1)").cast("string"), F.lit("%")).alias("deviation"),
+        F.concat(F.round(F.col("deviation_pct").cast("decimal(28,4)"), 1).cast("decimal(24,1)").cast("string"), F.lit("%")).alias("deviation"),
         F.upper("anomaly_type").alias("type"),
         F.upper("severity").alias("severity"),
         F.coalesce("business_interpretation", F.lit("Requires investigation")).alias("what_happened"),

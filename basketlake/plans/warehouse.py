@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlake.operators import anomalies, clean, forecast, marts, quality, series, star
-from basketlake.schemas import DQ_RESULTS, ETL_RUN_LOG, TABLE_REFRESH_LOG, names
+from basketlake.schemas import DQ_RESULTS, ETL_RUN_LOG, RAW, STAGING, TABLE_REFRESH_LOG, names
 from basketlake.shared import shared_dir
-from basketlake.sources import sinks
+from basketlake.sources import parts, sinks
 
 TRAINED_METRICS = ["total_revenue", "total_orders"]
 BY_MONTH = "year_month"
@@ -30,8 +30,9 @@ BY_MONTH = "year_month"
 STEPS = [
     ["stg_transactions_clean"],
     ["fact_sales"],
-    ["agg_invoices", "dim_product"],
-    ["dim_date", "dim_country", "dim_customer", "mart_country_performance", "mart_product_performance"],
+    ["agg_invoices", "agg_product_days"],
+    ["agg_countries", "dim_date", "dim_product", "dim_customer"],
+    ["dim_country", "mart_country_performance", "mart_product_performance"],
     ["mart_daily_kpis"],
     ["mart_rfm", "mart_monthly_trends"],
     # RFM columns go to a table of their own: no run rewrites a dimension it has just read.
@@ -39,21 +40,27 @@ STEPS = [
 ]
 # A training, over the tables above. Its rows are merged by key, so that earlier forecasts can be
 # held against what happened, and earlier runs stay.
-TRAINING = [["backtest_days"], ["ml_backtest_results", "ml_model_runs", "ml_forecast_daily", "ml_anomalies_daily"]]
+TRAINING = [["backtest_days"], ["ml_backtest_results", "ml_forecast_daily", "ml_anomalies_daily"], ["ml_model_runs"]]
 KEPT = {
-    "ml_backtest_results": ["run_id", "prediction_date"],
+    "ml_backtest_results": ["run_id", "origin", "prediction_date"],
     "ml_model_runs": ["run_id"],
     "ml_forecast_daily": ["forecast_date", "metric_name"],
     "ml_anomalies_daily": ["anomaly_date", "metric_name"],
 }
 # Stored tables that are views: the fact is a projection of staging.
 VIEWS = {"fact_sales": "stg_transactions_clean"}
+# Tables that streams add to, apart from what the source filled: (folder of the streamed part, schema). Reading the
+# source again replaces its part and leaves the streamed one.
+STREAMED = {"raw_transactions": ("stream_raw", RAW), "stg_transactions_clean": ("stream_staging", STAGING)}
+# Logs, to which streams add likewise.
+LOGS = {"dq_check_results": DQ_RESULTS, "etl_run_log": ETL_RUN_LOG}
+MONTHLY = {"stg_transactions_clean", "agg_product_days"}
 
 
 class Warehouse:
     """Tables by name. ``raw`` gives the raw transactions when none are stored yet.
 
-    ``models`` are the forecast candidates; ``z_threshold`` and ``forest`` tune
+    ``models`` are the forecast candidates; ``z_threshold``, ``robust_threshold`` and ``forest`` tune
     the anomaly table.
     """
 
@@ -62,15 +69,20 @@ class Warehouse:
         spark: SparkSession,
         root: str,
         raw: Callable[[], DataFrame] | None = None,
-        models: tuple[str, ...] = ("ets", "trend_seasonal"),
+        models: tuple[str, ...] = tuple(forecast.NATIVE),
         z_threshold: float = anomalies.Z_THRESHOLD,
-        forest: bool = True,
+        forest: bool = False,
         horizon: int = 365,
+        robust_threshold: float = anomalies.ROBUST_THRESHOLD,
     ):
         self.spark, self.root, self.raw = spark, root.rstrip("/"), raw
         self.models, self.z_threshold, self.forest, self.horizon = list(models), z_threshold, forest, horizon
+        self.robust_threshold = robust_threshold
         self._as_of: dt.date | None = None
+        self._train_id: str | None = None
         self._frames: dict[str, DataFrame] = {}
+        # Of the tables written here: one partitioned by month that has no row has no file to tell its columns.
+        self._schemas: dict = {}
         self.rows: dict[str, int] = {}
 
     @classmethod
@@ -82,11 +94,18 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def stored(self, name: str) -> bool:
+        """Whether the table itself is stored; what streams brought does not count."""
+        return sinks.table_exists(self.spark, self.path(name))
+
+    def streamed(self, name: str, before: int | None = None) -> DataFrame | None:
+        """What streams brought of a table, None if nothing."""
+        folder, schema = STREAMED[name]
+        found = parts.live(self.spark, self.path(folder), before)
+        return parts.read(self.spark, self.path(folder), schema, before) if found else None
+
     def exists(self, name: str) -> bool:
-        if name in self._frames or sinks.table_exists(self.spark, self.path(name)):
-            return True
-        # Streams add raw batches partition by partition, which leaves no marker at the top.
-        return name == "raw_transactions" and sinks.path_exists(self.spark, self.path(name))
+        return name in self._frames or self.stored(name) or (name in STREAMED and self.streamed(name) is not None)
 
     def forget(self, *names: str) -> None:
         """Drop kept frames of tables that were written from elsewhere."""
@@ -104,30 +123,69 @@ class Warehouse:
         if not self.exists(name):
             self.refresh(name)
         if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(self.path(name))
+            self._frames[name] = self._read(name)
         return self._frames[name]
 
+    def _read(self, name: str, schema=None) -> DataFrame:
+        own = sinks.read_table(self.spark, self.path(name), schema or self._schemas.get(name)) if self.stored(name) else None
+        more = self.streamed(name) if name in STREAMED else None
+        if own is None or more is None:
+            return more if own is None else own
+        return own.unionByName(more)
+
     def refresh(self, name: str) -> int:
         """(Re)build one table from the tables before it; returns its row count."""
         if name in VIEWS:
             source = VIEWS[name]
             return self.rows[source] if source in self.rows else self.table(source).count()
-        df = self.build(name)
         if name in KEPT and self.exists(name):
+            df = self.build(name)
             if name == "ml_anomalies_daily":
                 df = anomalies.keep_acknowledgement(df, self.table(name))
             self._frames.pop(name, None)
             self.rows[name] = sinks.upsert_keyed(self.spark, self.path(name), df, KEPT[name])
             return self.rows[name]
         self._frames.pop(name, None)
-        staging = name == "stg_transactions_clean"
-        rows = sinks.write_table(df, self.path(name), partition_by=BY_MONTH if staging else None, cluster=staging)
+        rows = 0
+        if name not in STREAMED or self._has_source(name):
+            df = self.build(name)
+            self._schemas[name] = df.schema
+            monthly = name in MONTHLY
+            rows = sinks.write_table(df, self.path(name), partition_by=BY_MONTH if monthly else None, cluster=monthly)
+        if name in STREAMED and (more := self.streamed(name)) is not None:
+            rows += more.count()
         self.rows[name] = rows
-        self._frames[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
         if name == "mart_daily_kpis":
             self._as_of = None
         return rows
 
+    def _has_source(self, name: str) -> bool:
+        """Whether there is anything but streamed rows to fill the table from."""
+        return self.raw is not None or self.stored("raw_transactions") or self.streamed(name) is None
+
+    def refresh_months(self, name: str, months: list[str]) -> int:
+        """Rebuilds the given months of a monthly table, and leaves the files of the others."""
+        source = {"agg_product_days": "stg_transactions_clean"}[name]
+        lines = self.table(source).where(F.col(BY_MONTH).isin(months))
+        rows = sinks.write_table(star.product_days(lines), self.path(name), partition_by=BY_MONTH, cluster=True, only_touched=True)
+        self.forget(name)
+        return rows
+
+    def profile(self, months: list[str] | None = None, columns: list[str] | None = None) -> DataFrame:
+        """The column profile of staging, from sketches stored per month.
+
+        Without ``months`` those are sketched that have none yet; given months are sketched anew.
+        """
+        lines, path = self.table("stg_transactions_clean"), self.path("agg_column_sketches")
+        if months is None:
+            have = [r[0] for r in self._read("agg_column_sketches").select(BY_MONTH).distinct().collect()] if self.stored("agg_column_sketches") else []
+            months = [r[0] for r in lines.select(BY_MONTH).distinct().collect() if r[0] not in have]
+        if months:
+            columns = columns or [c for c in lines.columns if c != BY_MONTH]
+            fresh = quality.column_sketches(lines.where(F.col(BY_MONTH).isin(months)), columns)
+            sinks.write_table(fresh, path, partition_by=BY_MONTH, cluster=True, only_touched=True)
+        return quality.profile_from_sketches(sinks.read_table(self.spark, path, quality.SKETCHES), "stg_transactions_clean")
+
     def build(self, name: str) -> DataFrame:
         """The lazy plan of one table over its stored inputs."""
         t = self.table
@@ -136,38 +194,86 @@ class Warehouse:
                 raise ValueError("no raw transactions stored and no source given")
             return self.raw()
         plans: dict[str, Callable[[], DataFrame]] = {
-            "stg_transactions_clean": lambda: clean.clean_transactions(t("raw_transactions")),
+            "stg_transactions_clean": lambda: clean.clean_transactions(self._source_rows()),
             "dim_date": lambda: star.dim_date_for(t("agg_invoices")),
             "agg_invoices": lambda: star.invoice_totals(t("fact_sales")),
-            "dim_country": lambda: star.dim_country(t("agg_invoices")),
-            "dim_product": lambda: star.dim_product(t("stg_transactions_clean")),
+            "agg_countries": lambda: star.country_totals(t("agg_invoices")),
+            "agg_product_days": lambda: star.product_days(t("stg_transactions_clean")),
+            "dim_country": lambda: star.dim_country(t("agg_countries")),
+            "dim_product": lambda: star.dim_product(t("agg_product_days")),
             "dim_customer": lambda: star.dim_customer(t("agg_invoices")),
             "fact_sales": lambda: star.fact_sales(t("stg_transactions_clean")),
             "mart_daily_kpis": lambda: marts.mart_daily_kpis(t("agg_invoices"), marts.first_purchases(t("dim_customer"))),
             "mart_rfm": lambda: marts.mart_rfm(t("agg_invoices"), t("mart_daily_kpis")),
             "dim_customer_rfm": lambda: star.dim_customer_with_rfm(t("dim_customer"), t("mart_rfm")),
-            "mart_country_performance": lambda: marts.mart_country_performance(t("agg_invoices")),
-            "mart_product_performance": lambda: marts.mart_product_performance(t("fact_sales"), t("dim_product")),
+            "mart_country_performance": lambda: marts.mart_country_performance(t("agg_countries")),
+            "mart_product_performance": lambda: marts.mart_product_performance(marts.product_sales(t("agg_product_days"), t("fact_sales")), t("dim_product")),
             "mart_monthly_trends": lambda: marts.mart_monthly_trends(t("mart_daily_kpis")),
             "backtest_days": lambda: forecast.backtest_days(self.metric_series(), self.models),
             "ml_backtest_results": lambda: forecast.backtest_rows(self.backtest_days(), self.train_id()),
             "ml_model_runs": self._model_runs,
             "ml_forecast_daily": self._forecasts,
-            "ml_anomalies_daily": lambda: anomalies.anomaly_rows(
-                anomalies.detect_anomalies(self.metric_series(), z_threshold=self.z_threshold, forest=self.forest),
-                self.train_id(),
-            ),
-            "table_refresh_log": self._refresh_log_of_data,
+            "ml_anomalies_daily": lambda: anomalies.anomaly_rows(self._found(self.metric_series()), self.train_id()),
+            # No run has logged a refresh yet.
+            "table_refresh_log": lambda: self.spark.createDataFrame([], TABLE_REFRESH_LOG),
         }
         return plans[name]()
 
+    def _source_rows(self) -> DataFrame:
+        """Raw rows that did not come by stream; those of a stream are cleaned batch by batch."""
+        if not self.stored("raw_transactions"):
+            self.refresh("raw_transactions")
+        return sinks.read_table(self.spark, self.path("raw_transactions"))
+
+    def ensure_source(self) -> None:
+        """Reads the source once, so that a stream adds to its rows."""
+        for name in STREAMED if self.raw is not None else ():
+            if not self.stored(name):
+                self.refresh(name)
+
     # --- training --------------------------------------------------------------------
 
     def metric_series(self, metrics: list[str] = TRAINED_METRICS) -> DataFrame:
         return series.unpivot_metrics(self.table("mart_daily_kpis"), metrics)
 
     def train_id(self) -> str:
-        return f"train-{self.as_of()}"
+        """The training's name: the newest day and a number no earlier training of that day has."""
+        if self._train_id is None:
+            day, n = f"train-{self.as_of()}", 1
+            if self.stored("ml_model_runs"):
+                number = F.regexp_extract("run_id", rf"^{day}-(\d+)-", 1).try_cast("int")
+                n += self._read("ml_model_runs").agg(F.max(number)).first()[0] or 0
+            self._train_id = f"{day}-{n}"
+        return self._train_id
+
+    def _found(self, days: DataFrame, lookback_days: int | None = None) -> DataFrame:
+        return anomalies.detect_anomalies(
+            days, z_threshold=self.z_threshold, forest=self.forest, robust_threshold=self.robust_threshold, lookback_days=lookback_days
+        )
+
+    def detect(self, metrics: list[str] = anomalies.DETECTED_METRICS, lookback_days: int = anomalies.LOOKBACK_DAYS) -> DataFrame:
+        """Looks for anomalies in the newest days, merges them into the anomaly table and returns them.
+
+        What was acknowledged stays so. Each metric with findings adds a row to the model runs.
+        """
+        self._train_id = None
+        run, at = self.train_id(), dt.datetime.combine(self.as_of(), dt.time())
+        days = self.metric_series(metrics)
+        found = self._found(days, lookback_days)
+        name = "ml_anomalies_daily"
+        rows = anomalies.anomaly_rows(found, run)
+        if self.stored(name):
+            rows = anomalies.keep_acknowledgement(rows, self.table(name))
+        sinks.upsert_keyed(self.spark, self.path(name), rows, KEPT[name])
+        spans = forecast.train_spans(series.lookback_filter(days, lookback_days))
+        runs = forecast.detection_runs(found, spans, run, at, {"lookback_days": lookback_days, **self._limits()})
+        sinks.upsert_keyed(self.spark, self.path("ml_model_runs"), runs, KEPT["ml_model_runs"])
+        self.forget(name, "ml_model_runs")
+        self._train_id = None
+        return self.table(name).where(F.col("model_run_id") == run)
+
+    def _limits(self) -> dict:
+        return {"z_threshold": self.z_threshold, "robust_threshold": self.robust_threshold}
 
     def backtest_days(self) -> DataFrame:
         """Hold-out predictions, stored once: scores, choice and back-test rows share them."""
@@ -182,37 +288,20 @@ class Warehouse:
     def scores(self) -> DataFrame:
         return forecast.score_backtest(self.backtest_days())
 
+    def best_models(self) -> DataFrame:
+        return series.select_best_model(self.scores())
+
     def _forecasts(self) -> DataFrame:
-        best = series.select_best_model(self.scores())
-        return forecast.forecast_rows(forecast.forecast_all(self.metric_series(), best, self.horizon), self.train_id())
+        predicted = forecast.forecast_all(self.metric_series(), self.best_models(), self.horizon, models=self.models)
+        return forecast.forecast_rows(predicted, self.train_id())
 
     def _model_runs(self) -> DataFrame:
+        """A row for every candidate and for every metric in which the training's detection found days."""
         at = dt.datetime.combine(self.as_of(), dt.time())
-        return forecast.record_model_runs(self.scores(), forecast.train_spans(self.metric_series()), self.train_id(), at)
-
-    def _refresh_log_of_data(self) -> DataFrame:
-        """Refresh log of a warehouse that was not filled by :meth:`run_etl`: the time of
-        a table is the newest day in it."""
-        newest = {
-            "mart_daily_kpis": ("mart_daily_kpis", "full_date"),
-            "mart_rfm": ("dim_customer", "last_purchase_date"),
-            "mart_product_performance": ("dim_product", "last_sold_date"),
-            "ml_forecast_daily": ("ml_backtest_results", "prediction_date"),
-        }
-        rows = [
-            self.table(source)
-            .agg(F.max(day).cast("timestamp_ntz").alias("last_refresh_at"))
-            .select(
-                F.lit(name).alias("table_name"),
-                "last_refresh_at",
-                F.lit(None).cast("string").alias("refresh_run_id"),
-                self.table(name).agg(F.count(F.lit(1))).scalar().alias("row_count"),
-                F.lit(None).cast("bigint").alias("refresh_duration_ms"),
-                F.lit("full").alias("refresh_type"),
-            )
-            for name, (source, day) in newest.items()
-        ]
-        return quality.union_all(rows)
+        days, run = self.metric_series(), self.train_id()
+        spans = forecast.train_spans(days)
+        trained = forecast.record_model_runs(self.scores(), spans, self.best_models(), run, at)
+        return trained.unionByName(forecast.detection_runs(self._found(days), spans, run, at, self._limits()))
 
     def as_of(self) -> dt.date:
         """Newest day with sales: one value, taken from the day-level mart. As a literal it
@@ -229,10 +318,11 @@ class Warehouse:
         ]
         return quality.standard_checks({n: self.table(n) for n in checked})
 
-    def log(self, name: str, schema: str) -> DataFrame:
-        if sinks.table_exists(self.spark, self.path(name)):
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        return self.spark.createDataFrame([], schema)
+    def log(self, name: str, schema: str | None = None) -> DataFrame:
+        """A log with what streams added to it."""
+        schema = schema or LOGS[name]
+        own = sinks.read_table(self.spark, self.path(name), schema) if self.stored(name) else self.spark.createDataFrame([], schema)
+        return own.unionByName(parts.read(self.spark, self.path(f"stream_{name}"), schema)) if name in LOGS else own
 
     def run_etl(
         self,
@@ -260,8 +350,10 @@ class Warehouse:
         status, error = "running", None
         passed = failed = 0
         try:
-            if (ingest and self.raw is not None) or not self.exists("raw_transactions"):
+            missing = not self.stored("raw_transactions") if self.raw is not None else not self.exists("raw_transactions")
+            if missing or (ingest and self.raw is not None):
                 steps = [["raw_transactions"], *steps]
+            self._train_id = None
             wanted = [[n for n in group if train or (train is None and self.exists(n))] for group in TRAINING]
             steps = [*steps, *[group for group in wanted if group]]
             for group in steps:
@@ -283,9 +375,14 @@ class Warehouse:
             status, error = "failed", str(exc)
             raise
         finally:
+            self._train_id = None
             rows = {name: n for name, n, _, _ in report}
-            self._log_refreshes(report, times, run_id, refresh_type)
-            self._log_run(run_id, started, status, source_file, rows, error, passed, failed, refresh_type)
+            try:
+                self._log_refreshes(report, times, run_id, refresh_type)
+                self._log_run(run_id, started, status, source_file, rows, error, passed, failed, refresh_type)
+            except Exception:
+                if error is None:  # a run that failed ends with its own error, not with that of its log
+                    raise
         return report
 
     def _step(self, name: str) -> tuple[str, int, int, str]:

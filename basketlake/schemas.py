@@ -81,7 +81,7 @@ MODEL_RUNS = (
 )
 
 BACKTEST_RESULTS = (
-    "run_id string, metric_name string, model_type string, prediction_date date,"
+    "run_id string, metric_name string, model_type string, origin int, prediction_date date,"
     "actual_value decimal(20,2), predicted_value decimal(20,2), lower_bound decimal(20,2),"
     "upper_bound decimal(20,2), absolute_error decimal(20,2), percentage_error decimal(12,4),"
     "within_confidence_interval boolean"
@@ -96,7 +96,7 @@ FORECAST_DAILY = (
 ANOMALIES_DAILY = (
     "anomaly_date date, metric_name string, actual_value decimal(20,2),"
     "expected_value decimal(20,2), lower_bound decimal(20,2), upper_bound decimal(20,2),"
-    "deviation_pct decimal(12,4), z_score decimal(12,4), anomaly_type string, severity string,"
+    "deviation_pct double, z_score double, anomaly_type string, severity string,"
     "is_weekend boolean, day_of_week int, is_holiday boolean, seasonality_adjusted boolean,"
     "probable_cause string, business_interpretation string, recommended_action string,"
     "is_alert_sent boolean, alert_sent_at timestamp_ntz, acknowledged boolean,"

@@ -1,14 +1,34 @@
-"""Writers: full refresh, append, keyed upsert."""
+"""Writers: full refresh, append, keyed upsert.
+
+A stored table is a folder of snapshots, ``snapshot-<number>``. The newest finished one is the table: replacing a table
+writes the next one beside it and moves nothing, so that readers always find a whole table. A table written in buckets
+keeps a folder per bucket and generation instead, and a mark per finished generation.
+"""
 
 from __future__ import annotations
 
-import uuid
+import re
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketlake.shared import cut_lineage
+from basketlake.sources.parts import delete, file_system, finished, names_in, observed
+
+_SNAPSHOT = re.compile(r"snapshot-(\d+)$")
+_BUCKETS = re.compile(r"buckets-(\d+)$")
+
+
+def _snapshots(spark, path: str) -> list[tuple[int, str]]:
+    return sorted((int(m[1]), f"{path}/{n}") for n in names_in(spark, path) if (m := _SNAPSHOT.match(n)))
+
+
+def current(spark, path: str) -> str | None:
+    """The folder that holds the table: its newest finished snapshot, or ``path`` itself if that is a plain Parquet table."""
+    for _, folder in reversed(_snapshots(spark, path)):
+        if finished(spark, folder):
+            return folder
+    return path if finished(spark, path) else None
 
 
 def write_table(
@@ -24,44 +44,28 @@ def write_table(
     With ``cluster`` the rows are first rebalanced on the partition column: AQE
     gives a small month one file and cuts a huge month into several, so the file
     count follows the data and not tasks times months. ``only_touched`` replaces
-    just the partitions present in ``df``. A whole table is replaced by writing the
-    new one beside it first: a failed job leaves the old table, and ``df`` may read it.
+    just the partitions present in ``df``, in place, as ``append`` adds files in place. A
+    whole table becomes a new snapshot: a failed job leaves the old table, ``df`` may read it, and
+    the snapshot that was replaced stays until the next write, for those who still read it.
     """
     if partition_by and cluster:
         df = df.hint("rebalance", partition_by)
     spark = df.sparkSession
-    replaces = mode == "overwrite" and not only_touched and path_exists(spark, path)
-    target = f"{path}.new-{uuid.uuid4().hex}" if replaces else path
+    old = _snapshots(spark, path)
+    target = current(spark, path) if only_touched or mode == "append" else None
+    fresh = f"{path}/snapshot-{(old[-1][0] if old else 0) + 1:08d}"
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode if target else "overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-        writer = writer.option("partitionOverwriteMode", "dynamic" if only_touched else "static")
-    writer.parquet(target)
-    if replaces:
-        _swap(spark, target, path)
-    return int(seen.get["rows"])
-
-
-def _swap(spark, fresh: str, path: str) -> None:
-    """Put a finished table in the place of an old one.
-
-    The old table is set aside first and dropped last, so a whole copy exists at any
-    moment; it comes back when the new one cannot be moved.
-    """
-    aside = f"{path}.old-{uuid.uuid4().hex}"
-    new, old, kept = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path, aside))
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.rename(old, kept):
-        raise OSError(f"could not set {path} aside")
-    try:  # file systems say no by an answer or by an error
-        moved, why = fs.rename(new, old), None
-    except Py4JJavaError as exc:
-        moved, why = False, exc
-    if not moved:
-        fs.rename(kept, old)
-        raise OSError(f"could not move {fresh} to {path}") from why
-    fs.delete(kept, True)
+        writer = writer.option("partitionOverwriteMode", "dynamic" if target and only_touched else "static")
+    writer.parquet(target or fresh)
+    if not target:
+        done = [folder for _, folder in old if finished(spark, folder)]
+        for _, folder in old:
+            if folder not in done[-1:]:
+                delete(spark, folder)
+    return (observed(seen) or {"rows": 0})["rows"]
 
 
 def load_raw_overwrite(raw: DataFrame, path: str) -> int:
@@ -104,17 +108,21 @@ def insert_absent_rows(existing: DataFrame, rows: DataFrame, keys: list[str]) ->
 
 
 def upsert_keyed(
-    spark, path: str, updates: DataFrame, keys: list[str], newest: list[str] | None = None, partition_by: str | None = None
+    spark, path: str, updates: DataFrame, keys: list[str], newest: list[str] | None = None, partition_by: str | None = None, buckets: int | None = None
 ) -> int:
     """INSERT .. ON CONFLICT DO UPDATE on a Parquet table; returns the rows written.
 
     One writer at a time. A missing table is created. With ``partition_by`` (a
     column that depends on the key) only the partitions the updates fall into
-    are read and replaced, however large the table is.
+    are read and replaced, however large the table is. With ``buckets`` the same
+    holds for any key: rows lie in that many hash buckets of the key, and only the touched
+    buckets are written anew. The number is the one the table was made with.
     """
+    if buckets or _bucket_count(spark, path):
+        return _upsert_buckets(spark, path, updates, keys, newest, buckets)
     if not table_exists(spark, path):
         return write_table(latest_per_key(updates, keys, newest) if newest else updates, path, partition_by=partition_by)
-    existing = spark.read.parquet(path)
+    existing = spark.read.parquet(current(spark, path))
     if partition_by:
         existing = existing.join(updates.select(partition_by).distinct(), partition_by, "left_semi").select(*existing.columns)
     merged = merge_keyed(existing, updates, keys, newest)
@@ -128,14 +136,92 @@ def insert_if_absent(spark, path: str, rows: DataFrame, keys: list[str]) -> int:
     """INSERT .. ON CONFLICT DO NOTHING on a Parquet table; returns its row count."""
     if not table_exists(spark, path):
         return write_table(rows.dropDuplicates(keys), path)
-    return write_table(insert_absent_rows(spark.read.parquet(path), rows, keys), path)
+    return write_table(insert_absent_rows(spark.read.parquet(current(spark, path)), rows, keys), path)
+
+
+# --- buckets ----------------------------------------------------------------------
+
+
+def _bucket_count(spark, path: str) -> int | None:
+    found = [int(m[1]) for n in names_in(spark, path) if (m := _BUCKETS.match(n))]
+    return found[0] if found else None
+
+
+def _bucket_of(keys: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _generations(spark, root: str) -> set[int]:
+    """The finished generations of a bucketed table."""
+    return {int(n) for n in names_in(spark, f"{root}/_finished")}
+
+
+def _bucket_folders(spark, root: str, only: list[int] | None = None) -> dict[int, list[tuple[int, str]]]:
+    """For each bucket its finished generations and their folders, newest first."""
+    done = _generations(spark, root)
+    buckets = only if only is not None else [int(n.split("=")[1]) for n in names_in(spark, root) if n.startswith("bucket=")]
+    out = {}
+    for b in buckets:
+        gens = [(int(n.split("=")[1]), f"{root}/bucket={b}/{n}") for n in names_in(spark, f"{root}/bucket={b}") if n.startswith("generation=")]
+        out[b] = sorted((g for g in gens if g[0] in done), reverse=True)
+    return {b: gens for b, gens in out.items() if gens}
+
+
+def _read_folders(spark, root: str, folders: list[str], schema=None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def _upsert_buckets(spark, path: str, updates: DataFrame, keys: list[str], newest: list[str] | None, buckets: int | None) -> int:
+    made = _bucket_count(spark, path)
+    if made and buckets and made != buckets:
+        raise ValueError(f"{path} has {made} buckets, not {buckets}")
+    n = made or buckets
+    root = f"{path}/buckets-{n}"
+    updates = cut_lineage(latest_per_key(updates, keys, newest) if newest else updates).withColumn("bucket", _bucket_of(keys, n))
+    touched = [r[0] for r in updates.select("bucket").distinct().collect()]  # as many numbers as there are buckets at most
+    folders = _bucket_folders(spark, root, touched)
+    plain = updates.drop("bucket")
+    existing = _read_folders(spark, root, [gens[0][1] for gens in folders.values()], plain.schema)
+    merged = merge_keyed(existing, plain, keys).withColumn("bucket", _bucket_of(keys, n))
+    # A number no folder has yet: what a broken run left is never taken for a later one's.
+    used = [int(g.split("=")[1]) for b in touched for g in names_in(spark, f"{root}/bucket={b}") if g.startswith("generation=")]
+    generation = max([0, *used, *_generations(spark, root)]) + 1
+    seen = Observation()
+    out = merged.withColumn("generation", F.lit(generation)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket", "generation").parquet(root)
+    fs, mark = file_system(spark, f"{root}/_finished/{generation}")
+    fs.create(mark, True).close()
+    for gens in folders.values():  # the one just replaced stays for those who read it
+        for _, folder in gens[1:]:
+            delete(spark, folder)
+    return (observed(seen) or {"rows": 0})["rows"]
+
+
+def read_bucketed(spark, path: str, schema=None) -> DataFrame:
+    """The newest finished generation of every bucket."""
+    root = f"{path}/buckets-{_bucket_count(spark, path)}"
+    folders = [gens[0][1] for gens in _bucket_folders(spark, root).values()]
+    return _read_folders(spark, root, folders, schema)
+
+
+# --- lookups ----------------------------------------------------------------------
+
+
+def read_table(spark, path: str, schema: str | None = None) -> DataFrame:
+    """A stored table, or the Parquet files of a folder that no writer of this module made."""
+    if _bucket_count(spark, path):
+        return read_bucketed(spark, path, schema)
+    folder = current(spark, path) or path
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(folder)
 
 
 def path_exists(spark, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs, target = file_system(spark, path)
+    return fs.exists(target)
 
 
 def table_exists(spark, path: str) -> bool:
-    """A finished table: its folder holds the commit marker Spark writes last."""
-    return path_exists(spark, f"{path}/_SUCCESS")
+    """A finished table."""
+    n = _bucket_count(spark, path)
+    return bool(_generations(spark, f"{path}/buckets-{n}")) if n else current(spark, path) is not None

@@ -25,6 +25,7 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
     orders = t("orders", "o_orderkey", "o_custkey", "o_orderdate").join(buyers, col("o_custkey") == col("c_custkey"))
     lines = t("lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
     cancelled = col("o_orderkey") % 50 == 0
+    no_date = (col("l_linenumber") == 6) & (col("l_orderkey") % 100 == 1)
     sent_back = (col("l_returnflag") == "R") & (col("l_linenumber") == 7)
     return (
         lines.join(orders.hint("merge"), col("l_orderkey") == col("o_orderkey"))
@@ -38,7 +39,7 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
             .otherwise(col("l_quantity"))
             .cast("int")
             .alias("quantity"),
-            col("o_orderdate").cast("timestamp_ntz").alias("invoice_date"),
+            F.when(no_date, None).otherwise(col("o_orderdate").cast("timestamp_ntz")).alias("invoice_date"),
             F.when(col("p_partkey") % 250 == 7, 0).otherwise(col("p_retailprice")).cast("decimal(10,2)").alias("unit_price"),
             F.when(col("o_orderkey") % 4 == 1, "").otherwise(col("o_custkey").cast("string")).alias("customer_id"),
             "country",

@@ -16,6 +16,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from basketlake.operators import forecast
+from basketlake.operators.series import fill_daily_gaps
 from basketlake.plans import dashboards as d
 from basketlake.plans.warehouse import Warehouse
 from basketlake.shared import shared_dir
@@ -72,7 +73,7 @@ def main() -> None:
     timed("ingest_raw", lambda: w.refresh("raw_transactions"))
     report = timed("full_etl", lambda: w.run_etl(FOLDER, fail_on_critical=False, ingest=False))
     timed("backtest_and_train", lambda: w.refresh("ml_forecast_daily"))
-    timed("forecast_14d", lambda: consume(forecast.forecast_ets(w.metric_series(), 14)))
+    timed("forecast_14d", lambda: consume(forecast.forecast(fill_daily_gaps(w.metric_series()), list(forecast.NATIVE), 14)))
     timed("detect_anomalies", lambda: w.refresh("ml_anomalies_daily"))
     w.table("ml_model_runs"), w.table("table_refresh_log")
     for q in DASHBOARDS:

@@ -21,9 +21,9 @@ from basketlake.functions.amounts import change_pct, money_sum
 from basketlake.operators import aggregate, anomalies, clean, forecast, marts, quality, series, star
 from basketlake.plans import dashboards as d
 from basketlake.plans.warehouse import Warehouse
-from basketlake.schemas import CSV_COLUMNS, RAW_COLUMNS
+from basketlake.schemas import CSV_COLUMNS, RAW, RAW_COLUMNS
 from basketlake.shared import shared_dir
-from basketlake.sources import sinks, tpch
+from basketlake.sources import parts, sinks, tpch
 from basketlake.sources.readers import rename_by_name, rename_by_position, typed
 from basketlake.streaming import transactions as st
 
@@ -33,13 +33,7 @@ _WAREHOUSES: dict[tuple, Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, folder: str, **options) -> Warehouse:
-    """The warehouse of a table folder; its tables are built when first read.
-
-    The registered forecast table holds the naive weekly model and the anomaly
-    table the z-score rule, which SQL can check; a window of four rows that
-    contains the day itself limits |z| to 1.5, hence the lower threshold.
-    """
-    options = options or {"models": ("naive",), "z_threshold": 1.45, "forest": False}
+    """The warehouse of a table folder, with the default models and detectors; its tables are built when first read."""
     key = (spark.sparkContext.applicationId, folder, repr(sorted(options.items())))
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse.for_source(spark, folder, lambda: tpch.raw_transactions(spark, folder), **options)
@@ -157,13 +151,14 @@ def _scratch(spark, label: str) -> str:
     return f"{shared_dir(spark)}/basketlake/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def _csv_folder(w: Warehouse, label: str, files: int | None = None) -> str:
-    """The raw table written out as Latin-1 transaction files."""
+def _csv_folder(w: Warehouse, label: str, files: int | None = None, by_date: bool = False) -> str:
+    """The raw table written out as Latin-1 transaction files; ``by_date`` gives each file days of its own."""
     folder = _scratch(w.spark, label)
-    text = _file_text(w.table("raw_transactions"))
+    raw = w.table("raw_transactions")
     if files:
-        text = text.repartition(files)
-    text.write.option("header", True).option("encoding", "ISO-8859-1").option("ignoreLeadingWhiteSpace", False).option(
+        raw = raw.repartitionByRange(files, "invoice_date") if by_date else raw.repartition(files)
+    text = _file_text(raw)
+    text.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).csv(folder)
     return folder
@@ -176,6 +171,20 @@ def read_transactions_csv(w):
     return read(w.spark, _csv_folder(w, "csv"))
 
 
+@query
+def read_transactions_csv_headers(w):
+    """Files of two headers, one in another order with further columns, and texts of two lines in quotes."""
+    from basketlake.sources.readers import read_transactions_csv as read
+
+    folder = _scratch(w.spark, "headers")
+    text = _file_text(w.table("raw_transactions")).withColumn("Description", F.concat("Description", F.lit("\n, second line")))
+    odd = F.col("StockCode").cast("int") % 2 == 1
+    options = {"header": True, "encoding": "ISO-8859-1", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    text.where(odd).write.options(**options).csv(f"{folder}/a")
+    text.where(~odd).select(F.lit("x").alias("More"), *CSV_COLUMNS[::-1], F.lit("y").alias("Even more")).write.options(**options).csv(f"{folder}/b")
+    return read(w.spark, folder)
+
+
 # --- cleaning -------------------------------------------------------------------------
 
 
@@ -299,7 +308,43 @@ def upsert_keyed(spark, folder):
     sinks.write_table(table(spark, folder, "customer").select(F.col("c_custkey").alias("customer"), balance, F.lit(-1).cast("bigint").alias("version")), path)
     events = table(spark, folder, "events").select(F.col("user_id").alias("customer"), F.col("value").alias("amount"), F.col("event_id").alias("version"))
     sinks.upsert_keyed(spark, path, events, ["customer"], ["version", "amount"])
-    return spark.read.parquet(path)
+    return sinks.read_table(spark, path)
+
+
+@on_tables
+def upsert_buckets(spark, folder):
+    """The same balances in hash buckets: of the second batch of events only the touched buckets are written."""
+    path = _scratch(spark, "bucket-balances")
+    balance = F.round("c_acctbal", 2).alias("amount")
+    start = table(spark, folder, "customer").select(F.col("c_custkey").alias("customer"), balance, F.lit(-1).cast("bigint").alias("version"))
+    sinks.upsert_keyed(spark, path, start, ["customer"], buckets=16)
+    events = table(spark, folder, "events").select(F.col("user_id").alias("customer"), F.col("value").alias("amount"), F.col("event_id").alias("version"))
+    sinks.upsert_keyed(spark, path, events.where("version % 2 = 0"), ["customer"], ["version", "amount"])
+    late = sinks.merge_keyed(sinks.read_table(spark, path), events, ["customer"], ["version", "amount"])
+    sinks.upsert_keyed(spark, path, late.where("version % 2 = 1"), ["customer"])
+    return sinks.read_table(spark, path)
+
+
+@on_tables
+def load_raw_append(spark, folder):
+    """Orders appended to a table year by year."""
+    path = _scratch(spark, "orders")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year"))
+    years = [r[0] for r in orders.select("year").distinct().orderBy("year").collect()]
+    for year in years:
+        sinks.load_raw_append(orders.where(F.col("year") == year), path)
+    return sinks.read_table(spark, path)
+
+
+@on_tables
+def read_table(spark, folder):
+    """A table that was replaced and replaced again, under a declared schema."""
+    from basketlake.sources.readers import read_table as read
+
+    path = _scratch(spark, "suppliers")
+    for batch in (table(spark, folder, "supplier").where("s_suppkey % 2 = 0"), table(spark, folder, "supplier")):
+        sinks.write_table(batch.select("s_suppkey", "s_nationkey"), path)
+    return read(spark, path, "s_suppkey bigint, s_nationkey bigint")
 
 
 @on_tables
@@ -310,7 +355,7 @@ def insert_if_absent(spark, folder):
         F.col("p_partkey").alias("part"), F.lit(-1.0).alias("price"), F.lit(1).cast("bigint").alias("version")
     )
     sinks.insert_if_absent(spark, path, rows, ["part"])
-    return spark.read.parquet(path)
+    return sinks.read_table(spark, path)
 
 
 @on_tables
@@ -341,8 +386,8 @@ def scd1_aggregate_update(w):
 def merge_dimension(w):
     """Dimension of the first years, refreshed from the lines of the last ones."""
     stg = w.table("stg_transactions_clean")
-    old = star.dim_product(stg.where("year_month < '1997-01'"))
-    new = star.dim_product(stg.where("year_month >= '1997-01'"))
+    old = star.dim_product(star.product_days(stg.where("year_month < '1997-01'")))
+    new = star.dim_product(star.product_days(stg.where("year_month >= '1997-01'")))
     return star.merge_dimension(old, new, "stock_code").select("stock_code", "total_quantity_sold", "total_revenue", "first_sold_date", "last_sold_date")
 
 
@@ -426,7 +471,19 @@ def mart_product_performance(w):
 
 @query
 def product_ranks(w):
-    return marts.product_ranks(marts.product_sales(w.table("fact_sales"))).select("stock_code", "revenue_rank", "quantity_rank")
+    sales = marts.product_sales(w.table("agg_product_days"), w.table("fact_sales"))
+    return marts.product_ranks(sales).select("stock_code", "revenue_rank", "quantity_rank")
+
+
+@query
+def product_days(w):
+    days = star.product_days(w.table("stg_transactions_clean"))
+    return days.select("full_date", "stock_code", "description", "prices", "priced_lines", "valid_lines", "quantity", "revenue")
+
+
+@query
+def country_totals(w):
+    return star.country_totals(w.table("agg_invoices"))
 
 
 @query
@@ -475,12 +532,22 @@ PROFILED = ["invoice_no", "stock_code", "description", "quantity", "unit_price",
 
 @query
 def profile_columns(w):
-    return quality.profile_columns(w.table("stg_transactions_clean"), "stg_transactions_clean", PROFILED)
+    return quality.profile_columns(w.table("stg_transactions_clean"), "stg_transactions_clean", PROFILED, exact=True)
 
 
 @query
 def profile_columns_approx(w):
-    return quality.profile_columns(w.table("stg_transactions_clean"), "stg_transactions_clean", PROFILED, approximate=True)
+    return quality.profile_columns(w.table("stg_transactions_clean"), "stg_transactions_clean", PROFILED)
+
+
+@query
+def profile_by_month(w):
+    """The stored profile without its estimates: months after the first year are sketched in a second step."""
+    stg = w.table("stg_transactions_clean")
+    first = [r[0] for r in stg.select("year_month").distinct().collect() if r[0] < "1996-01"]
+    w.profile(first, PROFILED)
+    profile = w.profile(columns=PROFILED)
+    return profile.select("column_name", "total_rows", "null_count", "null_pct", "min_value", "max_value", F.round("mean_value", 2).alias("mean_value"))
 
 
 @query
@@ -518,11 +585,10 @@ for _fn in (
     d.executive_summary, d.country_top10, d.rfm_segment_distribution, d.rfm_segment_details, d.rfm_heatmap, d.top_customers,
     d.high_value_at_risk, d.top_products_revenue, d.top_products_quantity, d.product_tiers, d.revenue_concentration,
     d.product_delta_30d, d.country_delta_30d, d.daily_product_trend, d.growing_countries, d.products_needing_attention,
-    d.moving_avg_7d, d.wow_growth, d.forecast_vs_actual_revenue, d.forecast_vs_actual_orders, d.forecast_vs_actual_combined,
-    d.v_forecast_vs_actual, d.future_forecasts, d.latest_forecasts, d.forecast_14d_revenue, d.forecast_14d_orders, d.yearly_outlook,
+    d.moving_avg_7d, d.wow_growth, d.forecast_vs_actual_combined,
+    d.future_forecasts, d.latest_forecasts, d.forecast_14d_revenue, d.forecast_14d_orders, d.yearly_outlook,
     d.actual_vs_forecast_30d, d.anomaly_table, d.anomaly_by_severity, d.latest_anomalies, d.latest_anomalies_50,
-    d.active_alerts_14d, d.critical_alert_count, d.model_performance_latest,
-    d.model_comparison, d.v_model_performance, d.model_runs_latest, d.data_freshness, d.v_dashboard_freshness, d.last_data_date,
+    d.critical_alert_count, d.last_data_date,
     d.period_cross,
 ):
     query(_fn)
@@ -530,15 +596,13 @@ for _fn in (
 for _name, _segment in (("champions", "Champions"), ("loyal", "Loyal Customers"), ("at_risk", "At Risk"), ("lost", "Hibernating")):
     query((lambda s: lambda w: d.rfm_segment_count(w, s))(_segment), f"rfm_segment_count_{_name}")
 
-query(lambda w: d.forecast_vs_actual_revenue(w, faithful=True), "forecast_vs_actual_full")
-
 
 def _alert_day(w):
     """The newest day with a serious alert, as the day of alert queries."""
     return w.table("ml_anomalies_daily").where("severity in ('critical', 'high')").agg(F.max("anomaly_date")).first()[0]
 
 
-for _fn in (d.recent_anomalies_7d, d.active_alerts_7d, d.alert_summary):
+for _fn in (d.recent_anomalies_7d, d.active_alerts_7d, d.active_alerts_14d, d.alert_summary):
     query((lambda fn: lambda w: fn(w, _alert_day(w)))(_fn), _fn.__name__)
 
 query(lambda w: d.serious_anomalies_7d(w, _alert_day(w)).select("anomaly_date", "metric_name", "severity", "anomaly_type", "deviation_pct"), "serious_anomalies_7d")
@@ -581,13 +645,6 @@ def chart_active_alerts(w):
     return aggregate.aggregate_query(d.active_alerts_7d(w, _alert_day(w)), {"alerts": "count(*)"}, ["anomaly_date", "metric_name", "severity", "anomaly_type"])
 
 
-@query
-def chart_model_performance(w):
-    return aggregate.aggregate_query(
-        d.v_model_performance(w), {"avg_mape": "round(avg(avg_mape), 4)", "best_mape": "min(best_mape)"}, ["target_metric", "model_type"]
-    )
-
-
 # --- data quality ----------------------------------------------------------------------
 
 
@@ -606,34 +663,6 @@ for _check in (
     )
 
 
-def _run_per_year(w) -> tuple[DataFrame, DataFrame]:
-    """A run per year of data: was every month of at least 27 sales days, had any month over 31?"""
-    k = w.table("mart_daily_kpis").withColumn("run_id", F.year("full_date").cast("string"))
-    runs = k.groupBy("run_id").agg(
-        F.min("full_date").cast("timestamp_ntz").alias("started_at"), F.max("full_date").cast("timestamp_ntz").alias("completed_at")
-    ).select("run_id", F.lit("etl_full").alias("run_type"), "started_at", "completed_at", F.lit("success").alias("status"))
-    results = k.groupBy("run_id", F.month("full_date").alias("m")).agg(F.count(F.lit(1)).alias("n")).select(
-        "run_id", (F.col("n") >= 30).alias("passed"), F.when(F.col("n") >= 30, "info").when(F.col("n") >= 28, "warning").otherwise("critical").alias("severity")
-    )
-    return runs, results
-
-
-@query
-def v_dq_summary(w):
-    runs, results = _run_per_year(w)
-    return quality.dq_summary(runs, results)
-
-
-@query
-def run_status_exists(w):
-    return quality.run_status(_run_per_year(w)[1])
-
-
-@query
-def log_table_refresh(w):
-    return w.table("table_refresh_log").select("table_name", "last_refresh_at", "row_count", "refresh_type")
-
-
 @on_tables
 def run_etl(spark, folder):
     """A whole refresh with checks; its steps and row counts."""
@@ -652,13 +681,19 @@ def _grown(spark, folder) -> Warehouse:
     if key not in _GROWN:
         raw = tpch.raw_transactions(spark, folder)
         loads = iter([raw.where(F.col("invoice_date") < FIRST_LOAD), raw])
-        w = Warehouse(spark, _scratch(spark, "grown"), lambda: next(loads), models=("naive",), z_threshold=1.45, forest=False)
-        w.run_etl("first", fail_on_critical=False, train=True)
-        w.run_etl("second", fail_on_critical=False)
+        w = Warehouse(spark, _scratch(spark, "grown"), lambda: next(loads))
+        w.run_etl("first", fail_on_critical=False, train=True, run_id="first")
+        w.run_etl("second", fail_on_critical=False, run_id="second")
         _GROWN[key] = w
     return _GROWN[key]
 
 
+def grown(fn: Callable[[Warehouse], DataFrame], name: str | None = None):
+    """Registers a function of the warehouse that was loaded and trained twice."""
+    QUERIES[name or fn.__name__] = wraps(fn)(lambda spark, folder: plain(fn(_grown(spark, folder))))
+    return fn
+
+
 @on_tables
 def run_etl_twice(spark, folder):
     """Daily KPIs after the second load."""
@@ -672,10 +707,67 @@ def run_etl_twice_log(spark, folder):
     return _grown(spark, folder).table("table_refresh_log").where(F.col("table_name").isin(names)).select("table_name", "row_count")
 
 
-@on_tables
-def forecast_kept_vs_actual(spark, folder):
-    """Forecasts of the first training against what the second load brought."""
-    return d.forecast_vs_actual_combined(_grown(spark, folder))
+for _fn in (d.forecast_vs_actual_revenue, d.forecast_vs_actual_orders, d.model_comparison):
+    grown(_fn)
+
+grown(lambda w: d.forecast_vs_actual_revenue(w, faithful=True), "forecast_vs_actual_full")
+# Forecasts of the first training against what the second load brought.
+grown(d.forecast_vs_actual_combined, "forecast_kept_vs_actual")
+# Times of the log are those of the run; that there is one, shows in the view.
+grown(lambda w: d.v_forecast_vs_actual(w).withColumn("data_freshness", F.col("data_freshness").isNotNull()), "v_forecast_vs_actual")
+grown(lambda w: d.v_model_performance(w).select("model_type", "target_metric", "total_runs", "avg_mape", "best_mape", "avg_improvement_pct", "last_run"), "v_model_performance")
+grown(d.model_performance_latest)
+grown(d.model_runs_latest)
+
+
+@grown
+def chart_model_performance(w):
+    return aggregate.aggregate_query(
+        d.v_model_performance(w), {"avg_mape": "round(avg(avg_mape), 4)", "best_mape": "min(best_mape)"}, ["target_metric", "model_type"]
+    )
+
+
+@grown
+def record_model_runs(w):
+    return w.table("ml_model_runs").select(
+        "run_id", "model_type", "target_metric", "train_start_date", "train_end_date", "train_samples", "mape", "smape", "rmse", "mae",
+        "baseline_mape", "improvement_vs_baseline_pct", "status", "notes",
+    )
+
+
+def _later(w, hours: int):
+    """Some hours after the newest refresh the log knows."""
+    return w.table("table_refresh_log").agg(F.max("last_refresh_at") + F.expr(f"interval {hours} hours")).first()[0]
+
+
+@grown
+def data_freshness(w):
+    return d.data_freshness(w, _later(w, 12)).select("data_source", "records", "status")
+
+
+@grown
+def v_dashboard_freshness(w):
+    return d.v_dashboard_freshness(w, _later(w, 30)).select("table_name", "row_count", "freshness_status")
+
+
+@grown
+def log_table_refresh(w):
+    return w.table("table_refresh_log").select("table_name", "refresh_run_id", "row_count", "refresh_type")
+
+
+@grown
+def v_dq_summary(w):
+    return quality.dq_summary(w.log("etl_run_log"), w.log("dq_check_results")).drop("started_at", "completed_at")
+
+
+@grown
+def run_status_exists(w):
+    return quality.run_status(w.log("dq_check_results"))
+
+
+@grown
+def etl_run_log(w):
+    return w.log("etl_run_log").select("run_id", "run_type", "status", "source_file", "rows_read", "rows_written", "rows_rejected")
 
 
 # --- time series -----------------------------------------------------------------------
@@ -740,22 +832,38 @@ for _e in ("mape", "smape", "rmse", "mae"):
     _error(_e)
 
 
+@query
+def backtest_native(w):
+    """Errors of the native models over three rolling origins, against the naive week of the same days."""
+    return forecast.score_backtest(w.table("backtest_days")).select(
+        "metric_name", "model_type", "mape", "smape", "rmse", "mae", "baseline_mape", "baseline_rmse", "improvement_pct", "test_samples"
+    )
+
+
 @query
 def improvement_pct(w):
     from basketlake.functions.errors import improvement_pct as better
 
-    e = series.forecast_errors(_naive_pairs(w), ["metric_name"])
-    return e.select("metric_name", F.round(better(F.col("rmse"), F.col("mae")), 4).alias("improvement_pct"))
+    s = w.scores()
+    return s.select("metric_name", "model_type", F.round(better(F.col("baseline_mape"), F.col("mape")), 4).alias("improvement_pct"))
 
 
 @query
 def select_best_model(w):
-    """Model choice on a given score table: per country, the year with the lowest score."""
-    sales = w.table("fact_sales").where(star.valid_sale())
-    scores = sales.groupBy(F.col("country_name").alias("metric_name"), F.substring("year_month", 1, 4).alias("model_type")).agg(
-        (F.sum("quantity") % 97).cast("double").alias("mape")
-    )
-    return series.select_best_model(scores)
+    """The best of the native models for the daily revenue of each country."""
+    sales = w.table("fact_sales").where(star.valid_sale()).groupBy("country_name", F.col("full_date").alias("ds"))
+    days = sales.agg(money_sum(F.col("line_total")).cast("double").alias("value"))
+    scores = forecast.backtest(days, list(forecast.NATIVE), keys=["country_name"])
+    return series.select_best_model(scores, ["country_name"])
+
+
+def _native(w, name: str) -> DataFrame:
+    days = series.fill_daily_gaps(series.unpivot_metrics(w.table("mart_daily_kpis")))
+    return forecast.NATIVE[name](days, 28)
+
+
+query(lambda w: _native(w, "weekday_mean"), "weekday_mean_forecast")
+query(lambda w: _native(w, "smoothing"), "smoothing_forecast")
 
 
 @query
@@ -779,30 +887,38 @@ def anomaly_zscore(w):
 
 @query
 def detect_anomalies(w):
-    a = anomalies.anomaly_rows(anomalies.detect_anomalies(w.metric_series(), z_threshold=1.45, forest=False))
-    return a.select(
+    return _shown(anomalies.anomaly_rows(anomalies.detect_anomalies(w.metric_series())))
+
+
+def _shown(found: DataFrame) -> DataFrame:
+    return found.select(
         "anomaly_date", "metric_name", "actual_value", "expected_value", "deviation_pct", "anomaly_type", "severity", "is_weekend",
         "day_of_week", "business_interpretation", "recommended_action",
     )
 
 
 @query
-def lookback_filter(w):
-    return series.lookback_filter(series.unpivot_metrics(w.table("mart_daily_kpis")), 30)
+def detect_anomalies_zscore(w):
+    """The z-score rule alone; a window of four rows that contains the day limits |z| to 1.5, hence the lower threshold."""
+    return _shown(anomalies.anomaly_rows(anomalies.detect_anomalies(w.metric_series(), z_threshold=1.45, robust=False)))
 
 
 @query
-def record_model_runs(w):
-    return w.build("ml_model_runs").select(
-        "run_id", "model_type", "target_metric", "train_start_date", "train_end_date", "train_samples", "mape", "smape", "rmse", "mae",
-        "baseline_mape", "improvement_vs_baseline_pct", "status",
-    )
+def detect_anomalies_lookback(w):
+    """Four metrics over the newest 90 days."""
+    found = anomalies.detect_anomalies(w.metric_series(anomalies.DETECTED_METRICS), lookback_days=90)
+    return _shown(anomalies.anomaly_rows(found))
+
+
+@query
+def lookback_filter(w):
+    return series.lookback_filter(series.unpivot_metrics(w.table("mart_daily_kpis")), 30)
 
 
 @query
 def ml_backtest_results(w):
     return w.build("ml_backtest_results").select(
-        "metric_name", "model_type", "prediction_date", "actual_value", "predicted_value", "absolute_error", "percentage_error"
+        "metric_name", "model_type", "origin", "prediction_date", "actual_value", "predicted_value", "absolute_error", "percentage_error"
     )
 
 
@@ -833,7 +949,7 @@ def backtest(w):
 def forecast_all(w):
     s = w.metric_series()
     best = series.select_best_model(forecast.backtest(s, ["ets", "trend_seasonal"]))
-    return forecast.forecast_all(s, best, 365)
+    return forecast.forecast_all(s, best, 365, models=["ets", "trend_seasonal"])
 
 
 @query
@@ -843,7 +959,7 @@ def anomaly_isolation_forest(w):
 
 @query
 def detect_anomalies_forest(w):
-    return anomalies.anomaly_rows(anomalies.detect_anomalies(w.metric_series()))
+    return anomalies.anomaly_rows(anomalies.detect_anomalies(w.metric_series(), forest=True))
 
 
 # --- streaming --------------------------------------------------------------------------
@@ -854,25 +970,89 @@ def stream_transactions(w):
     """Files of the raw table read as a stream into a raw table."""
     out = _scratch(w.spark, "stream-raw")
     st.stream_transactions(w.spark, _csv_folder(w, "in", 8), out, _scratch(w.spark, "cp"), files_per_batch=3).awaitTermination()
-    return w.spark.read.parquet(out).select(*RAW_COLUMNS)
+    return parts.read(w.spark, out, RAW).select(*RAW_COLUMNS)
+
+
+_STREAMED: dict[tuple, Warehouse] = {}
+
+
+def _refreshed(spark, folder) -> Warehouse:
+    """A warehouse without a source, filled by three micro-batches of files that hold days of their own."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STREAMED:
+        src = warehouse(spark, folder)
+        w = Warehouse(spark, _scratch(spark, "stream-wh"))
+        st.StreamRefresh(w).run(_csv_folder(src, "in", 6, by_date=True), _scratch(spark, "cp"), files_per_batch=2)
+        _STREAMED[key] = w
+    return _STREAMED[key]
 
 
 @on_tables
 def stream_refresh(spark, folder):
     """Daily KPIs kept up to date batch by batch; equal to a batch refresh at the end."""
-    src = warehouse(spark, folder)
-    w = Warehouse(spark, _scratch(spark, "stream-wh"))
-    st.StreamRefresh(w).start(_csv_folder(src, "in", 6), _scratch(spark, "cp"), files_per_batch=2).awaitTermination()
-    return spark.read.parquet(w.path("mart_daily_kpis"))
+    return _refreshed(spark, folder).table("mart_daily_kpis")
+
+
+@on_tables
+def stream_dq_checks(spark, folder):
+    """Checks of the batches: each has the same number of batches, and their raw rows sum up to all."""
+    results = _refreshed(spark, folder).log("dq_check_results")
+    rows = F.sum(F.when(F.col("check_type") == "row_count", F.when(F.col("table_name") == "raw_transactions", F.col("actual_value").try_cast("bigint"))))
+    return results.groupBy("check_name").agg(F.count_distinct("run_id").alias("batches"), rows.alias("raw_rows"))
+
+
+@on_tables
+def stream_run_log(spark, folder):
+    """The run log a listener wrote: a line per batch, with the rows it read."""
+    log = _refreshed(spark, folder).log("etl_run_log")
+    return log.groupBy("run_type").agg(F.count_distinct("run_id").alias("batches"), F.count(F.lit(1)).alias("lines"), F.sum("rows_read").alias("rows_read"))
+
+
+def _stream_after_source(spark, folder) -> Warehouse:
+    """Lines before a day come from the source, later ones by stream; then the source is read again, in a full refresh."""
+    raw = tpch.raw_transactions(spark, folder)
+    early = F.coalesce(F.col("invoice_date") < FIRST_LOAD, F.lit(False))
+    w = Warehouse(spark, _scratch(spark, "mixed-wh"), lambda: raw.where(early))
+    path = _scratch(spark, "late-lines")
+    options = {"header": True, "encoding": "ISO-8859-1", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    _file_text(raw.where(~early)).repartition(2).write.options(**options).csv(path)
+    st.StreamRefresh(w, full_every=2).run(path, _scratch(spark, "cp"), files_per_batch=1)
+    w.run_etl("again", fail_on_critical=False)
+    return w
+
+
+_MIXED: dict[tuple, Warehouse] = {}
+
+
+@on_tables
+def stream_refresh_after_source(spark, folder):
+    """Daily KPIs of a source and a stream together, after a refresh that read the source again."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _MIXED:
+        _MIXED[key] = _stream_after_source(spark, folder)
+    return _MIXED[key].table("mart_daily_kpis")
+
+
+@on_tables
+def stream_keeps_raw(spark, folder):
+    """Raw and staging rows of the same warehouse: no line is lost, none comes twice."""
+    stream_refresh_after_source(spark, folder)
+    w = _MIXED[(spark.sparkContext.applicationId, folder)]
+    return quality.table_counts({n: w.table(n) for n in ("raw_transactions", "stg_transactions_clean", "fact_sales")})
 
 
 @query
 def stream_daily_kpis(w):
-    """Event-time aggregation of the arriving lines; files are in no date order, so no day closes early."""
-    out = _scratch(w.spark, "stream-kpis")
-    stream = st.read_stream(w.spark, _csv_folder(w, "in", 6), 2)
-    st.stream_daily_kpis(w.spark, stream, out, _scratch(w.spark, "cp"), late="36500 days").awaitTermination()
-    return w.spark.read.parquet(out).drop("approx_orders")
+    """Event-time days with the default delay: files come in date order, and lines of every tenth invoice at the end, late."""
+    out, path = _scratch(w.spark, "stream-kpis"), _scratch(w.spark, "days")
+    options = {"header": True, "encoding": "ISO-8859-1", "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw = w.table("raw_transactions")
+    late = F.regexp_replace("invoice_no", "^C", "").cast("bigint") % 320 < 32
+    year = F.coalesce(F.year("invoice_date"), F.lit(0))
+    for piece in (raw.where(~late & (year < 1995)), raw.where(~late & year.between(1995, 1997)), raw.where(~late & (year > 1997)), raw.where(late)):
+        _file_text(piece).coalesce(1).write.options(**options).mode("append").csv(path)
+    st.stream_daily_kpis(w.spark, st.read_stream(w.spark, path, 1), out, _scratch(w.spark, "cp")).awaitTermination()
+    return st.DailyKpis(w.spark, out).table().select("full_date", "total_revenue", "total_items_sold", "lines")
 
 
 @on_tables
@@ -895,4 +1075,4 @@ def stream_event_days(spark, folder):
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return sinks.read_table(spark, out)

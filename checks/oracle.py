@@ -48,7 +48,7 @@ select case when o_orderkey % 50 = 0 then 'C' else '' end || cast(o_orderkey as
        cast(case when l_linenumber = 7 and l_orderkey % 100 = 3 then 0
                  when o_orderkey % 50 = 0 or (l_returnflag = 'R' and l_linenumber = 7) then -l_quantity
                  else l_quantity end as int) as quantity,
-       o_orderdate as invoice_date,
+       case when l_linenumber = 6 and l_orderkey % 100 = 1 then null else o_orderdate end as invoice_date,
        cast(case when p_partkey % 250 = 7 then 0 else p_retailprice end as decimal(10,2)) as unit_price,
        case when o_orderkey % 4 = 1 then '' else cast(o_custkey as varchar(20)) end as customer_id,
        case when c_custkey % 500 = 0 then '' else n_name end as country
@@ -232,8 +232,59 @@ left join (select {keys}, back, value from {prefix}_back where back <= 7) b
 """
 
 
+def native(source: str, horizon: int, prefix: str, keys: str = "metric_name") -> None:
+    """Parts ``{prefix}_weekday_mean`` and ``{prefix}_smoothing`` over the part ``source``, ``{prefix}_naive``, and all of them in ``prefix``."""
+    naive(source, horizon, f"{prefix}_naive", keys)
+    PARTS[f"{prefix}_wd"] = f"select *, isodow(ds) - 1 as wd, row_number() over (partition by {keys}, isodow(ds) order by ds desc) as wd_back from {source}"
+    PARTS[f"{prefix}_wm_level"] = (
+        f"select {keys}, wd, max(ds) as last, avg(value) as level, stddev_pop(value) as sd, count(*) as n from {prefix}_wd where wd_back <= 8 group by all"
+    )
+    # The fold of the level, with the sum of the squared errors beside it.
+    PARTS[f"{prefix}_sm_fold"] = f"""
+select {keys}, wd, max(ds) as last, count(*) as n,
+       list_reduce(list({{'l': value::double, 's': 0::double}} order by ds),
+                   lambda a, b: {{'l': 0.3::double * b.l + 0.7::double * a.l, 's': a.s + (b.l - a.l) * (b.l - a.l)}}) as f
+from {prefix}_wd group by {keys}, wd"""
+    PARTS[f"{prefix}_sm_level"] = f"select {keys}, wd, last, f.l as level, sqrt(f.s / greatest(n - 1, 1)) as sd, n from {prefix}_sm_fold"
+    for model, levels in (("weekday_mean", "wm_level"), ("smoothing", "sm_level")):
+        cents6 = lambda x: f"round(greatest({x}, 0)::decimal(24,6), 2)::double"
+        PARTS[f"{prefix}_{model}"] = f"""
+select {keys}, ds, step, {cents6('lev')} as predicted, {cents6('lev - 1.96 * dev')} as lower_bound, {cents6('lev + 1.96 * dev')} as upper_bound
+from (select e.{keys}, (fin + step::int)::date as ds, step::int as step, coalesce(l.level, e.mean) as lev, coalesce(l.sd, 0) as dev
+      from (select *, unnest(range(1, {horizon + 1})) as step from (
+                select {keys}, max(last) as fin, sum(level * n) / sum(n) as mean from {prefix}_{levels} group by {keys})) e
+      left join {prefix}_{levels} l on l.{keys} = e.{keys} and l.wd = isodow((fin + step::int)::date) - 1)
+"""
+    PARTS[prefix] = " union all ".join(
+        f"select '{m}' as model_type, {keys}, ds, step, predicted, lower_bound, upper_bound from {prefix}_{m}" for m in ("naive", "weekday_mean", "smoothing")
+    )
+
+
+def rolling(source: str, prefix: str, key: str = "metric_name") -> None:
+    """Parts of a back-test over three origins of 14 days: ``{prefix}_days``, ``{prefix}_scores``, ``{prefix}_best``."""
+    PARTS[f"{prefix}_placed"] = f"select {key}, ds, value, row_number() over (partition by {key} order by ds desc) as back, count(*) over (partition by {key}) as n from {source}"
+    PARTS[f"{prefix}_rolled"] = f"""
+select {key}, o as origin, {key} || '#' || o as skey, ds, value, back <= (o + 1) * 14 as is_test from {prefix}_placed, (select unnest([0, 1, 2]) as o)
+where n >= (o + 1) * 14 + 30 and back > o * 14"""
+    PARTS[f"{prefix}_train"] = f"select skey, ds, value from {prefix}_rolled where not is_test"
+    native(f"{prefix}_train", 14, f"{prefix}_fc", "skey")
+    PARTS[f"{prefix}_days"] = f"""
+select r.{key}, r.origin, f.model_type, r.ds, f.predicted, f.lower_bound, f.upper_bound, r.value as actual, b.predicted as baseline
+from {prefix}_rolled r join {prefix}_fc f on f.skey = r.skey and f.ds = r.ds join {prefix}_fc_naive b on b.skey = r.skey and b.ds = r.ds where r.is_test"""
+    mape = lambda p: f"round(coalesce(avg(case when actual <> 0 then abs((actual - {p}) / actual) end) * 100, 0), 2)"
+    smape = "round(coalesce(avg(case when abs(actual) + abs(predicted) <> 0 then abs(actual - predicted) / ((abs(actual) + abs(predicted)) / 2) end) * 100, 0), 2)"
+    rmse = lambda p: f"round(sqrt(avg((actual - {p}) * (actual - {p}))), 2)"
+    PARTS[f"{prefix}_scores"] = f"""
+select *, case when baseline_mape > 0 then (baseline_mape - mape) / baseline_mape * 100 end as improvement from (
+    select {key}, model_type, {mape('predicted')} as mape, {smape} as smape, {rmse('predicted')} as rmse, round(avg(abs(actual - predicted)), 2) as mae,
+           {mape('baseline')} as baseline_mape, {rmse('baseline')} as baseline_rmse, {mape('baseline').replace(', 2)', ', 12)')} as raw_base, {mape('predicted').replace(', 2)', ', 12)')} as raw_mape, count(*) as test_samples
+    from {prefix}_days group by {key}, model_type)"""
+    PARTS[f"{prefix}_best"] = f"select {key}, model_type, mape from {prefix}_scores qualify row_number() over (partition by {key} order by mape, model_type) = 1"
+
+
 PARTS["filled2"] = "select * from filled where metric_name in ('total_revenue', 'total_orders')"
-naive("filled2", 365, "fc_raw")
+native("filled2", 365, "fc_models")
+rolling("filled2", "bt")
 naive("filled", 28, "fc28")
 PARTS["split"] = """
 select *, row_number() over (partition by metric_name order by ds desc) <= 14 as is_test from filled
@@ -253,31 +304,73 @@ from pairs group by 1
 """
 PARTS["forecast"] = """
 select ds as forecast_date, metric_name, cast(predicted as decimal(20,2)) as predicted_value,
-       cast(lower_bound as decimal(20,2)) as lower_bound, cast(upper_bound as decimal(20,2)) as upper_bound, 'Naive weekly' as model_name
-from fc_raw
+       cast(lower_bound as decimal(20,2)) as lower_bound, cast(upper_bound as decimal(20,2)) as upper_bound,
+       case model_type when 'naive' then 'Naive weekly' when 'weekday_mean' then 'Weekday mean' else 'Exponential smoothing' end as model_name
+from fc_models join bt_best using (metric_name, model_type)
+"""
+native("filled", 28, "fc28_models")
+PARTS["country_days"] = f"select country_name, full_date as ds, sum(line_total)::double as value from fact where {VALID} group by 1, 2"
+PARTS["country_filled"] = """
+select k.country_name, c.full_date as ds, coalesce(value, 0) as value
+from (select country_name, min(ds) as lo, max(ds) as hi from country_days group by 1) k join calendar c on c.full_date between k.lo and k.hi
+left join country_days s on s.country_name = k.country_name and s.ds = c.full_date"""
+rolling("country_filled", "bc", "country_name")
+PARTS["series4"] = """
+select * from series where metric_name in ('total_revenue', 'total_orders', 'unique_customers', 'avg_order_value') and ds >= (select max(ds) from series) - 90
 """
 PARTS["product_series"] = f"select stock_code, full_date as ds, sum(line_total)::double as value from fact where {VALID} group by 1, 2"
 naive("product_series", 14, "fc_products", "stock_code")
 
-PARTS["typed_days"] = """
-select *, isodow(ds) - 1 as day_of_week, isodow(ds) >= 6 as is_weekend from series
-"""
-_W4 = "over (partition by metric_name, is_weekend order by ds rows between 3 preceding and current row)"
-PARTS["rolling"] = f"""
-select *, case when count(*) {_W4} >= 2 then avg(value) {_W4} end as rolling_mean,
-          case when count(*) {_W4} >= 2 then stddev_samp(value) {_W4} end as rolling_std,
+def rolled_days(source: str, prefix: str) -> None:
+    """``{prefix}_roll``: rolling mean and deviation of each day among the last four of its type."""
+    w4 = "over (partition by metric_name, is_weekend order by ds rows between 3 preceding and current row)"
+    PARTS[f"{prefix}_typed"] = f"select *, isodow(ds) - 1 as day_of_week, isodow(ds) >= 6 as is_weekend from {source}"
+    PARTS[f"{prefix}_roll"] = f"""
+select *, case when count(*) {w4} >= 2 then avg(value) {w4} end as rolling_mean,
+          case when count(*) {w4} >= 2 then stddev_samp(value) {w4} end as rolling_std,
           avg(value) over (partition by metric_name, is_weekend) as baseline,
           stddev_samp(value) over (partition by metric_name) as all_std, count(*) over (partition by metric_name) as days_n
-from typed_days
+from {prefix}_typed
 """
-PARTS["z"] = """
+
+
+def zscores(source: str, prefix: str) -> None:
+    rolled_days(source, prefix)
+    PARTS[f"{prefix}_z"] = f"""
 select metric_name, ds, value, day_of_week, is_weekend, expected, std, (value - expected) / case when std = 0 then 1 else std end as z_score,
        round((value - expected) / case when expected = 0 then 1 else expected end * 100, 2) as deviation_pct
-from (select *, coalesce(rolling_mean, baseline) as expected, coalesce(rolling_std, all_std) as std from rolling
-      where days_n >= 14 and metric_name in ('total_revenue', 'total_orders'))
+from (select *, coalesce(rolling_mean, baseline) as expected, coalesce(rolling_std, all_std) as std from {prefix}_roll where days_n >= 14)
 """
+    PARTS[f"{prefix}_centre"] = f"select metric_name, is_weekend, median(value) as centre from {prefix}_z group by 1, 2"
+    PARTS[f"{prefix}_spread"] = f"select metric_name, is_weekend, centre, median(abs(value - centre)) * 1.4826::double as spread from {prefix}_z join {prefix}_centre using (metric_name, is_weekend) group by 1, 2, 3"
+    PARTS[f"{prefix}_robust"] = f"""
+select *, (value - centre) / case when spread > 0 then spread when abs(centre) / 100 > 0 then abs(centre) / 100 else 1 end as robust_z
+from {prefix}_z join {prefix}_spread using (metric_name, is_weekend)
+"""
+
+
+def detected(prefix: str, z: str = "2.5", robust: bool = True) -> str:
+    """The anomalous days of the parts of :func:`zscores`, with type, severity and texts."""
+    if not robust:
+        found = f"select * from {prefix}_z where abs(z_score) > {z}"
+    else:
+        found = f"""
+select metric_name, ds, value, day_of_week, is_weekend, case when m then centre else expected end as expected,
+       case when m then robust_z else z_score end as z_score,
+       case when m then round((value - centre) / case when centre = 0 then 1 else centre end * 100, 2) else deviation_pct end as deviation_pct
+from (select *, abs(z_score) <= {z} and abs(robust_z) > 3.5 as m from {prefix}_robust) where m or abs(z_score) > {z}"""
+    return explained(found)
+
+
+zscores("series2", "two")
+zscores("series4", "recent")
+rolled_days("series", "five")
+# Day names and message texts.
 _DAY = "['Mon','Tue','Wed','Thu','Fri','Sat','Sun'][day_of_week + 1]"
-PARTS["anomalies"] = f"""
+
+
+def explained(found: str) -> str:
+    return f"""
 select ds as anomaly_date, metric_name, round(value::decimal(22,6), 2)::double as actual_value, round(expected::decimal(22,6), 2)::double as expected_value, deviation_pct, z_score,
        anomaly_type, severity, is_weekend, day_of_week,
        case when anomaly_type = 'spike' and is_weekend then 'Unusual weekend spike on ' || {_DAY} || '. Possible promotion effect or special event.'
@@ -292,33 +385,37 @@ select ds as anomaly_date, metric_name, round(value::decimal(22,6), 2)::double a
 from (select *, case when value > expected then 'spike' when value < expected then 'drop' end as anomaly_type,
              case when abs(z_score) > 4 or abs(deviation_pct) > 50 then 'critical' when abs(z_score) > 3 or abs(deviation_pct) > 30 then 'high'
                   when abs(z_score) > 2 or abs(deviation_pct) > 15 then 'medium' else 'low' end as severity
-      from z where abs(z_score) > 1.45)
+      from ({found}))
 """
 
-PARTS["refresh_log"] = """
-select 'mart_daily_kpis' as table_name, (select max(full_date) from kpis)::timestamp as last_refresh_at, (select count(*) from kpis) as row_count
-union all select 'mart_rfm', (select max(last_purchase_date) from dim_customer)::timestamp, (select count(*) from rfm)
-union all select 'mart_product_performance', (select max(last_sold_date) from dim_product)::timestamp, (select count(*) from product_mart)
-union all select 'ml_forecast_daily', (select max(ds) from pairs)::timestamp, (select count(*) from forecast)
-"""
+
+PARTS["anomalies"] = detected("two")
 
 PARTS["model_runs"] = """
-select 'train-' || strftime(today, '%Y-%m-%d') || '-naive-' || metric_name as run_id, today::timestamp as run_timestamp,
-       'forecast_naive' as model_type, metric_name as target_metric, lo as train_start_date, hi as train_end_date,
-       (date_diff('day', lo, hi) + 1)::int as train_samples, round(mape, 2) as mape, round(smape, 2) as smape, round(rmse, 2) as rmse,
-       round(mae, 2) as mae, round(mape, 2) as baseline_mape, case when round(mape, 2) > 0 then 0.0::double end as improvement, 'completed' as status
-from errors join (select metric_name, min(ds) as lo, max(ds) as hi from series group by 1) using (metric_name), today
-where metric_name in ('total_revenue', 'total_orders')
+select 'train-' || strftime(run_day, '%Y-%m-%d') || '-1-' || s.model_type || '-' || s.metric_name as run_id, run_day::timestamp as run_timestamp,
+       'forecast_' || s.model_type as model_type, s.metric_name as target_metric, lo as train_start_date, hi as train_end_date,
+       (date_diff('day', lo, hi) + 1)::int as train_samples, s.mape, smape, rmse, mae, baseline_mape, round(improvement, 4) as improvement,
+       case when b.metric_name is null then 'rejected' else 'completed' end as status, null::varchar as notes
+from bt_scores s join (select metric_name, min(ds) as lo, max(ds) as hi from series2 group by 1) using (metric_name)
+left join bt_best b on b.metric_name = s.metric_name and b.model_type = s.model_type, (select today as run_day from today)
+union all
+select 'train-' || strftime(run_day, '%Y-%m-%d') || '-1-anomaly-' || metric_name, run_day::timestamp, 'anomaly_robust', metric_name, lo, hi,
+       (date_diff('day', lo, hi) + 1)::int, null, null, null, null, null, null, 'completed', n::varchar || ' days found'
+from (select metric_name, count(*) as n from anomalies group by 1) join (select metric_name, min(ds) as lo, max(ds) as hi from series2 group by 1) using (metric_name), (select today as run_day from today)
 """
 
 PARTS["alert_day"] = "select max(anomaly_date) as today from anomalies where severity in ('critical', 'high')"
-# What a training before this day foresaw stays where the later one says nothing.
-PARTS["filled_early"] = "select * from filled2 where ds <= (select max(full_date) from kpis where full_date < date '2000-06-01')"
-naive("filled_early", 365, "fc_early")
+
+# Every part once more over the lines before a day, under its name and "_e": what a first load saw.
+_FIRST = re.compile(r"((?:from|join|,)\s*\(?\s*)(" + "|".join(sorted(PARTS, key=len, reverse=True)) + r")\b")
+for _n, _text in list(PARTS.items()):
+    PARTS[f"{_n}_e"] = _FIRST.sub(r"\1\2_e", _text)
+PARTS["raw_e"] = "select * from raw where invoice_date < timestamp '2000-06-01'"
+PARTS["all_runs"] = "select * from model_runs union all select * from model_runs_e"
+# What the first training foresaw stays where the later one says nothing.
 PARTS["forecast_kept"] = """
 select forecast_date, metric_name, predicted_value, lower_bound, upper_bound from forecast
-union all select ds, metric_name, cast(predicted as decimal(20,2)), cast(lower_bound as decimal(20,2)), cast(upper_bound as decimal(20,2))
-from fc_early where ds not in (select forecast_date from forecast)
+union all select forecast_date, metric_name, predicted_value, lower_bound, upper_bound from forecast_e where forecast_date not in (select forecast_date from forecast)
 """
 
 _NAME = re.compile(r"\b(" + "|".join(sorted(PARTS, key=len, reverse=True)) + r")\b")
@@ -390,6 +487,10 @@ for _n in ("rename_by_name", "rename_by_position", "read_transactions_json", "lo
 # In a CSV file an empty field is a missing value.
 for _n in ("read_transactions_csv", "stream_transactions"):
     add(_n, f"select {_RAW}, nullif(customer_id, '') as customer_id, nullif(country, '') as country from raw")
+add(
+    "read_transactions_csv_headers",
+    f"select * replace (description || chr(10) || ', second line' as description) from ({ORACLE['read_transactions_csv'].split(') select ', 1)[0]}) select {_RAW}, nullif(customer_id, '') as customer_id, nullif(country, '') as country from raw)",
+)
 
 # --- cleaning, dimensions, fact -----------------------------------------------------------------
 
@@ -397,8 +498,8 @@ _STG = "invoice_no, stock_code, description, quantity, invoice_date, unit_price:
 add("clean_transactions", f"select {_STG} from stg")
 add(
     "quarantine_rejects",
-    f"""select {_RAW}, customer_id, country, case when unit_price <= 0 then 'filter_invalid_price' else 'filter_zero_quantity' end as reject_reason
-    from raw where unit_price <= 0 or quantity = 0""",
+    f"""select {_RAW}, customer_id, country, case when invoice_date is null then 'filter_null_invoice_date' when unit_price <= 0 then 'filter_invalid_price' else 'filter_zero_quantity' end as reject_reason
+    from raw where unit_price <= 0 or quantity = 0 or invoice_date is null""",
 )
 # Rule names, targets, types.
 _RULES = [
@@ -409,7 +510,7 @@ _RULES = [
     ("null_description_impute", "description", "impute", "trim(description) = ''"),
     ("null_country_impute", "country", "impute", "trim(country) = ''"),
     ("filter_invalid_price", "unit_price", "filter", "unit_price <= 0"),
-    ("derive_line_total", "line_total", "derive", "unit_price > 0 and quantity <> 0"),
+    ("derive_line_total", "line_total", "derive", "unit_price > 0 and quantity <> 0 and invoice_date is not null"),
     ("filter_null_invoice_date", "invoice_date", "filter", "invoice_date is null"),
 ]
 add(
@@ -472,6 +573,9 @@ add(
     """select anomaly_date, metric_name, hit as acknowledged, case when hit then 'analyst' end as acknowledged_by
     from (select *, metric_name = 'total_revenue' and anomaly_date = max(anomaly_date) filter (where metric_name = 'total_revenue') over () as hit from anomalies)""",
 )
+add("upsert_buckets", ORACLE["upsert_keyed"])
+add("load_raw_append", "select o_orderkey, o_custkey, year(o_orderdate)::int as year from orders")
+add("read_table", "select s_suppkey, s_nationkey from supplier")
 add("new_dim_members", "select customer_id from dim_customer where first_purchase_date >= date '1996-01-01'")
 add(
     "scd1_aggregate_update",
@@ -504,7 +608,15 @@ _KPIS = f"""select date_key, full_date, {dbl('total_revenue')}, total_orders, to
 {dbl('avg_order_value', 'cancelled_revenue', 'return_revenue', 'cancellation_rate', 'return_rate')}, cancelled_orders, return_orders,
 new_customers, repeat_customers from kpis"""
 add("mart_daily_kpis", _KPIS)
-add("stream_refresh", _KPIS)
+for _n in ("stream_refresh", "stream_refresh_after_source"):
+    add(_n, _KPIS)
+add("stream_keeps_raw", "select 'raw_transactions' as table_name, count(*) as row_count from raw union all select 'stg_transactions_clean', count(*) from stg union all select 'fact_sales', count(*) from fact")
+add(
+    "stream_dq_checks",
+    """select unnest(['customer_id_null_rate', 'date_range_check', 'fact_date_integrity', 'mart_daily_kpis_populated', 'raw_row_count', 'staging_retention_rate']) as check_name, 3::bigint as batches,
+    unnest([null, null, null, null, (select count(*) from raw), null]) as raw_rows""",
+)
+add("stream_run_log", "select 'etl_incremental' as run_type, 3::bigint as batches, 3::bigint as lines, count(*) as rows_read from raw")
 add(
     "stream_daily_kpis",
     f"""select full_date, {VALID_SUM}::double as total_revenue, sum(case when {VALID} then quantity else 0 end)::bigint as total_items_sold,
@@ -528,6 +640,20 @@ add(
     f"select stock_code, description, {dbl('total_revenue', 'avg_unit_price')}, total_quantity, total_orders, revenue_rank, quantity_rank from product_mart",
 )
 add("product_ranks", "select stock_code, revenue_rank, quantity_rank from product_mart")
+add(
+    "product_days",
+    f"""select full_date, stock_code, description, prices::double as prices, priced_lines, valid_lines, quantity, revenue::double as revenue
+    from (select invoice_date::date as full_date, stock_code, sum(unit_price) as prices, count(unit_price) as priced_lines, count(*) filter (where {VALID}) as valid_lines,
+                 sum(case when {VALID} then quantity else 0 end)::bigint as quantity, {VALID_SUM} as revenue from stg group by 1, 2)
+    join (select invoice_date::date as full_date, stock_code, description from stg
+          qualify row_number() over (partition by invoice_date::date, stock_code order by invoice_date desc, description desc) = 1) using (full_date, stock_code)""",
+)
+add(
+    "country_totals",
+    """select c.country_name, c.total_revenue::double as total_revenue, d.total_orders, c.total_orders as live_orders, coalesce(counted_orders, 0) as counted_orders, c.total_customers
+    from country_mart c join dim_country d using (country_name)
+    left join (select country_name, count(*) as counted_orders from (select invoice_no, min(country_name) as country_name from fact where not is_cancelled group by 1) group by 1) using (country_name)""",
+)
 add("mart_monthly_trends", f"select * replace ({dbl('total_revenue', 'avg_order_value', 'aov_weighted')}) from monthly")
 add("mom_growth", "select year_month, revenue_mom_growth, orders_mom_growth from monthly")
 add(
@@ -566,6 +692,13 @@ add(
         for c in ("invoice_no", "stock_code", "description", "quantity", "unit_price", "customer_id", "country", "line_total")
     ),
 )
+add(
+    "profile_by_month",
+    " union all ".join(
+        f"select column_name, total_rows, null_count, null_pct, min_value, max_value, {f'round(avg({c}::double), 2)' if n else 'null::double'} as mean_value from ({profile(c, n)}), (select {c} from stg) group by all"
+        for c, n in [(c, c in ("quantity", "unit_price", "customer_id", "line_total")) for c in ("invoice_no", "stock_code", "description", "quantity", "unit_price", "customer_id", "country", "line_total")]
+    ),
+)
 add("distinct_values", "select country, count(customer_id) as customers, count(*) as pairs from (select distinct country, customer_id from stg) group by 1")
 _COUNTED = {
     "raw_transactions": "raw", "stg_transactions_clean": "stg", "dim_customer": "dim_customer", "dim_product": "dim_product",
@@ -575,6 +708,7 @@ add("table_counts", " union all ".join(f"select '{n}' as table_name, count(*) as
 _BUILT = {
     **_COUNTED, "agg_invoices": "invoices", "dim_date": "calendar", "dim_customer_rfm": "dim_customer",
     "mart_country_performance": "country_mart", "mart_product_performance": "product_mart", "mart_monthly_trends": "monthly",
+    "agg_countries": "country_mart", "agg_product_days": "(select distinct full_date, stock_code from fact)",
 }
 add("run_etl", " union all ".join(f"select '{n}' as step_name, count(*) as rows_affected from {p}" for n, p in _BUILT.items()))
 add("run_etl_twice", _KPIS)
@@ -582,7 +716,7 @@ add(
     "run_etl_twice_log",
     """select 'mart_daily_kpis' as table_name, count(*) as row_count from kpis union all select 'mart_rfm', count(*) from rfm
     union all select 'mart_product_performance', count(*) from product_mart union all select 'ml_forecast_daily', count(*) from forecast_kept
-    union all select 'ml_model_runs', 2 * count(*) from model_runs""",
+    union all select 'ml_model_runs', count(*) from all_runs""",
 )
 add(
     "top_k",
@@ -714,7 +848,7 @@ for _m, _n in (("total_revenue", "revenue"), ("total_orders", "orders")):
     _a = f"{_m}::double as actual" if _m == "total_revenue" else f"{_m} as actual"
     add(
         f"forecast_vs_actual_{_n}",
-        f"select coalesce(full_date, forecast_date) as date, {_a}, {_FC} from kpis full join (from forecast where metric_name = '{_m}') f on full_date = forecast_date",
+        f"select coalesce(full_date, forecast_date) as date, {_a}, {_FC} from kpis full join (from forecast_kept where metric_name = '{_m}') f on full_date = forecast_date",
     )
     add(
         f"forecast_14d_{_n}",
@@ -725,7 +859,7 @@ for _m, _n in (("total_revenue", "revenue"), ("total_orders", "orders")):
 add(
     "forecast_vs_actual_full",
     f"""select coalesce(full_date, forecast_date) as date, total_revenue::double as actual, {_FC}
-    from kpis full join forecast f on full_date = forecast_date and metric_name = 'total_revenue'""",
+    from kpis full join forecast_kept f on full_date = forecast_date and metric_name = 'total_revenue'""",
 )
 
 
@@ -743,7 +877,7 @@ def combined(day: str, extra: str) -> str:
     left join forecast o on full_date = o.forecast_date and o.metric_name = 'total_orders'"""
 
 
-add("v_forecast_vs_actual", combined("full_date", ", (select last_refresh_at from refresh_log where table_name = 'mart_daily_kpis') as data_freshness"))
+add("v_forecast_vs_actual", combined("full_date", ", true as data_freshness").replace("join forecast ", "join forecast_kept "))
 add("forecast_vs_actual_combined", combined("date", ""))
 add("forecast_kept_vs_actual", combined("date", "").replace("join forecast ", "join forecast_kept "))
 add(
@@ -799,7 +933,7 @@ add(
     "active_alerts_14d",
     """select anomaly_date as date, metric_name as metric, round(actual_value::decimal(20,2), 0)::double as actual, round(expected_value::decimal(20,2), 0)::double as expected,
     round(deviation_pct::decimal(12,4), 1)::decimal(12,1)::varchar || '%' as deviation, upper(anomaly_type) as type, upper(severity) as severity,
-    coalesce(business_interpretation, 'Requires investigation') as what_happened, recommended_action from anomalies, today where anomaly_date >= today - 14""",
+    coalesce(business_interpretation, 'Requires investigation') as what_happened, recommended_action from anomalies, alert_day where anomaly_date >= today - 14""",
 )
 add("critical_alert_count", "select count(*) as critical_alerts from anomalies where severity = 'critical'")
 add(
@@ -813,36 +947,32 @@ def pct_text(x: str) -> str:
     return f"round({x}::decimal(12,4), 1)::decimal(12,1)::varchar || '%'"
 
 
+_DONE = "from all_runs where status = 'completed'"
+_TRAINED = f"{_DONE} and model_type like 'forecast_%'"
 add(
     "model_performance_latest",
     f"""select target_metric as metric, model_type as model, {pct_text('mape')} as model_mape, {pct_text('baseline_mape')} as baseline_mape, {pct_text('improvement')} as improvement,
-    train_samples::varchar || ' days' as training_data, strftime(run_timestamp, '%Y-%m-%d %H:%M') as last_trained from model_runs limit 4""",
+    train_samples::varchar || ' days' as training_data, strftime(run_timestamp, '%Y-%m-%d %H:%M') as last_trained {_TRAINED} order by run_timestamp desc, target_metric, model_type limit 4""",
 )
 add(
     "model_comparison",
-    """select target_metric as metric, model_type as model, round(avg(mape), 2) as avg_mape, round(avg(baseline_mape), 2) as avg_baseline_mape,
-    round(avg(improvement), 2) as avg_improvement_pct from model_runs where model_type like 'forecast_%' group by 1, 2""",
-)
-add(
-    "v_model_performance",
-    """select model_type, target_metric, count(*) as total_runs, round(avg(mape), 4) as avg_mape, min(mape) as best_mape, round(avg(improvement), 4) as avg_improvement_pct,
-    max(run_timestamp) as last_run from model_runs group by 1, 2""",
+    f"""select target_metric as metric, model_type as model, round(avg(mape), 2) as avg_mape, round(avg(baseline_mape), 2) as avg_baseline_mape,
+    round(avg(improvement), 2) as avg_improvement_pct {_TRAINED} group by 1, 2""",
 )
+_PERFORMANCE = f"""select model_type, target_metric, count(*) as total_runs, round(avg(mape), 4) as avg_mape, min(mape) as best_mape, round(avg(improvement), 4) as avg_improvement_pct,
+    max(run_timestamp) as last_run {_DONE} group by 1, 2"""
+add("v_model_performance", _PERFORMANCE)
 _RUNS = "model_type, target_metric, train_start_date, train_end_date, train_samples, mape, smape, baseline_mape, improvement as improvement_vs_baseline_pct"
-add("model_runs_latest", f"select {_RUNS}, '1' as model_version, '1' as code_version, run_timestamp, status from model_runs limit 20")
-add("record_model_runs", f"select run_id, {_RUNS}, rmse, mae, status from model_runs")
-_AGE = "date_diff('microsecond', last_refresh_at, today::timestamp + interval 12 hour) / 3.6e9"
-_STATUS = f"case when {_AGE} < 6 then 'fresh' when {_AGE} < 24 then 'stale' else 'outdated' end"
-add(
-    "v_dashboard_freshness",
-    f"select table_name, last_refresh_at, row_count, round({_AGE}, 4) as hours_since_refresh, {_STATUS} as freshness_status from refresh_log, today",
-)
-add(
-    "data_freshness",
-    f"""select table_name as data_source, strftime(last_refresh_at, '%Y-%m-%d %H:%M') as last_updated, row_count as records,
-    upper(left({_STATUS}, 1)) || substr({_STATUS}, 2) as status from refresh_log, today where table_name in ('mart_daily_kpis', 'mart_rfm', 'ml_forecast_daily')""",
-)
-add("log_table_refresh", "select table_name, last_refresh_at, row_count, 'full' as refresh_type from refresh_log")
+add("model_runs_latest", f"select {_RUNS}, '1' as model_version, '1' as code_version, run_timestamp, status from all_runs order by run_timestamp desc, run_id limit 20")
+add("record_model_runs", f"select run_id, {_RUNS}, rmse, mae, status, notes from all_runs")
+add("chart_model_performance", f"select target_metric, model_type, round(avg(avg_mape), 4) as avg_mape, min(best_mape) as best_mape from ({_PERFORMANCE}) group by 1, 2")
+# Tables the second run refreshed, those of the training too.
+_LOGGED = {**_BUILT, "backtest_days": "bt_days", "ml_backtest_results": "(select * from bt_days union all select * from bt_days_e)", "ml_forecast_daily": "forecast_kept", "ml_model_runs": "all_runs",
+           "ml_anomalies_daily": "(select anomaly_date, metric_name from anomalies union select anomaly_date, metric_name from anomalies_e)"}
+_LOG = " union all ".join(f"select '{n}' as table_name, count(*) as row_count from {p}" for n, p in _LOGGED.items())
+add("log_table_refresh", f"select table_name, 'second' as refresh_run_id, row_count, 'full' as refresh_type from ({_LOG})")
+add("v_dashboard_freshness", f"select table_name, row_count, 'outdated' as freshness_status from ({_LOG})")
+add("data_freshness", f"select table_name as data_source, row_count as records, 'Stale' as status from ({_LOG}) where table_name in ('mart_daily_kpis', 'mart_rfm', 'ml_forecast_daily')")
 add("last_data_date", "select max(full_date) as last_data_date, count(*) as total_records from kpis")
 
 # --- charts --------------------------------------------------------------------------------------
@@ -867,20 +997,19 @@ add(
     from forecast where metric_name = 'total_revenue'""",
 )
 add("chart_active_alerts", "select anomaly_date, metric_name, severity, anomaly_type, count(*) as alerts from anomalies, alert_day where anomaly_date >= today - 7 group by 1, 2, 3, 4")
-add("chart_model_performance", "select target_metric, model_type, round(avg(mape), 4) as avg_mape, min(mape) as best_mape from model_runs group by 1, 2")
 
 # --- data quality -----------------------------------------------------------------------------------
 
 _DUPES = "(select count(*) from (select 1 from stg group by invoice_no, stock_code, quantity having count(*) > 1))"
 _PCT2 = "::decimal(18,2)::varchar || '%'"
-# name, type, table, column, expected, actual, threshold, passed, declared, severity when failed, message
+# Name, type, table, column, expected, actual, threshold, passed, declared, severity when failed, message
 _CHECKS = [
-    ("raw_row_count", "row_count", "raw_transactions", None, ">0", "(select count(*) from raw)::varchar", None, "(select count(*) from raw) > 0", "critical", "critical", "'Raw table has ' || a || ' rows'"),
+    ("raw_row_count", "row_count", "raw_transactions", None, ">0", "(select count(*) from raw)::varchar", None, "(select count(*) from raw) > 0", "critical", "critical", "case when ok then 'Raw table has ' || a || ' rows' else 'CRITICAL: Raw table is empty!' end"),
     ("staging_retention_rate", "row_count", "stg_transactions_clean", None, ">=85%", _KEPT + _PCT2, 85, f"{_KEPT} >= 85", "warning", "warning", "'Staging retains ' || a || ' of raw records'"),
     ("customer_id_null_rate", "null_rate", "stg_transactions_clean", "customer_id", "15-35%", f"(select {_NULL_PCT} from stg){_PCT2}", None, f"(select {_NULL_PCT} from stg) between 15 and 35", "info", "warning", "'CustomerID null rate: ' || a || ' (anonymous purchases)'"),
     ("duplicate_invoice_lines", "duplicate", "stg_transactions_clean", None, "<1000", f"{_DUPES}::varchar", None, f"{_DUPES} < 1000", "warning", "warning", "'Found ' || a || ' potential duplicate line groups'"),
-    ("mart_daily_kpis_populated", "row_count", "mart_daily_kpis", None, ">0", "(select count(*) from kpis)::varchar", None, "(select count(*) from kpis) > 0", "critical", "critical", "'Daily KPIs mart has ' || a || ' days'"),
-    ("mart_rfm_populated", "row_count", "mart_rfm", None, ">0", "(select count(*) from rfm)::varchar", None, "(select count(*) from rfm) > 0", "critical", "critical", "'RFM mart has ' || a || ' customers'"),
+    ("mart_daily_kpis_populated", "row_count", "mart_daily_kpis", None, ">0", "(select count(*) from kpis)::varchar", None, "(select count(*) from kpis) > 0", "critical", "critical", "case when ok then 'Daily KPIs mart has ' || a || ' days' else 'CRITICAL: Daily KPIs mart is empty!' end"),
+    ("mart_rfm_populated", "row_count", "mart_rfm", None, ">0", "(select count(*) from rfm)::varchar", None, "(select count(*) from rfm) > 0", "critical", "critical", "case when ok then 'RFM mart has ' || a || ' customers' else 'CRITICAL: RFM mart is empty!' end"),
     ("date_range_check", "range", "mart_daily_kpis", "full_date", None, f"(select {_RANGE} from kpis)", None, f"(select {_RANGE} from kpis) is not null", "info", "info", "'Data spans: ' || a"),
     ("fact_date_integrity", "referential", "fact_sales", "", "0", "(select count(*) from fact where full_date not in (from calendar))::varchar", None, "(select count(*) from fact where full_date not in (from calendar)) = 0", "critical", "critical", "a || ' fact rows have missing date dimension references'"),
 ]
@@ -897,17 +1026,19 @@ for _name, _type, _table, _col, _exp, _actual, _thr, _ok, _decl, _fail, _msg in
     _CHECKS[_CHECKS.index(next(c for c in _CHECKS if c[0] == _name))] = (_name, _one)
     add("dq_" + _name.removesuffix("_check"), f"select check_name, actual_value, passed, severity from ({_one})")
 add("run_dq_checks", " union all ".join(c[1] for c in _CHECKS))
-_YEARS = "select year(full_date)::varchar as run_id, month(full_date) as m, count(*) as n from kpis group by 1, 2"
-add(
-    "v_dq_summary",
-    f"""select run_id, 'etl_full' as run_type, started_at, completed_at, 'success' as status, checks_passed, checks_failed, critical_failures
-    from (select year(full_date)::varchar as run_id, min(full_date)::timestamp as started_at, max(full_date)::timestamp as completed_at from kpis group by 1)
-    join (select run_id, count(*) filter (where n >= 30) as checks_passed, count(*) filter (where n < 30) as checks_failed,
-          count(*) filter (where n < 28) as critical_failures from ({_YEARS}) group by 1) using (run_id)""",
-)
+_FIRST_CHECKS = [(n, _FIRST.sub(r"\1\2_e", text)) for n, text in _CHECKS]
+_BOTH = " union all ".join([*(f"select 'second' as run_id, passed, severity from ({text})" for _, text in _CHECKS), *(f"select 'first', passed, severity from ({text})" for _, text in _FIRST_CHECKS)])
+_STATUSES = f"""select run_id, case when count(*) filter (where not passed and severity = 'critical') > 0 then 'failed'
+    when count(*) filter (where not passed and severity = 'warning') > 0 then 'warning' else 'success' end as status,
+    count(*) filter (where passed) as checks_passed, count(*) filter (where not passed) as checks_failed,
+    count(*) filter (where not passed and severity = 'critical') as critical_failures from ({_BOTH}) group by 1"""
+add("v_dq_summary", f"select run_id, 'etl_full' as run_type, status, checks_passed, checks_failed, critical_failures from ({_STATUSES})")
+add("run_status_exists", f"select run_id, status from ({_STATUSES})")
 add(
-    "run_status_exists",
-    f"select run_id, case when min(n) < 28 then 'failed' when min(n) < 30 then 'warning' else 'success' end as status from ({_YEARS}) group by 1",
+    "etl_run_log",
+    f"""select run_id, 'etl_full' as run_type, status, run_id as source_file, rows_read, rows_written, rows_read - rows_written as rows_rejected from ({_STATUSES})
+    join (select 'second' as run_id, (select count(*) from raw) as rows_read, (select count(*) from stg) as rows_written
+          union all select 'first', (select count(*) from raw_e), (select count(*) from stg_e)) using (run_id)""",
 )
 
 # --- time series -------------------------------------------------------------------------------------
@@ -926,29 +1057,30 @@ add("train_test_split_tail", "select metric_name, ds, value from split where is_
 add("forecast_errors", "select metric_name, round(mape, 4) as mape, round(smape, 4) as smape, round(rmse, 4) as rmse, round(mae, 4) as mae, test_samples from errors")
 for _e in ("mape", "smape", "rmse", "mae"):
     add(f"eval_{_e}", f"select metric_name, round({_e}, 4) as {_e} from errors")
-add("improvement_pct", "select metric_name, case when rmse > 0 then round((rmse - mae) / rmse * 100, 4) end as improvement_pct from errors")
+add("improvement_pct", "select metric_name, model_type, round(improvement, 4) as improvement_pct from bt_scores")
 add(
-    "select_best_model",
-    f"""select metric_name, model_type, mape from (
-        select country_name as metric_name, year(full_date)::varchar as model_type, (sum(quantity) % 97)::double as mape from fact where {VALID} group by 1, 2)
-    qualify row_number() over (partition by metric_name order by mape, model_type) = 1""",
+    "backtest_native",
+    """select metric_name, model_type, mape, smape, rmse, mae, baseline_mape, baseline_rmse, test_samples,
+    round(coalesce(case when raw_base > 0 then (raw_base - raw_mape) / raw_base * 100 end, 0), 2) as improvement_pct from bt_scores""",
 )
-add("daytype_rolling_stats", "select metric_name, ds, round(rolling_mean, 4) as rolling_mean, round(rolling_std, 4) as rolling_std from rolling")
-add("daytype_baseline", "select metric_name, ds, is_weekend, round(baseline, 4) as baseline from rolling")
+add("select_best_model", "select country_name, model_type, mape from bc_best")
+add("weekday_mean_forecast", "select metric_name, ds, step, predicted, lower_bound, upper_bound from fc28_models_weekday_mean")
+add("smoothing_forecast", "select metric_name, ds, step, predicted, lower_bound, upper_bound from fc28_models_smoothing")
+add("daytype_rolling_stats", "select metric_name, ds, round(rolling_mean, 4) as rolling_mean, round(rolling_std, 4) as rolling_std from five_roll")
+add("daytype_baseline", "select metric_name, ds, is_weekend, round(baseline, 4) as baseline from five_roll")
 add(
     "anomaly_zscore",
-    "select metric_name, ds, day_of_week::int as day_of_week, is_weekend, round(expected, 4) as expected, round(std, 4) as std, round(z_score, 4) as z_score, deviation_pct from z",
-)
-add(
-    "detect_anomalies",
-    """select anomaly_date, metric_name, actual_value, expected_value, deviation_pct, anomaly_type, severity, is_weekend, day_of_week::int as day_of_week,
-    business_interpretation, recommended_action from anomalies""",
+    "select metric_name, ds, day_of_week::int as day_of_week, is_weekend, round(expected, 4) as expected, round(std, 4) as std, round(z_score, 4) as z_score, deviation_pct from two_z",
 )
+_SHOWN = "anomaly_date, metric_name, actual_value, expected_value, deviation_pct, anomaly_type, severity, is_weekend, day_of_week::int as day_of_week, business_interpretation, recommended_action"
+add("detect_anomalies", f"select {_SHOWN} from anomalies")
+add("detect_anomalies_zscore", f"select {_SHOWN} from ({detected('two', '1.45', robust=False)})")
+add("detect_anomalies_lookback", f"select {_SHOWN} from ({detected('recent')})")
 add("lookback_filter", "select metric_name, ds, value from series, today where ds >= today - 30")
 add(
     "ml_backtest_results",
-    """select metric_name, 'naive' as model_type, ds as prediction_date, round(actual, 2) as actual_value, predicted as predicted_value,
+    """select metric_name, model_type, origin::int as origin, ds as prediction_date, round(actual, 2) as actual_value, predicted as predicted_value,
     round(abs(actual - predicted), 2) as absolute_error, round(case when actual <> 0 then abs(actual - predicted) / abs(actual) * 100 end, 4) as percentage_error
-    from pairs where metric_name in ('total_revenue', 'total_orders')""",
+    from bt_days""",
 )
 add("ml_forecast_daily", "select forecast_date, metric_name, predicted_value::double as predicted_value, model_name from forecast")

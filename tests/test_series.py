@@ -80,13 +80,13 @@ def test_backtest_beats_naive_and_picks_a_model(frame):
     data = frame(days(weekly(200, 8), "a") + days(weekly(120, 8, 2), "b"))
     scores = forecast.backtest(data, ["ets", "trend_seasonal"])
     got = scores.collect()
-    assert len(got) == 4 and all(r.test_samples == 14 for r in got)
+    assert len(got) == 4 and all(r.test_samples == 42 for r in got)
     best = {r.metric_name: (r.model_type, r.mape) for r in series.select_best_model(scores).collect()}
     for name in ("a", "b"):
         mine = [r for r in got if r.metric_name == name]
         assert best[name][1] == min(r.mape for r in mine)
         assert best[name][1] < mine[0].baseline_mape
-    year = forecast.forecast_all(data, series.select_best_model(scores), 365)
+    year = forecast.forecast_all(data, series.select_best_model(scores), 365, models=["ets", "trend_seasonal"])
     assert year.count() == 730 and year.where("step <= 14").count() == 28
 
 
@@ -125,7 +125,7 @@ def test_planted_anomalies_are_found(frame):
     values = weekly(80, 3)
     values[40] *= 3
     values[60] *= 0.2
-    found = {r.ds: r for r in anomalies.detect_anomalies(frame(days(values, "total_revenue"))).collect()}
+    found = {r.ds: r for r in anomalies.detect_anomalies(frame(days(values, "total_revenue")), forest=True, robust=False).collect()}
     spike, drop = found[START + dt.timedelta(days=40)], found[START + dt.timedelta(days=60)]
     assert spike.anomaly_type == "spike" and drop.anomaly_type == "drop" and spike.severity == "critical"
     assert "total revenue" in spike.business_interpretation or "weekend" in spike.business_interpretation
@@ -155,3 +155,104 @@ def test_acknowledge_touches_one_row(frame):
 
 def test_lookback_is_inclusive(frame):
     assert series.lookback_filter(frame(days(range(60))), 30).count() == 31
+
+
+def brute_levels(values, model):
+    """Level and deviation per weekday of a series that starts on a Monday."""
+    out = {}
+    for wd in range(7):
+        own = [v for i, v in enumerate(values) if i % 7 == wd]
+        if model == "weekday_mean":
+            own = own[-8:]
+            out[wd] = np.mean(own), np.std(own)
+        else:
+            level, squares = own[0], 0.0
+            for v in own[1:]:
+                squares += (v - level) ** 2
+                level = 0.3 * v + 0.7 * level
+            out[wd] = level, math.sqrt(squares / max(len(own) - 1, 1))
+    return out
+
+
+@pytest.mark.parametrize("model", ["weekday_mean", "smoothing"])
+def test_native_models_against_a_loop(frame, model):
+    a, b = weekly(100, 9), weekly(60, 30, 3)
+    rows_ = forecast.NATIVE[model](frame(days(a, "a") + days(b, "b")), 20).collect()
+    assert len(rows_) == 40
+    for name, values in (("a", a), ("b", b)):
+        levels = brute_levels(values, model)
+        for r in [r for r in rows_ if r.metric_name == name]:
+            assert r.ds == START + dt.timedelta(days=len(values) + r.step - 1)
+            level, sd = levels[r.ds.weekday()]
+            assert r.predicted == pytest.approx(max(level, 0), abs=0.006)
+            assert r.lower_bound == pytest.approx(max(level - 1.96 * sd, 0), abs=0.006) and r.upper_bound == pytest.approx(level + 1.96 * sd, abs=0.006)
+
+
+@pytest.mark.parametrize("model", ["weekday_mean", "smoothing"])
+def test_native_models_on_short_series(frame, model):
+    got = forecast.NATIVE[model](frame(days([10, 20, 30], "m")), 7).collect()
+    at = {r.ds.weekday(): r.predicted for r in got}
+    assert [at[i] for i in range(7)] == [10, 20, 30, 20, 20, 20, 20]
+    assert forecast.NATIVE[model](frame(days([], "m")), 7).count() == 0
+
+
+def test_native_models_use_no_python(frame):
+    data = series.fill_daily_gaps(frame(days(weekly(100, 9), "a")))
+    plan = forecast.forecast(data, list(forecast.NATIVE), 14)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_rolling_origins(frame):
+    values = weekly(90, 8)
+    got = forecast.backtest_days(frame(days(values, "a") + days(weekly(50), "b")), ["naive", "smoothing"]).collect()
+    of = lambda name: sorted({(r.origin, r.ds) for r in got if r.metric_name == name})
+    assert of("a") == [(o, START + dt.timedelta(days=90 - 14 * (o + 1) + i)) for o in range(3) for i in range(14)]
+    assert [o for o, _ in of("b")] == [0] * 14
+    for r in got:
+        if r.metric_name == "a" and r.model_type == "naive":
+            before = values[: 90 - 14 * (r.origin + 1)]
+            step = (r.ds - START).days - len(before)
+            assert r.predicted == pytest.approx(before[-7 + step % 7], abs=0.006) and r.predicted == r.baseline
+    scores = {(r.metric_name, r.model_type): r for r in forecast.backtest(frame(days(values, "a")), ["naive", "smoothing"]).collect()}
+    assert scores[("a", "naive")].improvement_pct == 0 and scores[("a", "smoothing")].test_samples == 42
+
+
+def test_median_rule_against_numpy(frame):
+    values = weekly(80, 3)
+    values[40] *= 3
+    values[60] *= 0.2
+    scored = anomalies.anomaly_median(anomalies.anomaly_zscore(frame(days(values, "total_revenue")))).collect()
+    for r in scored:
+        own = [v for i, v in enumerate(values) if ((START + dt.timedelta(days=i)).weekday() >= 5) == r.is_weekend]
+        centre = np.median(own)
+        spread = np.median(np.abs(np.array(own) - centre)) * 1.4826
+        assert r.median == pytest.approx(centre) and r.robust_z == pytest.approx((r.value - centre) / spread)
+    found = {r.ds: r for r in anomalies.detect_anomalies(frame(days(values, "total_revenue"))).collect()}
+    spike, drop = found[START + dt.timedelta(days=40)], found[START + dt.timedelta(days=60)]
+    assert spike.anomaly_type == "spike" and drop.anomaly_type == "drop" and spike.severity == "critical"
+    assert len(found) <= 4
+
+
+def test_median_rule_on_constant_days_and_lookback(frame):
+    values = [100.0] * 60
+    values[50] = 200.0
+    found = anomalies.detect_anomalies(frame(days(values, "m"))).collect()
+    assert [(r.ds, r.expected) for r in found] == [(START + dt.timedelta(days=50), 100.0)]
+    assert [r.ds for r in anomalies.detect_anomalies(frame(days(values, "m")), lookback_days=20).collect()] == [START + dt.timedelta(days=50)]
+    assert anomalies.detect_anomalies(frame(days(values, "m")), lookback_days=5).count() == 0
+
+
+def test_extreme_days_keep_their_figures(frame):
+    values = [1e-6] * 40
+    values[20] = 1e15
+    row = anomalies.anomaly_rows(anomalies.detect_anomalies(frame(days(values, "m")))).collect()
+    assert [r.anomaly_date for r in row] == [START + dt.timedelta(days=20)]
+    assert row[0].deviation_pct > 1e20 and abs(row[0].z_score) > 1e9
+
+
+def test_fits_do_not_change_with_length():
+    # One observation more or less does not change the model.
+    for n in (99, 100, 729, 730):
+        y = np.array(weekly(n))
+        mean, _ = forecast.fit_trend_seasonal(y, 14)
+        assert np.allclose(mean, weekly(n + 14)[n:], rtol=0.1)

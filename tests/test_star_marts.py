@@ -65,10 +65,10 @@ def test_calendar(spark):
 
 
 def test_dimensions(stg, invoices):
-    countries = {r.country_name: r for r in star.dim_country(invoices).collect()}
+    countries = {r.country_name: r for r in star.dim_country(star.country_totals(invoices)).collect()}
     assert countries["United Kingdom"].total_orders == 2 and countries["United Kingdom"].total_revenue == Decimal("22.08")
     assert countries["Unknown"].total_revenue == 0 and countries["Unknown"].total_customers == 1
-    products = {r.stock_code: r for r in star.dim_product(stg).collect()}
+    products = {r.stock_code: r for r in star.dim_product(star.product_days(stg)).collect()}
     p = products["85123A"]
     assert p.description == "HEART, WHITE" and p.total_quantity_sold == 15 and p.avg_unit_price == Decimal("2.59")
     customers = {r.customer_id: r for r in star.dim_customer(invoices).collect()}
@@ -78,7 +78,7 @@ def test_dimensions(stg, invoices):
 
 
 def test_fact_by_keys_equals_fact_by_lookup(spark, stg, fact, invoices):
-    dims = star.dim_customer(invoices), star.dim_product(stg), star.dim_country(invoices), star.dim_date_for(stg)
+    dims = star.dim_customer(invoices), star.dim_product(star.product_days(stg)), star.dim_country(star.country_totals(invoices)), star.dim_date_for(stg)
     looked_up = star.fact_sales_lookup(stg, *dims)
     assert sorted(map(str, rows(looked_up.select(*fact.columns)))) == sorted(map(str, rows(fact)))
     short = star.fact_sales_lookup(stg, *dims[:3], star.dim_date(spark, "2010-12-01", "2010-12-01"))
@@ -86,7 +86,7 @@ def test_fact_by_keys_equals_fact_by_lookup(spark, stg, fact, invoices):
 
 
 def test_lookup_of_mostly_null_customers(spark, stg, fact, invoices):
-    dims = star.dim_customer(invoices), star.dim_product(stg), star.dim_country(invoices), star.dim_date_for(stg)
+    dims = star.dim_customer(invoices), star.dim_product(star.product_days(stg)), star.dim_country(star.country_totals(invoices)), star.dim_date_for(stg)
     nulls = stg.withColumn("customer_id", F.when(F.col("invoice_no") == "536365", F.col("customer_id")))
     got = star.fact_sales_lookup(nulls, *dims)
     assert got.count() == fact.count()
@@ -190,14 +190,14 @@ def test_marts_on_skewed_lines_against_brute_force(spark):
     amount = lambda rs: sum(r[3] * r[5] for r in rs if r[3] > 0 and not r[0].startswith("C"))
     live = lambda rs: len({r[0] for r in rs if not r[0].startswith("C")})
     buyers = lambda rs: len({r[6] for r in rs if r[6]})
-    got = {r.country_name: (r.total_revenue, r.total_orders, r.total_customers) for r in marts.mart_country_performance(inv).collect()}
+    got = {r.country_name: (r.total_revenue, r.total_orders, r.total_customers) for r in marts.mart_country_performance(star.country_totals(inv)).collect()}
     assert got == {k: (amount(v), live(v), buyers(v)) for k, v in by_country.items()}
     kpis = marts.mart_daily_kpis(inv, marts.first_purchases(star.dim_customer(inv)))
     got = {r.full_date: (r.total_revenue, r.total_orders, r.unique_customers, r.return_orders) for r in kpis.collect()}
     assert got == {k: (amount(v), live(v), buyers(v), len({r[0] for r in v if r[3] < 0})) for k, v in by_day.items()}
-    products = marts.mart_product_performance(fact, star.dim_product(stg))
+    products = marts.mart_product_performance(marts.product_sales(star.product_days(stg), fact), star.dim_product(star.product_days(stg)))
     assert products.agg(F.sum("total_revenue")).first()[0] == amount(data)
-    shares = marts.mart_country_performance(inv).agg(F.sum("revenue_share_pct")).first()[0]
+    shares = marts.mart_country_performance(star.country_totals(inv)).agg(F.sum("revenue_share_pct")).first()[0]
     assert abs(float(shares) - 100) < 0.1
 
 
@@ -231,10 +231,73 @@ def test_checks_on_an_empty_warehouse(spark, raw, stg, fact, invoices):
     assert out["duplicate_invoice_lines"] and out["fact_date_integrity"]
 
 
-def test_profile_exact_and_approximate(stg):
-    exact = {r.column_name: r for r in quality.profile_columns(stg, "stg", ["country", "quantity", "customer_id"]).collect()}
+def test_country_counts_need_no_expand(spark, invoices):
+    totals = star.country_totals(invoices)
+    for df in (star.dim_country(totals), marts.mart_country_performance(totals)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Expand" not in plan and "Exchange" in plan
+    # An invoice of two countries counts in both, and once in all.
+    both = spark.createDataFrame(
+        [("1", "A", 1, False, "2.00"), ("1", "B", 1, False, "3.00"), ("2", "B", None, False, "4.00"), ("C3", "B", 2, True, "0.00"), ("1", "A", 3, False, "1.00")],
+        "invoice_no string, country_name string, customer_id bigint, is_cancelled boolean, revenue string",
+    ).withColumn("revenue", F.col("revenue").cast("decimal(20,2)"))
+    got = {r.country_name: (r.total_orders, r.live_orders, r.counted_orders, r.total_customers, str(r.total_revenue)) for r in star.country_totals(both).collect()}
+    assert got == {"A": (1, 1, 1, 2, "3.00"), "B": (3, 2, 1, 2, "7.00")}
+    share = {r.country_name: str(r.orders_share_pct) for r in marts.mart_country_performance(star.country_totals(both)).collect()}
+    assert share == {"A": "50.00", "B": "100.00"}
+
+
+def test_product_days(stg):
+    got = {(r.full_date.day, r.stock_code): r for r in star.product_days(stg).collect()}
+    assert len(got) == 5
+    first, returned, last = got[(1, "85123A")], got[(2, "71053")], got[(3, "85123A")]
+    assert (first.quantity, str(first.revenue), first.valid_lines, first.priced_lines, str(first.prices)) == (7, "17.85", 2, 2, "5.10")
+    assert (returned.quantity, returned.valid_lines, str(returned.revenue)) == (0, 0, "0.00")
+    assert last.description == "HEART, WHITE" and last.first_at == last.last_at
+
+
+def test_failed_checks_have_texts_of_their_own(spark):
+    seen = {"raw_rows": 0, "staging_rows": 0, "no_customer": 0, "no_day": 0, "first_day": None, "last_day": None}
+    bad = {r.check_name: r for r in quality.run_dq_checks(quality.batch_checks(spark, seen, 0), "b").collect()}
+    assert bad["raw_row_count"].message == "CRITICAL: Raw table is empty!" and bad["mart_daily_kpis_populated"].message == "CRITICAL: Daily KPIs mart is empty!"
+    assert bad["date_range_check"].message == "Data spans: N/A" and bad["staging_retention_rate"].severity == "warning"
+    seen = {"raw_rows": 10, "staging_rows": 9, "no_customer": 2, "no_day": 0, "first_day": dt.date(2011, 1, 1), "last_day": dt.date(2011, 1, 2)}
+    good = {r.check_name: r for r in quality.run_dq_checks(quality.batch_checks(spark, seen, 5), "b").collect()}
+    assert all(r.passed for r in good.values()) and len(good) == 6
+    assert good["raw_row_count"].message == "Raw table has 10 rows" and good["staging_retention_rate"].actual_value == "90.00%"
+    assert good["customer_id_null_rate"].actual_value == "22.22%" and good["date_range_check"].actual_value == "2011-01-01 to 2011-01-02"
+
+
+def test_profile_exact_and_near(spark, stg):
+    columns = ["country", "quantity", "customer_id"]
+    exact = {r.column_name: r for r in quality.profile_columns(stg, "stg", columns, exact=True).collect()}
     assert (exact["country"].distinct_count, exact["country"].min_value) == (3, "France")
     assert exact["customer_id"].null_count == 1 and str(exact["customer_id"].null_pct) == "14.29"
     assert exact["quantity"].mean_value == pytest.approx(2.0)
-    approx = {r.column_name: r.distinct_count for r in quality.profile_columns(stg, "stg", ["country"], approximate=True).collect()}
-    assert approx == {"country": 3}
+    near = {r.column_name: r for r in quality.profile_columns(stg, "stg", columns).collect()}
+    for c in columns:
+        assert [near[c][f] for f in ("total_rows", "null_count", "distinct_count", "min_value", "max_value")] == [exact[c][f] for f in ("total_rows", "null_count", "distinct_count", "min_value", "max_value")]
+    assert near["quantity"].min_value == "-2" and near["country"].p50 is None
+    plan = quality.profile_columns(stg, "stg", columns)._jdf.queryExecution().toString()
+    assert "Expand" not in plan and plan.split("== Physical Plan ==")[1].count("InMemoryTableScan") == 1
+
+
+def test_profile_estimates_stay_within_their_bounds(spark):
+    n = 60_000
+    df = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(20_000)).alias("v"), (F.col("id") * F.col("id") / 7.0).alias("x"), F.lit(None).cast("string").alias("none"), F.lit("2011-01").alias("year_month"))
+    got = {r.column_name: r for r in quality.profile_columns(df, "t", ["v", "x", "none"]).collect()}
+    true = df.select("v").distinct().count()
+    assert abs(got["v"].distinct_count - true) < 0.05 * true and abs(got["x"].distinct_count - n) < 0.05 * n
+    for p in (25, 50, 75):
+        rank = df.where(F.col("x") <= got["x"][f"p{p}"]).count() / n
+        assert abs(rank - p / 100) < 0.03
+    assert (got["none"].null_count, got["none"].distinct_count, got["none"].min_value, got["none"].p50) == (n, 0, None, None)
+
+
+def test_sketches_of_months_add_up(spark):
+    df = spark.range(3000).select(F.concat(F.lit("2011-0"), (F.col("id") % 3 + 1).cast("string")).alias("year_month"), (F.col("id") % 700).alias("v"))
+    sketches = quality.column_sketches(df, ["v"])
+    assert sketches.count() == 3
+    one, many = quality.profile_columns(df, "t", ["v"]).first(), quality.profile_from_sketches(sketches, "t").first()
+    assert [one[f] for f in ("total_rows", "min_value", "max_value", "mean_value")] == [many[f] for f in ("total_rows", "min_value", "max_value", "mean_value")]
+    assert abs(many.distinct_count - 700) < 40
