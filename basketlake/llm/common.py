@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +35,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/basketlake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that :func:`written` made and that nobody has dropped.
+_FOLDERS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors, has a known size."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables of :func:`written` from which everything that is still needed has been written elsewhere."""
+    for df in frames:
+        path = _FOLDERS.pop(df, None)
+        if path:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -1,10 +1,15 @@
-"""Near copies by the Jaccard similarity of five-word shingles: all pairs at 0.8 or more, by prefix filtering.
+"""Near copies by SimHash, completed to all pairs at a Jaccard similarity of 0.8 or more of five-word shingles.
 
-The shingles of a text are put in one order for all texts, rare ones first. Texts at similarity 0.8 or more share
-one of the first ``n - ceil(0.8 n) + 1`` shingles, so only texts that meet at such a shingle are candidates; those
-are verified on their whole sets. The rarity is the class of a count in a sketch of fixed size: any fixed order gives
-the same pairs, a good one gives fewer candidates. Links that cannot change a component are not looked for: texts at
-a shingle are first compared with one of them, and then only across components.
+Candidates come from two sides. Fingerprints of the shingles that meet at an anchor (:mod:`simhash`) give the close
+ones. Prefix filtering gives the rest: the shingles of a text are put in one order for all texts, rare ones first, and
+texts at similarity 0.8 or more share one of the first ``n - ceil(0.8 n) + 1``. Every candidate is verified on
+whole sets. Links that cannot change a component are not looked for: texts at a shingle are first compared with one of
+them, and then only across components.
+
+Sets differ by at least as many shingles as the parities of their shingles' bits do, which settles most pairs
+without their sets; a set travels only for the others. Rarity is the class of a count in a sketch of fixed size: any fixed
+order gives the same pairs, a good one gives fewer candidates. Shingles that the sketch shows to be hot are dealt to
+cells by a salt, so that no task holds all their texts.
 """
 
 from __future__ import annotations
@@ -17,67 +22,113 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import written
-from basketlake.llm.packing import compress, expand
-from basketlake.llm.simhash import components, keep_first, shingles
+from basketlake.llm.common import discard, written
+from basketlake.llm.packing import compress, deal, expand, pack, unpack
+from basketlake.llm.simhash import components, fingerprint_of, keep_first, shingles
+from basketlake.llm.simhash import links as fingerprint_links
 
 SHINGLE = 5
+#: Bits of a stored shingle; two texts of a thousand shingles have an equal pair of unequal ones once in half a million.
+HASH_BITS = 40
 #: Counters of the sketch as a power of two, and its blocks.
 SKETCH_BITS, BLOCKS = 20, 16
-#: Rows that one task compares at a time, and cells of a comparison held at once.
-TASK_ROWS, CELLS = 500_000, 2_000_000
-_PREFIX = "task int, shingle bigint, node bigint, n int, pos int"
+PARITIES = 512
+#: Prefix rows that one task takes, rows of a shingle above which it is dealt to cells, and pairs compared at once.
+TASK_ROWS, HOT_ROWS, CELLS = 500_000, 20_000, 2_000_000
+#: Sets asked for are found by a broadcast up to this many ids of eight bytes, by a shuffle beyond.
+BROADCAST_IDS = 1_000_000
+_MEET = "task int, shingle bigint, salts int, node bigint, n int, pos int"
+
+
+def _buckets(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(HASH_BITS - SKETCH_BITS)).astype(np.int64)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per row the fingerprint, number, parities and sorted hashes of its shingles, and a hash of the whole set."""
     for b in batches:
-        sets = [np.unique(shingles(t.as_py(), SHINGLE)) for t in b.column(2)]
-        raw = [s.astype("<u8").tobytes() for s in sets]
-        node = np.array([xxhash.xxh64_intdigest(r) for r in raw], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array([len(s) for s in sets], pa.int32()), pa.array(raw, pa.binary())], ["doc_id", "_th", "node", "n", "shingles"])
+        node, fp, n, parity, raw = [], [], [], [], []
+        for t in b.column(2):
+            h = shingles(t.as_py(), SHINGLE)
+            fp.append(fingerprint_of(h))
+            s = np.unique(h)
+            node.append(xxhash.xxh64_intdigest(s.astype("<u8").tobytes()))
+            s = np.unique(s >> np.uint64(64 - HASH_BITS))
+            n.append(len(s))
+            parity.append(np.packbits(np.bincount((s % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1).tobytes())
+            raw.append(pack(np.diff(s, prepend=np.uint64(0)), 1))
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(np.array(node, np.uint64).view(np.int64)), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(n, pa.int32()), pa.array(parity, pa.binary()), pa.array(raw, pa.binary())],
+            ["doc_id", "_th", "node", "fp", "n", "parity", "shingles"],
+        )
+
+
+def _hashes(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw), dtype=np.uint64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << SKETCH_BITS, np.int64)
     for b in batches:
         for s in b.column(0).to_pylist():
-            np.add.at(total, (np.frombuffer(s, "<u8") >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            np.add.at(total, _buckets(_hashes(s)), 1)
     parts = np.split(total, BLOCKS)
     yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([compress(p.tobytes()) for p in parts], pa.binary())], ["block", "counts"])
 
 
 def _classes(t: pa.Table) -> pa.Table:
+    """A byte per counter: the class of its count. The sum of all counters is in another column, for their mean."""
     total = sum(np.frombuffer(expand(x), np.int64) for x in t.column("counts").to_pylist())
-    return pa.table({"block": t.column("block")[:1], "classes": pa.array([np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes()], pa.binary())})
+    return pa.table({"block": t.column("block")[:1], "classes": pa.array([np.ceil(np.log2(total + 1)).astype(np.uint8).tobytes()], pa.binary()), "total": pa.array([int(total.sum())], pa.int64())})
 
 
-def _prefixes(classes: bytes, tasks: int):
+def _salts(classes: np.ndarray, total: int) -> np.ndarray:
+    """By class: so many cells a side for a shingle of that class, a power of two. What an average counter holds does not count."""
+    mean = total >> SKETCH_BITS
+    return np.array([1 << max(0, int(np.ceil(np.log2(max(1, ((1 << c) - 2 * mean) / HOT_ROWS))))) for c in range(int(classes.max(initial=0)) + 1)], np.int64)
+
+
+def _prefixes(classes: bytes, salts: np.ndarray, tasks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(classes, np.uint8)
         for b in batches:
-            out: list[np.ndarray] = []
+            out, node = [], b.column(0).to_numpy().view(np.uint64)
             for s in b.column(1).to_pylist():
-                h = np.frombuffer(s, "<u8")
-                order = np.argsort(rank[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
-                out.append(h[order[: len(h) - -(-4 * len(h) // 5) + 1]])
+                h = _hashes(s)
+                out.append(h[np.argsort(rank[_buckets(h)], kind="stable")[: len(h) - -(-4 * len(h) // 5) + 1]])
             size = np.array([len(x) for x in out], np.int64)
             h = np.concatenate([np.zeros(0, np.uint64), *out])
+            of = np.repeat(np.arange(len(size)), size)
             pos = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
-            n = np.array([len(s) // 8 for s in b.column(1).to_pylist()], np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array((h % np.uint64(tasks)).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), size)), pa.array(np.repeat(n, size)), pa.array(pos.astype(np.int32))], ["task", "shingle", "node", "n", "pos"])
+            n, k = b.column(2).to_numpy()[of], salts[rank[_buckets(h)]]
+            salt = ((node[of] % np.uint64(1 << 30)).astype(np.int64) % k).astype(np.int64)
+            task = ((h * np.uint64(0x9E3779B97F4A7C15) + salt.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(20)) % np.uint64(tasks)
+            keys, rows = [], []
+            for t, at in deal(task.astype(np.int64), tasks):
+                at = at[np.argsort(h[at], kind="stable")]
+                keys.append(t)
+                rows.append([pack(np.diff(h[at], prepend=np.uint64(0)), 1), node[of[at]].tobytes(), pack(n[at], 1), pack(pos[at], 1), pack(k[at], 1)])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *(pa.array([r[c] for r in rows], pa.binary()) for c in range(5))], ["task", "h", "node", "n", "pos", "salts"])
 
     return run
 
 
 def _shared(t: pa.Table) -> pa.Table:
-    """The rows of shingles at which different sets meet, each once."""
-    shingle, node = t.column("shingle").to_numpy(), t.column("node").to_numpy()
+    """The rows of shingles at which different sets meet here, each once, and all of shingles that are dealt to cells."""
+    get = lambda c: np.concatenate([np.zeros(0, np.uint64), *(unpack(x) for x in t.column(c).to_pylist())])
+    shingle = np.concatenate([np.zeros(0, np.uint64), *(_hashes(x) for x in t.column("h").to_pylist())])
+    node = np.frombuffer(b"".join(t.column("node").to_pylist()), np.uint64)
     order = np.lexsort((node, shingle))
     s, d = shingle[order], node[order]
-    once = np.concatenate([[True], (s[1:] != s[:-1]) | (d[1:] != d[:-1])])
+    once = np.ones(len(s), bool)
+    once[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
     order, s = order[once], s[once]
     same = s[1:] == s[:-1]
-    return t.take(order[np.concatenate([[False], same]) | np.concatenate([same, [False]])])
+    salts = get("salts")[order].astype(np.int32)
+    keep = (np.append(False, same) | np.append(same, False))[: len(s)] | (salts > 1)
+    order = order[keep]
+    task = pa.array(np.full(len(order), t.column("task")[0].as_py() if t.num_rows else 0, np.int32))
+    return pa.table({"task": task, "shingle": shingle[order].view(np.int64), "salts": salts[keep], "node": node[order].view(np.int64), "n": get("n")[order].astype(np.int32), "pos": get("pos")[order].astype(np.int32)})
 
 
 def _may(n: np.ndarray, pos: np.ndarray, n2: np.ndarray, pos2: np.ndarray) -> np.ndarray:
@@ -85,56 +136,90 @@ def _may(n: np.ndarray, pos: np.ndarray, n2: np.ndarray, pos2: np.ndarray) -> np
     return 9 * np.minimum(n - pos, n2 - pos2) >= 4 * (n + n2)
 
 
-def _pairs(across: bool):
-    def run(t: pa.Table) -> pa.Table:
-        shingle, node, n, pos, root = (t.column(c).to_numpy().astype(np.int64) for c in ("shingle", "node", "n", "pos", "root"))
-        order = np.lexsort((node, n, shingle))
-        shingle, node, n, pos, root = (x[order] for x in (shingle, node, n, pos, root))
-        edge = np.nonzero(np.concatenate([[True], shingle[1:] != shingle[:-1], [True]]))[0]
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            if not across:
-                # Sizes rise: whoever is too large for the last pivot is the next one.
-                p = s
-                while p < e:
-                    end = s + int(np.searchsorted(n[s:e], 5 * n[p] // 4, side="right"))
-                    i = np.arange(p + 1, end)
-                    i = i[_may(n[p], pos[p], n[i], pos[i])]
-                    a.append(np.full(len(i), node[p]))
-                    b.append(node[i])
-                    p = max(end, p + 1)
-            elif (root[s:e] != root[s]).any():
-                step = max(1, CELLS // (e - s))
-                for i in range(s, e, step):
-                    j = min(i + step, e)
-                    met = (root[i:j, None] != root[None, s:e]) & (node[i:j, None] < node[None, s:e]) & _may(n[i:j, None], pos[i:j, None], n[None, s:e], pos[None, s:e])
-                    r, c = np.nonzero(met)
-                    a.append(node[i + r])
-                    b.append(node[s + c])
-        a, b = np.concatenate(a), np.concatenate(b)
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.table({"a": pa.array(pair[0]), "b": pa.array(pair[1])})
+def _grouped(t: pa.Table, columns: list[str]) -> tuple[list[np.ndarray], list[tuple[int, int]]]:
+    shingle, node, n = (t.column(c).to_numpy().astype(np.int64) for c in ("shingle", "node", "n"))
+    order = np.lexsort((node, n, shingle))
+    edge = np.nonzero(np.concatenate([[True], shingle[order][1:] != shingle[order][:-1], [True]]))[0].tolist() if len(order) else [0]
+    return [t.column(c).to_numpy().astype(np.int64)[order] for c in columns], list(zip(edge[:-1], edge[1:], strict=True))
+
+
+def _pair_table(a: list[np.ndarray], b: list[np.ndarray]) -> pa.Table:
+    x, y = np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
+    pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    return pa.table({"a": pa.array(pair[0]), "b": pa.array(pair[1])})
 
-    return run
+
+def _pivots(t: pa.Table) -> pa.Table:
+    """Pairs of a pivot and what it may be like, at each shingle. Sizes rise: whoever is too large for the last pivot is the next one."""
+    (node, n, pos), groups = _grouped(t, ["node", "n", "pos"])
+    a, b = [], []
+    for s, e in groups:
+        p = s
+        while p < e:
+            end = s + int(np.searchsorted(n[s:e], 5 * n[p] // 4, side="right"))
+            i = np.arange(p + 1, end)
+            i = i[_may(n[p], pos[p], n[i], pos[i])]
+            a.append(np.full(len(i), node[p]))
+            b.append(node[i])
+            p = max(end, p + 1)
+    return _pair_table(a, b)
+
+
+def _across(t: pa.Table) -> pa.Table:
+    """Pairs of different components at each shingle; in a cell of two salts only those of one and the other."""
+    (node, n, pos, root, salt, low, high), groups = _grouped(t, ["node", "n", "pos", "root", "salt", "low", "high"])
+    a, b = [], []
+    for s, e in groups:
+        if (root[s:e] == root[s]).all():
+            continue
+        i = s
+        while i < e - 1:
+            # Sizes rise: rows i..j are compared with what follows up to a quarter above the last of them.
+            j = min(e - 1, i + max(1, CELLS // (e - i)))
+            end = s + int(np.searchsorted(n[s:e], 5 * n[j - 1] // 4, side="right"))
+            r, c = slice(i, j), slice(i, end)
+            met = (root[r, None] != root[None, c]) & _may(n[r, None], pos[r, None], n[None, c], pos[None, c]) & (np.arange(i, j)[:, None] < np.arange(i, end)[None, :])
+            if low[s] != high[s]:
+                met &= salt[r, None] != salt[None, c]
+            x, y = np.nonzero(met)
+            a.append(node[i + x])
+            b.append(node[i + y])
+            i = j
+        if sum(map(len, a)) > 4 * CELLS:  # the same pairs meet at many shingles
+            done = _pair_table(a, b)
+            a, b = [done.column("a").to_numpy()], [done.column("b").to_numpy()]
+    return _pair_table(a, b)
+
+
+def _near_parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, PARITIES // 64) for c in ("pa", "pb"))
+        n = b.column("na").to_numpy().astype(np.int64) + b.column("nb").to_numpy()
+        yield b.select(["a", "b"]).filter(pa.array(9 * np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= n))
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keep = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+        for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True):
+            x, y = _hashes(x), _hashes(y)
             keep.append(9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y)))
         yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs of sets at similarity 0.8 or more."""
-    pairs = written(pairs.distinct(), "near-pairs")
-    asked = pairs.select(F.col("a").alias("_k")).unionByName(pairs.select(F.col("b").alias("_k"))).distinct()
-    sets = written(rows.select("node", "shingles").join(asked, F.expr("node = _k"), "left_semi").dropDuplicates(["node"]), "near-sets")
-    x, y = (sets.select(F.col("node").alias(f"_{c}"), F.col("shingles").alias(f"_s{c}")) for c in "ab")
-    both = pairs.join(x, F.expr("a = _a")).join(y, F.expr("b = _b")).select("a", "b", "_sa", "_sb")
-    return written(both.mapInArrow(_alike, "a bigint, b bigint"), "near-links")
+    of = lambda c: nodes.select(F.col("node").alias(f"_{c}"), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
+    both = pairs.distinct().join(of("a"), F.expr("a = _a")).join(of("b"), F.expr("b = _b")).select("a", "b", "na", "nb", "pa", "pb")
+    left = written(both.mapInArrow(_near_parity, "a bigint, b bigint"), "near-pairs")
+    asked = written(left.select(F.col("a").alias("_k")).unionByName(left.select(F.col("b").alias("_k"))).distinct(), "near-asked")
+    ids = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
+    sets = written(rows.select("node", "shingles").join(ids, F.expr("node = _k"), "left_semi").dropDuplicates(["node"]), "near-sets")
+    x, y = (sets.select(F.col("node").alias(f"_{c}"), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    both = left.join(x, F.expr("a = _a")).join(y, F.expr("b = _b")).select("a", "b", "sa", "sb")
+    links = written(both.mapInArrow(_alike, "a bigint, b bigint"), "near-links")
+    discard(left, asked, sets)
+    return links
 
 
 def clusters(docs: DataFrame) -> DataFrame:
@@ -143,22 +228,44 @@ def clusters(docs: DataFrame) -> DataFrame:
     Texts of fewer than five words have one shingle, those without words none; these are all one group.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.xxhash64("text").alias("_th"), "text").mapInArrow(_sets, f"doc_id {kind}, _th bigint, node bigint, n int, shingles binary")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_th"), "text").mapInArrow(_sets, f"doc_id {kind}, _th bigint, node bigint, fp bigint, n int, parity binary, shingles binary")
     rows = written(rows, "near-rows")
-    sketch = rows.select("shingles").mapInArrow(_count, "block int, counts binary").groupBy("block").applyInArrow(_classes, "block int, classes binary")
-    classes = b"".join(r.classes for r in sorted(sketch.collect())) or bytes(1 << SKETCH_BITS)
-    tasks = max(1, (rows.agg(F.sum("n")).first()[0] or 0) // (5 * TASK_ROWS))
-    meet = rows.where("n > 0").select("node", "shingles").mapInArrow(_prefixes(classes, tasks), _PREFIX)
-    meet = written(meet.groupBy("task").applyInArrow(_shared, _PREFIX), "near-meetings")
-    first = meet.withColumn("root", F.col("node")).groupBy("task").applyInArrow(_pairs(False), "a bigint, b bigint")
-    links = _verified(first, rows)
-    roots = components(links).select(F.col("node").alias("_node"), "root")
-    rest = meet.join(roots, F.expr("node = _node"), "left").select(*meet.columns, F.coalesce("root", "node").alias("root"))
-    more = _verified(rest.groupBy("task").applyInArrow(_pairs(True), "a bigint, b bigint"), rows)
-    roots = written(components(links.unionByName(more)).select(F.col("node").alias("_node"), "root"), "near-roots")
-    return rows.drop("shingles", "n").join(roots, F.expr("node = _node"), "left").select("doc_id", "_th", F.coalesce("root", "node").alias("root"))
+    nodes = written(rows.where("n > 0").groupBy("node").agg(F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("parity").alias("parity")), "near-nodes")
+
+    # Fingerprints that meet at an anchor, and sets of one fingerprint.
+    least = nodes.groupBy("fp").agg(F.min("node").alias("_least"))
+    near = fingerprint_links(least)
+    one, other = (least.select(F.col("fp").alias(f"_f{c}"), F.col("_least").alias(f"_n{c}")) for c in "ab")
+    close = near.join(one, F.expr("a = _fa")).join(other, F.expr("b = _fb")).select(F.col("_na").alias("a"), F.col("_nb").alias("b"))
+    equal = nodes.join(least.select(F.col("fp").alias("_f"), "_least"), F.expr("fp = _f and node <> _least")).select(F.col("_least").alias("a"), F.col("node").alias("b"))
+    from_prints = close.unionByName(equal).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    sketch = rows.select("shingles").mapInArrow(_count, "block int, counts binary").groupBy("block").applyInArrow(_classes, "block int, classes binary, total bigint")
+    found = sorted(sketch.collect())  # a byte per counter, 1 MB in all
+    classes, total = b"".join(r.classes for r in found) or bytes(1 << SKETCH_BITS), sum(r.total for r in found)
+    tasks = max(1, total // (5 * TASK_ROWS))
+    dealt = rows.where("n > 0").select("node", "shingles", "n").mapInArrow(_prefixes(classes, _salts(np.frombuffer(classes, np.uint8), total), tasks), "task int, h binary, node binary, n binary, pos binary, salts binary")
+    meet = written(dealt.groupBy("task").applyInArrow(_shared, _MEET), "near-meetings")
+    pivots = meet.groupBy("task").applyInArrow(_pivots, "a bigint, b bigint")
+    links = _verified(pivots.unionByName(from_prints), rows, nodes)
+    roots = written(components(links).select(F.col("node").alias("_node"), "root"), "near-first-roots")
+
+    rest = meet.join(roots, F.expr("node = _node"), "left").select("task", "shingle", "salts", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+    salt = F.pmod(F.pmod("node", F.lit(1 << 30)), "salts").cast("int")
+    salted = rest.withColumn("salt", salt).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    cells = salted.withColumn("low", F.least("salt", "_other")).withColumn("high", F.greatest("salt", "_other"))
+    cell = F.when(F.col("salts") == 1, F.col("task").cast("bigint")).otherwise(F.pmod(F.xxhash64("shingle", "low", "high"), F.lit(tasks)))
+    # A task may hold several cells of one shingle: the shingle is told apart by its cell.
+    own = F.when(F.col("salts") == 1, F.col("shingle")).otherwise(F.xxhash64("shingle", "low", "high"))
+    cells = cells.withColumn("_cell", cell).withColumn("shingle", own)
+    more = _verified(cells.groupBy("_cell").applyInArrow(_across, "a bigint, b bigint"), rows, nodes)
+    both = written(links.unionByName(more), "near-all-links")
+    roots = written(components(both).select(F.col("node").alias("_node"), "root"), "near-roots")
+    out = written(rows.select("doc_id", "_th", "node").join(roots, F.expr("node = _node"), "left").select("doc_id", "_th", F.coalesce("root", "node").alias("root")), "near-clusters")
+    discard(rows, nodes, meet, links, more, both, roots)
+    return out
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near copies, that of the least id; of repeated rows one stays."""
-    return keep_first(docs, written(clusters(docs), "near-clusters"))
+    return keep_first(docs, clusters(docs))

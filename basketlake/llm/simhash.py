@@ -41,7 +41,11 @@ def shingles(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.n
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """Majority bits of the shingles' hashes; a text without words gives zero."""
-    h = shingles(text, shingle, seed)
+    return fingerprint_of(shingles(text, shingle, seed))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """Majority bits of hashes."""
     if not len(h):
         return 0
     ones = np.zeros(64, np.int64)

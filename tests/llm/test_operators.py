@@ -126,6 +126,30 @@ def test_near_copies(spark, docs, nothing):
     assert kept.columns == docs.columns and near.keep_one(nothing).count() == 0
 
 
+def test_near_copies_at_hot_shingles(spark, monkeypatch):
+    monkeypatch.setattr(near, "HOT_ROWS", 8)
+    monkeypatch.setattr(near, "TASK_ROWS", 100)
+    rng = np.random.default_rng(12)
+    common = "these five words are common"
+    texts = [common + " " + " ".join(f"w{x}" for x in rng.integers(0, 5_000, 8)) for _ in range(150)]
+    for i in range(0, 60, 2):  # copies with a word more
+        texts.append(texts[i] + " more")
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(words, texts)]
+    least = list(range(len(texts)))
+    for _ in range(3):
+        least = [min(least[j] for j in range(len(texts)) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])) for i in range(len(texts))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert sorted(r.doc_id for r in near.keep_one(df).collect()) == sorted(set(least)) == list(range(150))
+
+
+def test_near_copies_at_one_shingle_of_many_texts(spark):
+    rng = np.random.default_rng(13)
+    own = [" ".join(map(str, r)) for r in rng.integers(0, 10**9, (50_000, 6)).tolist()]
+    rows = [(i, "these five words are common " + t) for i, t in enumerate(own)] + [(60_000 + i, "these five words are common " + own[i]) for i in range(40)]
+    kept = near.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(50_000))
+
+
 BENCH = [(1, ITEM), (10, "Short item"), (2, None), (3, "..."), (4, PASSAGE), (None, _prose(20)), (1, ITEM)]
 
 
