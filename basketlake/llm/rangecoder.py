@@ -1,11 +1,11 @@
 """Adaptive context-mixing range coder for token ids, many blocks in lockstep.
 
-Every block starts from the same fresh state, so blocks are independent and numpy can step through all
-of them at once. At each id, order-2 and order-1 contexts each name the id that followed them last. How
-likely each is right is a logistic mix of its own record, of the other order's agreement, and of the
-order-0 count of the id named; the weights learn in every block. A symbol then says which of them holds,
-and if none does, the two bytes of the id follow under adaptive order-0 frequencies. All arithmetic is on
-integers, so files are read back alike on any machine.
+Every block starts from the same fresh state, so blocks are independent and numpy can step through all of them at once.
+What they share is a model of order 0, the counts of the ids they are made of, which stands before them. At each id,
+order-2 and order-1 contexts each name the id that followed them last. How likely each is right is a logistic mix of its
+own record, of the other order's agreement, and of the order-0 count of the id named; the weights learn in every block. A
+symbol then says which of them holds, and if none does, the id follows under the order-0 counts. All arithmetic is
+on integers, so files are read back alike on any machine.
 """
 
 from __future__ import annotations
@@ -14,202 +14,234 @@ import zlib
 
 import numpy as np
 
+from basketlake.llm.packing import pack, unpack
+
 BLOCK = 4096
 LANES = 4096
-_H1, _H2, _H0 = 512, 1024, 512
-_LOW = 16
-_STEP = 14
-_TOP, _BOT = 1 << 24, 1 << 16
-_ALL = 0xFFFFFFFF
-_x = np.arange(-2047, 2048)
+#: Hash slots of the contexts of a block; both are powers of two.
+_H1, _H2 = 512, 1024
+#: Bits of a hit's frequencies and of the order-0 counts; the ranges stay above 32 bits.
+_HIT, _ID = 12, 20
+#: Ids below this are counted and found by a table.
+_DENSE = 1 << 22
+_HALF = np.uint64(32)
+_LEAST, _MASK = np.uint64(1 << 32), np.uint64((1 << 32) - 1)
 _SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-np.arange(-2048, 2049) / 256.0))), 16, 4080).astype(np.int32)
 _STRETCH = np.clip(np.rint(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int32)
 
 
+class Model:
+    """The ids of some blocks in ascending order, and their counts scaled to 2^20, at least one each."""
+
+    def __init__(self, ids: np.ndarray, freq: np.ndarray):
+        self.ids, self.freq = ids.astype(np.int64), freq.astype(np.uint64)
+        self.cum = np.concatenate([[0], np.cumsum(freq)]).astype(np.uint64)
+        share = np.minimum(4095, np.concatenate([[0], freq.astype(np.int64)]) >> (_ID - 12))
+        self.evidence = _STRETCH[share] >> 2
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> "Model":
+        if len(ids) and int(ids.max()) < _DENSE:
+            counts = np.bincount(ids)
+            own = np.nonzero(counts)[0]
+            n = counts[own]
+        else:
+            own, n = np.unique(ids, return_counts=True)
+        total = 1 << _ID
+        if len(own) >= total:
+            raise ValueError(f"blocks of {len(own)} different ids need more than {_ID} bits")
+        freq = 1 + n * (total - len(own)) // max(1, int(n.sum()))
+        if len(own):
+            freq[np.argmax(freq)] += total - int(freq.sum())
+        return cls(own, freq)
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Where the ids stand in the list."""
+        if len(self.ids) and int(self.ids[-1]) < _DENSE:
+            table = np.zeros(int(self.ids[-1]) + 1, np.int32)
+            table[self.ids] = np.arange(len(self.ids), dtype=np.int32)
+            return table[ids]
+        return np.searchsorted(self.ids, ids)
+
+    def packed(self) -> bytes:
+        a, b = pack(np.diff(self.ids, prepend=0)), pack(self.freq)
+        return len(a).to_bytes(4, "little") + a + b
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> "Model":
+        n = 4 + int.from_bytes(data[:4], "little")
+        return cls(np.cumsum(unpack(data[4:n]).astype(np.int64)), unpack(data[n:]))
+
+
 class _Writer:
+    """Ranges of 64 bits, of which 32 leave at a time; one that spans a border is cut at it, so nothing carries."""
+
     def __init__(self, lanes: int, steps: int):
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _ALL, np.int64)
-        self.width = 6 * steps + 16
-        self.out, self.at = np.zeros(lanes * self.width, np.uint8), np.arange(lanes, dtype=np.int64) * self.width
+        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+        width = 2 * steps + 4
+        self.out, self.at = np.zeros(lanes * width, np.uint32), np.arange(lanes, dtype=np.int64) * width
         self.first = self.at.copy()
 
-    def put(self, on, cum, freq, total) -> None:
-        low, rng = self.low[on], self.range[on]
-        r = rng // total
-        low, rng = low + cum * r, freq * r
-        live = np.arange(len(on))
-        while True:
-            lo, rg = low[live], rng[live]
-            same = (lo ^ (lo + rg)) < _TOP
-            go = same | (rg < _BOT)
-            if not go.any():
-                break
-            live, lo, rg, same = live[go], lo[go], rg[go], same[go]
-            rg = np.where(same, rg, -lo & (_BOT - 1))
-            lane = on[live]
-            self.out[self.at[lane]] = (lo >> 24) & 255
-            self.at[lane] += 1
-            low[live], rng[live] = (lo << 8) & _ALL, (rg << 8) & _ALL
+    def put(self, on, cum, freq, bits: int) -> None:
+        r = self.range[on] >> np.uint64(bits)
+        low, rng = self.low[on] + r * cum, r * freq
+        small = np.nonzero(rng < _LEAST)[0]
+        if len(small):
+            lo, rg = low[small], rng[small]
+            lanes = small if isinstance(on, slice) else on[small]
+            self.out[self.at[lanes]] = lo >> _HALF
+            self.at[lanes] += 1
+            low[small], rng[small] = lo << _HALF, _cut(lo, rg) << _HALF
         self.low[on], self.range[on] = low, rng
 
     def done(self) -> list[bytes]:
-        for k in range(4):
-            self.out[self.at] = (self.low >> (24 - 8 * k)) & 255
+        for part in (self.low >> _HALF, self.low & _MASK):
+            self.out[self.at] = part
             self.at += 1
-        return [self.out[a:b].tobytes() for a, b in zip(self.first, self.at, strict=True)]
+        return [self.out[a:b].astype("<u4").tobytes() for a, b in zip(self.first.tolist(), self.at.tolist(), strict=True)]
+
+
+def _cut(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    spans = ((low ^ (low + rng - np.uint64(1))) >> _HALF) != 0
+    return np.where(spans, -low & _MASK, rng)
 
 
 class _Reader:
     def __init__(self, payloads: list[bytes]):
-        ends = np.cumsum([len(p) for p in payloads])
-        self.data = np.frombuffer(b"".join(payloads) + b"\0" * 8, np.uint8)
-        self.at = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        words = [np.frombuffer(p[: len(p) // 4 * 4], "<u4") for p in payloads]
+        self.data = np.concatenate([*words, np.zeros(4, np.uint32)]).astype(np.uint64)
+        self.at = np.concatenate([[0], np.cumsum([len(x) for x in words])[:-1]]).astype(np.int64)
         n = len(payloads)
-        self.low, self.range, self.code = np.zeros(n, np.int64), np.full(n, _ALL, np.int64), np.zeros(n, np.int64)
-        for _ in range(4):
-            self.code = (self.code << 8) | self.data[self.at]
-            self.at += 1
-
-    def target(self, on, total):
-        r = self.range[on] // total
-        return np.minimum(((self.code[on] - self.low[on]) & _ALL) // r, total - 1)
-
-    def take(self, on, cum, freq, total) -> None:
-        low, rng = self.low[on], self.range[on]
-        r = rng // total
-        low, rng = low + cum * r, freq * r
-        live = np.arange(len(on))
-        while True:
-            lo, rg = low[live], rng[live]
-            same = (lo ^ (lo + rg)) < _TOP
-            go = same | (rg < _BOT)
-            if not go.any():
-                break
-            live, lo, rg, same = live[go], lo[go], rg[go], same[go]
-            rg = np.where(same, rg, -lo & (_BOT - 1))
-            lane = on[live]
-            self.code[lane] = ((self.code[lane] << 8) | self.data[np.minimum(self.at[lane], len(self.data) - 1)]) & _ALL
-            self.at[lane] += 1
-            low[live], rng[live] = (lo << 8) & _ALL, (rg << 8) & _ALL
+        self.low, self.range = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
+        self.code = (self._next(slice(None)) << _HALF) | self._next(slice(None))
+
+    def _next(self, on) -> np.ndarray:
+        at = self.at[on].copy()
+        self.at[on] = at + 1
+        return self.data[np.minimum(at, len(self.data) - 1)]  # a damaged block may run on
+
+    def target(self, on, bits: int) -> np.ndarray:
+        r = self.range[on] >> np.uint64(bits)
+        return np.minimum((self.code[on] - self.low[on]) // r, np.uint64((1 << bits) - 1))
+
+    def take(self, on, cum, freq, bits: int) -> None:
+        r = self.range[on] >> np.uint64(bits)
+        low, rng = self.low[on] + r * cum, r * freq
+        small = np.nonzero(rng < _LEAST)[0]
+        if len(small):
+            lo, rg = low[small], rng[small]
+            lanes = small if isinstance(on, slice) else on[small]
+            self.code[lanes] = (self.code[lanes] << _HALF) | self._next(lanes)
+            low[small], rng[small] = lo << _HALF, _cut(lo, rg) << _HALF
         self.low[on], self.range[on] = low, rng
 
 
-def _tree(tree, base, total, symbol, target):
-    """A byte under adaptive frequencies: (symbol, its cumulated count, its count). Either of symbol and target is given."""
-    node, cum, size = np.ones(len(base), np.int32), np.zeros(len(base), np.int32), total.astype(np.int32)
-    for k in range(7, -1, -1):
-        at = base + node
-        left = tree[at].astype(np.int32)
-        bit = (symbol >> k) & 1 if target is None else (target - cum >= left).astype(np.int32)
-        cum += left * bit
-        size = left + bit * (size - 2 * left)
-        tree[at] = left + _STEP * (1 - bit)
-        node = 2 * node + bit
-    return node - 256, cum, size
-
-
-def _fresh_tree(n: int) -> np.ndarray:
-    one = np.ones(256, np.uint16)
-    for k in range(8):
-        one[1 << k : 2 << k] = 128 >> k
-    return np.tile(one, n)
-
-
-def _run(lengths: np.ndarray, ids: np.ndarray | None, coder) -> np.ndarray:
-    """Steps all blocks through coder; ``ids`` is (blocks, BLOCK) when writing. Blocks come longest first."""
+def _run(lengths: np.ndarray, ids: np.ndarray | None, coder, model: Model) -> np.ndarray:
+    """Steps all blocks through coder; ``ids``, places in the model's list by step and block, is given when writing. Blocks come longest first."""
     lanes, steps = len(lengths), int(lengths.max(initial=0))
-    out = np.zeros((lanes, max(steps, 1)), np.int32)
-    t1, t2 = np.zeros(lanes * _H1, np.uint16), np.zeros(lanes * _H2, np.uint16)
+    out = np.zeros((max(steps, 1), lanes), np.int32)
+    kind = np.uint16 if len(model.ids) < 65_535 else np.uint32
+    t1, t2 = np.zeros(lanes * _H1, kind), np.zeros(lanes * _H2, kind)
     run1, run2 = np.zeros(lanes * _H1, np.uint8), np.zeros(lanes * _H2, np.uint8)
-    seen = np.zeros(lanes * _H0, np.uint16)
     p1, p2 = np.full(lanes * 8, 1000, np.int32), np.full(lanes * 8, 1400, np.int32)
-    w = np.full((2, 3, lanes), 24_000, np.int32)
-    high, low = _fresh_tree(lanes), _fresh_tree(lanes * _LOW)
-    high_n, low_n = np.full(lanes, 256, np.int32), np.full(lanes * _LOW, 256, np.int32)
+    w = np.full((6, lanes), 24_000, np.int32)
     every = np.arange(lanes, dtype=np.int32)
+    base1, base2, base8 = every * _H1, every * _H2, every * 8
     a, b = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)  # the ids before
     alive = np.searchsorted(-lengths, -np.arange(steps), side="left")  # blocks longer than each step
+    evidence = model.evidence
     for j in range(steps):
         n = int(alive[j])
-        on = every[:n]
-        k1, k2 = on * _H1 + ((a[:n] * 403) >> 4) % _H1, on * _H2 + ((a[:n] * 4051 + b[:n] * 6067) >> 4) % _H2
-        c1, c2 = t1[k1].astype(np.int32), t2[k2].astype(np.int32)  # ids plus one; zero is none
+        on = slice(0, n)
+        last = a[on]
+        k1, k2 = base1[on] + (((last * 403) >> 4) & (_H1 - 1)), base2[on] + (((last * 4051 + b[on] * 6067) >> 4) & (_H2 - 1))
+        c1, c2 = t1[k1].astype(np.int32), t2[k2].astype(np.int32)  # places plus one; zero is none
         agree = c1 == c2
-        q1, q2 = on * 8 + run1[k1] * 2 + agree, on * 8 + run2[k2] * 2 + agree
-        common = np.minimum(4095, (seen[on * _H0 + c2 % _H0].astype(np.int32) << 12) // (j + 16)), np.minimum(4095, (seen[on * _H0 + c1 % _H0].astype(np.int32) << 12) // (j + 16))
-        s1, s2 = _STRETCH[p1[q1]], _STRETCH[p2[q2]]
-        inputs = (s2, np.where(agree, s1, 0), _STRETCH[common[0]] >> 2), (s1, np.where(agree, s2, 0), _STRETCH[common[1]] >> 2)
-        mixed = [_SQUASH[2048 + np.minimum(np.maximum((w[o, 0, :n] * x + w[o, 1, :n] * y + w[o, 2, :n] * z) >> 16, -2047), 2047)] for o, (x, y, z) in enumerate(inputs)]
-        f2 = np.where(c2 > 0, mixed[0], 0)
-        f1 = np.where((c1 > 0) & ~agree, ((4096 - f2) * mixed[1]) >> 12, 0)
+        r1, r2 = run1[k1], run2[k2]
+        q1, q2 = base8[on] + 2 * r1 + agree, base8[on] + 2 * r2 + agree
+        was1, was2 = p1[q1], p2[q2]
+        s1, s2 = _STRETCH[was1], _STRETCH[was2]
+        in2, in1 = (s2, s1 * agree, evidence[c2]), (s1, s2 * agree, evidence[c1])
+        m2 = _SQUASH[2048 + np.clip((w[0, on] * in2[0] + w[1, on] * in2[1] + w[2, on] * in2[2]) >> 16, -2047, 2047)]
+        m1 = _SQUASH[2048 + np.clip((w[3, on] * in1[0] + w[4, on] * in1[1] + w[5, on] * in1[2]) >> 16, -2047, 2047)]
+        use2 = c2 > 0
+        use1 = (c1 > 0) & ~agree
+        f2 = m2 * use2
+        f1 = (((4096 - f2) * m1) >> 12) * use1
+        use1 = f1 > 0
+        both = f2 + f1
         if ids is None:
-            v = coder.target(on, 4096)
-            hit2, hit1 = v < f2, (v >= f2) & (v < f2 + f1)
+            v = coder.target(on, _HIT).astype(np.int32)
+            hit2 = v < f2
+            hit1 = ~hit2 & (v < both)
         else:
-            now = ids[:n, j] + 1
-            hit2 = (now == c2) & (f2 > 0)
-            hit1 = ~hit2 & (now == c1) & (f1 > 0)
-        cum = np.where(hit2, 0, np.where(hit1, f2, f2 + f1))
-        freq = np.where(hit2, f2, np.where(hit1, f1, 4096 - f2 - f1))
-        (coder.put if ids is not None else coder.take)(on, cum, freq, 4096)
-        new = np.where(hit2, c2, c1) - 1
-        lit = np.nonzero(~(hit2 | hit1))[0].astype(np.int32)
-        if len(lit):
-            known = None if ids is None else ids[lit, j]
-            hi, cum, freq = _tree(high, lit * 256, high_n[lit], None if known is None else known >> 8, coder.target(lit, high_n[lit]) if known is None else None)
-            (coder.put if known is not None else coder.take)(lit, cum, freq, high_n[lit])
-            high_n[lit] += _STEP
-            at = lit * _LOW + hi % _LOW
-            lo, cum, freq = _tree(low, at * 256, low_n[at], None if known is None else known & 255, coder.target(lit, low_n[at]) if known is None else None)
-            (coder.put if known is not None else coder.take)(lit, cum, freq, low_n[at])
-            low_n[at] += _STEP
-            new[lit] = hi * 256 + lo
-        out[:n, j] = new
-        # What held is learnt: weights, records, last followers, counts.
+            now = ids[j, on] + 1
+            hit2 = (now == c2) & use2
+            hit1 = ~hit2 & (now == c1) & use1
+        miss = ~(hit2 | hit1)
+        cum = f2 * hit1 + both * miss
+        freq = f2 * hit2 + f1 * hit1 + (4096 - both) * miss
+        (coder.put if ids is not None else coder.take)(on, cum.astype(np.uint64), freq.astype(np.uint64), _HIT)
+        lit = np.nonzero(miss)[0]
+        if ids is not None:
+            new = ids[j, on]
+            if len(lit):
+                x = new[lit]
+                coder.put(lit, model.cum[x], model.freq[x], _ID)
+        else:
+            new = np.where(hit2, c2, c1) - 1
+            if len(lit):
+                x = np.searchsorted(model.cum, coder.target(lit, _ID), side="right") - 1
+                x = np.minimum(x, len(model.ids) - 1)
+                coder.take(lit, model.cum[x], model.freq[x], _ID)
+                new[lit] = x
+            out[j, on] = new
+        # What held is learnt: weights, records, last followers.
         right2, right1 = new + 1 == c2, new + 1 == c1
-        for o, (right, xs, use) in enumerate(((right2, inputs[0], f2 > 0), (right1, inputs[1], f1 > 0))):
-            err = ((right.astype(np.int32) << 12) - mixed[o]) * 6 * use
-            for i, x in enumerate(xs):
-                w[o, i, :n] = np.minimum(np.maximum(w[o, i, :n] + ((x * err + 0x2000) >> 14), -150_000), 150_000)
-        p1[q1] += ((right1.astype(np.int32) << 12) - right1 - p1[q1]) >> 4
-        p2[q2] += ((right2.astype(np.int32) << 12) - right2 - p2[q2]) >> 4
-        run1[k1], run2[k2] = np.where(right1, np.minimum(run1[k1] + 1, 3), 0), np.where(right2, np.minimum(run2[k2] + 1, 3), 0)
-        t1[k1], t2[k2] = new + 1, new + 1
-        seen[on * _H0 + (new + 1) % _H0] += 1
-        b[:n], a[:n] = a[:n], new
+        up2, up1 = right2.astype(np.int32) << 12, right1.astype(np.int32) << 12
+        err2, err1 = (up2 - m2) * 6 * use2, (up1 - m1) * 6 * use1
+        for i in range(3):
+            w[i, on] += (in2[i] * err2 + 0x2000) >> 14
+            w[3 + i, on] += (in1[i] * err1 + 0x2000) >> 14
+        if j % 16 == 15:
+            np.clip(w, -150_000, 150_000, out=w)
+        p1[q1], p2[q2] = was1 + ((up1 - right1 - was1) >> 4), was2 + ((up2 - right2 - was2) >> 4)
+        run1[k1], run2[k2] = np.minimum(r1 + 1, 3) * right1, np.minimum(r2 + 1, 3) * right2
+        t1[k1] = t2[k2] = new + 1
+        b[on], a[on] = last, new
     return out
 
 
-def encode(ids: np.ndarray, lanes: int = LANES) -> list[tuple[int, int, bytes]]:
-    """(number of ids, CRC-32 of them, payload) of each block of ``BLOCK`` ids below 65,535."""
-    if len(ids) and int(ids.max()) >= 65_535:
-        raise ValueError("ids need 16 bits")
+def encode(ids: np.ndarray, lanes: int = LANES) -> tuple[bytes, list[tuple[int, int, bytes]]]:
+    """The packed model, and (number of ids, CRC-32 of them, payload) of each block of ``BLOCK`` ids."""
+    model = Model.of(ids)
     out: list[tuple[int, int, bytes]] = []
     for i in range(0, len(ids), lanes * BLOCK):
         part = ids[i : i + lanes * BLOCK]
         n = -(-len(part) // BLOCK)
         grid = np.zeros(n * BLOCK, np.int32)
-        grid[: len(part)] = part
+        grid[: len(part)] = model.places(part)
         lengths = np.full(n, BLOCK)
         lengths[-1] = len(part) - (n - 1) * BLOCK
         writer = _Writer(n, int(lengths.max()))
-        _run(lengths, grid.reshape(n, BLOCK), writer)
+        _run(lengths, np.ascontiguousarray(grid.reshape(n, BLOCK).T), writer, model)
         raw = part.astype("<u4")
         out += [(int(k), zlib.crc32(raw[j * BLOCK : j * BLOCK + k].tobytes()), p) for j, (k, p) in enumerate(zip(lengths.tolist(), writer.done(), strict=True))]
-    return out
+    return model.packed(), out
 
 
-def decode(blocks: list[tuple[int, int, bytes]], lanes: int = LANES) -> list[np.ndarray]:
+def decode(packed: bytes, blocks: list[tuple[int, int, bytes]], lanes: int = LANES) -> list[np.ndarray]:
     """The ids of each block as 32-bit integers; a block that fails its checksum raises."""
+    model = Model.unpacked(packed)
     order = sorted(range(len(blocks)), key=lambda i: -blocks[i][0])
     out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(blocks)
     for s in range(0, len(order), lanes):
         part = order[s : s + lanes]
         lengths = np.array([blocks[i][0] for i in part])
-        got = _run(lengths, None, _Reader([blocks[i][2] for i in part]))
+        got = model.ids.astype("<u4")[_run(lengths, None, _Reader([blocks[i][2] for i in part]), model).T]
         for row, i in enumerate(part):
             n, crc, _ = blocks[i]
-            out[i] = got[row, :n].astype("<u4")
+            out[i] = np.ascontiguousarray(got[row, :n])
             if zlib.crc32(out[i].tobytes()) != crc:
                 raise ValueError("a block fails its checksum")
     return out

@@ -1,12 +1,13 @@
 """Token ids of whole texts in files of independent, checksummed, range-coded blocks.
 
 Documents are range-partitioned by id, so that every partition is one run of the global order. A file row is
-a segment: consecutive documents whose ids are coded in blocks of 4096. Files are Parquet tables of segments,
+a segment: consecutive documents whose ids are coded in blocks of 4096, behind the counts of its ids. Files are Parquet tables of segments,
 written and read by Spark wherever the cluster keeps its files.
 """
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -35,7 +36,7 @@ class Encoder:
 
     The pre-tokenizer never joins characters across the border before a run of spaces and line feeds that
     follows a visible character, so the ids of a text are those of its chunks. Texts with other white
-    space or an added token are encoded whole.
+    space or an added token are encoded whole. Ids are kept as the bytes of 32-bit integers, so that a text is a join.
     """
 
     def __init__(self, path: str, remember: int = 250_000):
@@ -44,38 +45,41 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
         self.remember = remember
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.known) > self.remember:
             self.known.clear()
         chunks: list[list[str] | None] = []
-        new: dict[str, None] = {}
+        new: set[str] = set()
         for t in texts:
             if t and (_OTHER_SPACE.search(t) or any(a in t for a in self.added)):
                 chunks.append(None)
                 continue
             parts = _CHUNK.findall(t or "")
             chunks.append(parts)
-            new.update(dict.fromkeys(p for p in parts if p not in self.known))
+            new |= set(parts).difference(self.known)
         fresh = list(new)
         for i in range(0, len(fresh), 20_000):
             part = fresh[i : i + 20_000]
-            self.known.update(zip(part, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        out = []
-        for t, parts in zip(texts, chunks, strict=True):
-            if parts is None:
-                ids = self.tokenizer.encode(t, add_special_tokens=False).ids
-            else:
-                ids = [i for p in map(self.known.__getitem__, parts) for i in p]
-            out.append(np.array(ids, np.uint16 if not ids or max(ids) < 65_535 else np.uint32))
-        return out
+            self.known.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+        find = self.known.__getitem__
+        return [
+            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if parts is None else np.frombuffer(b"".join(map(find, parts)), "<u4")
+            for t, parts in zip(texts, chunks, strict=True)
+        ]
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One for each worker process: the next task finds what the last one remembered."""
+    return Encoder(path)
 
 
 def _segments(path: str, end_id: int, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = Encoder(path), TaskContext.get().partitionId(), 0
+        encode, part, before = encoder(path), TaskContext.get().partitionId(), 0
         docs: list = []
         ids: list[np.ndarray] = []
         held = 0
@@ -83,14 +87,14 @@ def _segments(path: str, end_id: int, segment_ids: int):
         def flush():
             nonlocal docs, ids, held, before
             every = np.concatenate(ids)
-            blocks = rangecoder.encode(every)
+            model, blocks = rangecoder.encode(every)
             lens = [len(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([len(every)], pa.int64()), pa.array([docs], pa.list_(kind)), pa.array([lens], pa.list_(pa.int64())),
-                    pa.array([[b[0] for b in blocks]], pa.list_(pa.int32())), pa.array([[b[1] for b in blocks]], pa.list_(pa.int64())), pa.array([[b[2] for b in blocks]], pa.list_(pa.binary())),
+                    pa.array([[b[0] for b in blocks]], pa.list_(pa.int32())), pa.array([[b[1] for b in blocks]], pa.list_(pa.int64())), pa.array([[b[2] for b in blocks]], pa.list_(pa.binary())), pa.array([model], pa.binary()),
                 ],
-                ["part", "before", "n_ids", "doc_ids", "n_tokens", "block_ids", "block_crc", "blocks"],
+                ["part", "before", "n_ids", "doc_ids", "n_tokens", "block_ids", "block_crc", "blocks", "model"],
             )
             before += len(every)
             docs, ids, held = [], [], 0
@@ -99,7 +103,7 @@ def _segments(path: str, end_id: int, segment_ids: int):
             kind = b.schema.field(0).type
             for i in range(0, b.num_rows, 64):
                 rows = b.slice(i, 64)
-                for d, x in zip(rows.column(0).to_pylist(), encoder(rows.column(1).to_pylist()), strict=True):
+                for d, x in zip(rows.column(0).to_pylist(), encode(rows.column(1).to_pylist()), strict=True):
                     if docs and held + len(x) + 1 > segment_ids:
                         yield from flush()
                     docs.append(d)
@@ -118,7 +122,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_i
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").withColumn("_th", F.xxhash64("text"))
     rows = rows.repartitionByRange(parts, "doc_id", "_th").sortWithinPartitions("doc_id", "_th").select("doc_id", "text")
-    schema = f"part int, before bigint, n_ids bigint, doc_ids array<{kind}>, n_tokens array<bigint>, block_ids array<int>, block_crc array<bigint>, blocks array<binary>"
+    schema = f"part int, before bigint, n_ids bigint, doc_ids array<{kind}>, n_tokens array<bigint>, block_ids array<int>, block_crc array<bigint>, blocks array<binary>, model binary"
     rows.mapInArrow(_segments(tokenizer, end_id, segment_ids), schema).write.option("compression", "none").parquet(folder)
 
 
@@ -131,7 +135,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         for b in batches:
             for r in range(b.num_rows):
                 row = {k: b.column(k)[r].as_py() for k in b.schema.names}
-                every = np.concatenate(rangecoder.decode(list(zip(row["block_ids"], row["block_crc"], row["blocks"], strict=True))))
+                every = np.concatenate(rangecoder.decode(row["model"], list(zip(row["block_ids"], row["block_crc"], row["blocks"], strict=True))))
                 ends = np.cumsum(row["n_tokens"])
                 crcs = [zlib.crc32(every[e - n : e].tobytes()) for e, n in zip(ends.tolist(), row["n_tokens"], strict=True)]
                 n = len(ends)
@@ -140,7 +144,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                     ["doc_id", "part", "at", "n_tokens", "ids_crc32"],
                 )
 
-    return files.select("part", "before", "doc_ids", "n_tokens", "block_ids", "block_crc", "blocks").mapInArrow(run, f"doc_id {kind}, part int, at bigint, n_tokens bigint, ids_crc32 bigint")
+    return files.select("part", "before", "doc_ids", "n_tokens", "block_ids", "block_crc", "blocks", "model").mapInArrow(run, f"doc_id {kind}, part int, at bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_digest(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:

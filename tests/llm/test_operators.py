@@ -358,12 +358,17 @@ def test_tokens(docs, nothing):
 
 
 def test_range_coder():
-    for x in (np.zeros(0, np.int64), np.array([5]), _rng.integers(0, 65_535, 9000), np.full(5000, 7), np.tile(np.arange(90), 100)):
-        blocks = rangecoder.encode(x)
-        assert (np.concatenate([np.zeros(0, "<u4"), *rangecoder.decode(blocks)]) == x).all()
-    n, crc, data = rangecoder.encode(np.arange(3000) % 17)[0]
+    skewed = np.minimum(_rng.zipf(1.2, 60_000), 50_000)
+    for x in (np.zeros(0, np.int64), np.array([5]), _rng.integers(0, 65_535, 9000), np.full(5000, 7), np.tile(np.arange(90), 100), skewed, np.repeat(skewed[:9000], 7), _rng.integers(0, 10**6, 30_000), np.array([2**32 - 1, 0, 2**31])):
+        model, blocks = rangecoder.encode(x)
+        assert (np.concatenate([np.zeros(0, "<u4"), *rangecoder.decode(model, blocks)]) == x).all()
+    # Blocks are independent: any of them is read alone.
+    model, blocks = rangecoder.encode(skewed)
+    assert (rangecoder.decode(model, blocks[3:4])[0] == skewed[3 * rangecoder.BLOCK : 4 * rangecoder.BLOCK]).all()
+    assert sum(len(b[2]) for b in blocks) < 2 * len(skewed)
+    model, [(n, crc, data)] = rangecoder.encode(np.arange(3000) % 17)
     with pytest.raises(ValueError, match="checksum"):
-        rangecoder.decode([(n, crc, data[:9] + bytes([data[9] ^ 255]) + data[10:])])
+        rangecoder.decode(model, [(n, crc, data[:9] + bytes([data[9] ^ 255]) + data[10:])])
 
 
 def test_neighbours(spark):
