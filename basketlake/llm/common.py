@@ -48,6 +48,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def small(df: DataFrame, rows: int, *texts: str, megabytes: int = 64) -> bool:
+    """Whether a written table may be broadcast: at most ``rows`` rows, and its texts no longer than ``megabytes`` in all."""
+    length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0)).cast("bigint")
+    found = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(length), F.lit(0)).alias("b")).first()
+    return found.n <= rows and found.b <= megabytes << 20
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes tables of :func:`written` from which everything that is still needed has been written elsewhere."""
     for df in frames:

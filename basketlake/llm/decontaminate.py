@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import lower_ascii, shielded, words_of, written
+from basketlake.llm.common import lower_ascii, shielded, small, words_of, written
 
 #: Everything that is neither an ASCII letter or digit nor above ASCII parts words.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -45,7 +45,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broad
     """(doc_id, _th, pos, len, item_id): every occurrence of a benchmark window, positions in words from 1."""
     bench = written(benchmark_windows(benchmark, window), "bench")
     lengths = sorted(r[0] for r in bench.select("len").distinct().collect())
-    if bench.count() <= broadcast_windows:
+    if small(bench, broadcast_windows, "item_id", "phrase"):
         # The set holds the windows' own words, so a hit is verified as it is found.
         found = None
         for n in lengths:

@@ -2,7 +2,7 @@
 
 Words of a source, documents in ascending id, are packed into blocks of ``block`` words. Output slots
 are dealt to shards of ``shard`` slots; each shard draws its source counts multinomially (one
-pseudorandom draw a slot). A source's k-th slot takes the block that a pseudorandom affine permutation
+pseudorandom draw a slot). A source's k-th slot takes the block that a pseudorandom Feistel permutation
 of the block indices, another one each time round, gives for k. Slots and blocks then join by index.
 """
 
@@ -15,11 +15,9 @@ from basketlake.llm.common import WORD, shielded, written
 
 BLOCK = 64
 SHARD = 65_536
-#: Documents of a source are summed in runs of so many ids, so that no task holds a whole source.
-RUN = 4_096
 CELLS = 4_096
-#: The largest primes below 2^31.
-PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497)
+#: Rounds of the permutation, and how often an index that falls outside is sent on.
+ROUNDS, WALK = 4, 24
 _L = lambda v: F.lit(v).cast("bigint")
 
 
@@ -53,19 +51,18 @@ def targets(sized: DataFrame, most: int = 3, weights: tuple[int, ...] = (1, 2, 3
 def packed(sized: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, source, _th, size, start, block, words): the blocks each document's words lie in, and how many lie there.
 
-    Offsets come in two steps, sums of runs of ids and then sums within a run, so that a source with
-    a large share of all rows is spread over tasks. Documents without words lie in no block.
+    Documents of a source follow each other in ascending id, null ids first, equal ids by a hash of their
+    texts. All rows are range-partitioned in that order, so a source with a large share of all rows, or ids of any kind, is
+    spread over tasks; a document's offset is the sum of the partitions before and the sum within its own. Documents
+    without words lie in no block.
     """
-    rows = sized.where("size > 0").withColumn("_run", F.floor(F.coalesce("doc_id", _L(-1)) / RUN))
+    order = ["source", "doc_id", "_th"]
+    rows = sized.where("size > 0").repartitionByRange(*order).sortWithinPartitions(*order)
+    # Range borders are sampled: the rows are stored once, so that sums and offsets know the same partitions.
+    rows = written(rows.withColumn("_run", F.spark_partition_id()), "runs")
     runs = rows.groupBy("source", "_run").agg(F.sum("size").alias("_n"))
-    # A row per 4096 ids, and the sums of those of a source once more in stretches of 4096 runs.
-    runs = runs.withColumn("_far", F.floor(F.col("_run") / RUN))
-    far = runs.groupBy("source", "_far").agg(F.sum("_n").alias("_m"))
-    before = Window.partitionBy("source").orderBy("_far").rowsBetween(Window.unboundedPreceding, -1)
-    far = far.select(F.col("source").alias("_s"), F.col("_far").alias("_f"), F.coalesce(F.sum("_m").over(before), _L(0)).alias("_base"))
-    near = Window.partitionBy("source", "_far").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_in", F.coalesce(F.sum("_n").over(near), _L(0))).join(far, F.expr("source <=> _s and _far = _f"))
-    runs = runs.select(F.col("source").alias("_s"), F.col("_run").alias("_r"), (F.col("_base") + F.col("_in")).alias("_off"))
+    before = Window.partitionBy("source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col("source").alias("_s"), F.col("_run").alias("_r"), F.coalesce(F.sum("_n").over(before), _L(0)).alias("_off"))
     within = Window.partitionBy("source", "_run").orderBy("doc_id", "_th").rowsBetween(Window.unboundedPreceding, -1)
     at = rows.withColumn("_in", F.coalesce(F.sum("size").over(within), _L(0))).join(runs, F.expr("source <=> _s and _run = _r"))
     at = at.select("doc_id", "source", "_th", "size", (F.col("_off") + F.col("_in")).alias("start"))
@@ -110,11 +107,27 @@ def deal(wanted: DataFrame, total: int, shard: int = SHARD, seed: int = 0) -> Da
 def permuted(source: Column, k: Column, n: Column) -> Column:
     """The block of a source's k-th slot: each turn of ``n`` slots visits every block once, in an order of its own.
 
-    ``i -> (a i + b) mod n`` with a prime ``a`` above ``n`` permutes 0..n-1; n stays below 2^31.
+    An index is a pair of numbers below ``a`` and ``b``, ``a * b`` being the least product from ``n`` on with ``a`` the
+    root of ``n`` rounded up; each round adds a hash of one number to the other, which can be undone, so pairs are
+    permuted. A pair beyond ``n`` is permuted again until it falls inside. There are fewer than ``a`` such pairs, so
+    that ``WALK`` times are always enough below ``WALK``^2 blocks, and miss with a chance below ``WALK``^-``WALK`` above.
+    Nothing is multiplied that could overflow.
     """
-    turn, i = F.floor(k / n), k % n
-    a = F.element_at(F.array(*[_L(p) for p in PRIMES]), (F.pmod(F.xxhash64(source, turn), _L(len(PRIMES))) + 1).cast("int"))
-    return ((a % n) * i + F.pmod(F.xxhash64(turn, source), n)) % n
+    turn = F.floor(k / n)
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("bigint")
+    b = F.floor((n + a - 1) / a).cast("bigint")
+
+    def shuffled(i: Column) -> Column:
+        # A lambda over a one-element array names the pair, so that each round computes it once.
+        state = F.struct(F.floor(i / b).cast("bigint").alias("x"), F.pmod(i, b).alias("y"))
+        for r in range(ROUNDS):
+            left = lambda s, r=r: F.struct(F.pmod(s["x"] + F.pmod(F.xxhash64(source, turn, s["y"], F.lit(2 * r)), a), a).alias("x"), s["y"].alias("y"))
+            right = lambda s, r=r: F.struct(s["x"].alias("x"), F.pmod(s["y"] + F.pmod(F.xxhash64(source, turn, s["x"], F.lit(2 * r + 1)), b), b).alias("y"))
+            state = F.element_at(F.transform(F.transform(F.array(state), left), right), 1)
+        return F.element_at(F.transform(F.array(state), lambda s: s["x"] * b + s["y"]), 1)
+
+    first = shuffled(F.pmod(k, n))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda at, _: F.when(at < n, at).otherwise(shuffled(at)))
 
 
 def plan(docs: DataFrame, block: int = BLOCK, most: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -167,7 +180,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, mos
 
 
 def taken(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, most: int = 3, seed: int = 0) -> DataFrame:
-    """One row per document row: doc_id, source, size, source_size, target, taken (words in the mix, with repeats).
+    """One row per document row: doc_id, size, source_size, target, taken (words in the mix, with repeats), source.
 
     Null or empty text has size 0 and is never taken; a null source is a source of its own; repeated
     rows are documents of their own; a source without words has target 0. Only doc_id, source and
@@ -177,4 +190,4 @@ def taken(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, most: int = 3
     full = _pieces(sized, wanted, block, shard, seed).groupBy("doc_id", "source", "size", "start").agg(F.sum(F.col("words") * F.coalesce("_times", _L(0))).alias("taken")).drop("start")
     every = full.unionByName(sized.where("size = 0").drop("_th").withColumn("taken", _L(0)))
     w = wanted.select(F.col("source").alias("_s"), "source_size", "target")
-    return every.join(w, F.expr("source <=> _s")).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return every.join(w, F.expr("source <=> _s")).select("doc_id", "size", "source_size", "target", "taken", "source")

@@ -1,10 +1,10 @@
 """Information-theoretic sanitisation of personal data.
 
 Base spans are the protected entities: e-mail and IP addresses, card and phone numbers. Corpus
-co-occurrence then tells how strongly the words around them reveal them: a term discloses an entity if
-it stands near it in at least ``support`` different texts, its documents there are at least ``certainty`` of all
-with the term, and the pair's pointwise mutual information is ``bits`` or more. Disclosing terms near
-their entity become spans of kind ``term``. Spans are generalised to a class name, or removed.
+co-occurrence then tells how strongly words reveal them: a term discloses an entity if at least ``support`` different
+whole texts hold both, these documents are at least ``certainty`` of all with the term, and the pair's pointwise
+mutual information is ``bits`` or more. Every occurrence of a disclosing term, in any text and at any distance,
+becomes a span of kind ``term``. Spans are generalised to a class name, or removed.
 
 Positions are not given by Spark's regular expressions; they are sums of the lengths of the matches and
 of the pieces that splitting at the matches leaves.
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import lower_ascii, shielded, written
+from basketlake.llm.common import lower_ascii, shielded, small, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: The contract's patterns. Runs are possessive and start where a run starts (or the last match ended),
@@ -30,10 +30,8 @@ PATTERNS = {
 HINTS = {"email": "@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?+[0-9]){13}", "phone": r"\+[0-9]"}
 NOT_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: Characters on either side of an entity that make its context.
-CONTEXT = 60
-SUPPORT, CERTAINTY, BITS = 2, 0.5, 4.0
-#: Candidate terms up to this many rows are broadcast to the texts; beyond, words are counted first and then joined.
+SUPPORT, CERTAINTY, BITS = 3, 0.5, 4.0
+#: Terms, and keys of texts, up to this many rows and 64 MB are broadcast to the texts; beyond, they are joined by shuffle.
 BROADCAST_TERMS = 1_000_000
 
 
@@ -51,76 +49,76 @@ def _valid(kind: str, s: Column) -> Column:
     return n.between(10, 15) if kind == "phone" else F.lit(True)
 
 
+def _placed(d: DataFrame, pattern: str) -> DataFrame:
+    """(doc_id, _th, _i, gap, len, value): the matches of the pattern in the texts of (doc_id, _th, _text), and the gap before each."""
+    pieces, matches = F.split("_text", pattern, -1), F.regexp_extract_all("_text", F.lit(pattern), 0)
+    zipped = F.element_at(
+        F.transform(
+            F.array(F.struct(pieces.alias("p"), matches.alias("m"))),
+            lambda x: F.transform(x["m"], lambda m, i: F.struct(F.length(F.get(x["p"], i)).alias("gap"), F.length(m).alias("len"), m.alias("value"))),
+        ), 1,
+    )
+    return d.select("doc_id", "_th", F.posexplode(zipped).alias("_i", "_m")).select("doc_id", "_th", "_i", "_m.*")
+
+
+def _ends(found: DataFrame, *by: str) -> DataFrame:
+    """The matches with start and end in code points."""
+    upto = Window.partitionBy("doc_id", "_th", *by).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.col("len")).over(upto)
+    return found.withColumn("end", end.cast("bigint")).withColumn("start", F.col("end") - F.col("len"))
+
+
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, _th, kind, start, end, value, left, right): valid matches, in code points, with the text around them.
+    """(doc_id, _th, kind, start, end, value): valid matches, in code points.
 
     ``_th`` hashes the text, so that repeated rows give their spans once.
     """
     d = docs.select("doc_id", F.xxhash64("text").alias("_th"), F.col("text").alias("_text"))
     found = None
     for kind, pattern in PATTERNS.items():
-        pieces, matches = F.split("_text", pattern, -1), F.regexp_extract_all("_text", F.lit(pattern), 0)
-        zipped = F.element_at(
-            F.transform(
-                F.array(F.struct(pieces.alias("p"), matches.alias("m"))),
-                lambda x: F.transform(
-                    x["m"],
-                    lambda m, i: F.struct(
-                        F.length(F.get(x["p"], i)).alias("gap"), F.length(m).alias("len"), m.alias("value"),
-                        F.right(F.get(x["p"], i), F.lit(CONTEXT)).alias("left"), F.left(F.get(x["p"], i + 1), F.lit(CONTEXT)).alias("right"),
-                    ),
-                ),
-            ), 1,
-        )
-        rows = d.where(F.col("_text").rlike(HINTS[kind])).select("doc_id", "_th", F.posexplode(zipped).alias("_i", "_m")).select("doc_id", "_th", F.lit(kind).alias("kind"), "_i", "_m.*")
+        rows = _placed(d.where(F.col("_text").rlike(HINTS[kind])), pattern).withColumn("kind", F.lit(kind))
         found = rows if found is None else found.unionByName(rows)
-    found = found.dropDuplicates(["doc_id", "_th", "kind", "_i"])
-    upto = Window.partitionBy("doc_id", "_th", "kind").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.col("len")).over(upto)
-    found = found.withColumn("end", end.cast("bigint")).withColumn("start", F.col("end") - F.col("len"))
+    found = _ends(found.dropDuplicates(["doc_id", "_th", "kind", "_i"]), "kind")
     ok = F.lit(False)
     for kind in PATTERNS:
         ok = F.when(F.col("kind") == kind, _valid(kind, F.col("value"))).otherwise(ok)
-    return found.where(ok).select("doc_id", "_th", "kind", "start", "end", "value", "left", "right")
-
-
-def _terms(side: Column, origin: Column, cut_first: bool) -> Column:
-    """(term, start, end) of the whole words of a context; a word that the context's outer border may cut is left out."""
-    full = F.length(side) == CONTEXT
-    placed = F.aggregate(
-        F.arrays_zip(F.split(side, TERM, -1).alias("g"), F.regexp_extract_all(side, F.lit(TERM), 0).alias("w")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<term:string,start:bigint,end:bigint>>").alias("out")),
-        lambda a, x: F.when(x["w"].isNull(), a).otherwise(
-            F.struct(
-                (a["at"] + F.length(x["g"]) + F.length(x["w"])).alias("at"),
-                F.concat(a["out"], F.array(F.struct(lower_ascii(x["w"]).alias("term"), (origin + a["at"] + F.length(x["g"])).cast("bigint").alias("start"), (origin + a["at"] + F.length(x["g"]) + F.length(x["w"])).cast("bigint").alias("end")))).alias("out"),
-            )
-        ),
-        lambda a: a["out"],
-    )
-    inside = (lambda t: t["start"] > origin) if cut_first else (lambda t: t["end"] < origin + CONTEXT)
-    return F.when(full, F.filter(placed, inside)).otherwise(placed)
+    return found.where(ok).select("doc_id", "_th", "kind", "start", "end", "value")
+
+
+def _sent(df: DataFrame, rows: int, *texts: str) -> DataFrame:
+    """A written table, broadcast if its size allows that."""
+    return F.broadcast(df) if small(df, rows, *texts) else df
 
 
 def disclosing_terms(docs: DataFrame, spans: DataFrame, support: int = SUPPORT, certainty: float = CERTAINTY, bits: float = BITS, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
-    """(doc_id, _th, kind, start, end): words near an entity that reveal it, at their places."""
+    """(doc_id, _th, kind, start, end): all occurrences of words that reveal an entity."""
     entity = F.xxhash64("kind", F.when(F.col("kind").isin("card", "phone"), _digits(F.col("value"))).otherwise(lower_ascii(F.col("value"))))
-    sides = F.concat(_terms(F.col("left"), F.col("start") - F.length("left"), True), _terms(F.col("right"), F.col("end"), False))
-    near = written(spans.select("doc_id", "_th", entity.alias("_e"), F.explode(sides).alias("_t")).select("doc_id", "_th", "_e", "_t.*"), "near")
-    # Support counts different texts, as copies are no evidence; shares count documents.
-    pairs = near.select("_e", "term", "_th", "doc_id").distinct().groupBy("_e", "term", "_th").agg(F.count("*").alias("_n"))
+    of = written(spans.select(entity.alias("_e"), "_th", "doc_id").distinct(), "entities")
+    # An entity of fewer texts than the support cannot have a pair. Support counts different texts, as copies are no
+    # evidence; shares count documents.
+    per = of.groupBy("_e", "_th").agg(F.count("*").alias("_n")).groupBy("_e").agg(F.count("*").alias("_texts"), F.sum("_n").alias("_n_e"))
+    known = written(per.where(F.col("_texts") >= support).select("_e", "_n_e"), "known")
+    carriers = written(of.join(known.select(F.col("_e").alias("_k")), F.expr("_e = _k"), "left_semi").groupBy(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).agg(F.collect_list("_e").alias("_es")), "carriers")
+    inside = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("_th"), "text")
+    here = inside.join(_sent(carriers, broadcast_terms), F.expr("doc_id <=> _id and _th = _t"))
+    words = F.array_remove(F.array_distinct(F.split(lower_ascii(F.col("text")), NOT_TERM)), "")
+    pairs = here.dropDuplicates(["doc_id", "_th"]).select("_th", F.explode("_es").alias("_e"), words.alias("_w")).select("_th", "_e", F.explode("_w").alias("term"))
+    pairs = pairs.groupBy("_e", "term", "_th").agg(F.count("*").alias("_n"))
     pairs = pairs.groupBy("_e", "term").agg(F.count("*").alias("_texts"), F.sum("_n").alias("_n_et")).where(F.col("_texts") >= support)
     pairs = written(pairs, "pairs")
     terms = written(pairs.select("term").distinct(), "terms")
-    words = docs.where(F.col("text").isNotNull()).select(F.explode(F.array_distinct(F.split(lower_ascii(F.col("text")), NOT_TERM))).alias("term"))
-    if terms.count() <= broadcast_terms:
-        words = words.join(F.broadcast(terms), "term", "left_semi")
-    df = words.groupBy("term").agg(F.count("*").alias("_n_t"))
-    of = spans.select(entity.alias("_e"), "_th", "doc_id").distinct().groupBy("_e").agg(F.count("*").alias("_n_e"))
+    every = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("_th"), F.explode(words).alias("term"))
+    held = every.join(_sent(terms, broadcast_terms, "term"), "term", "left_semi")
+    df = held.groupBy("term").agg(F.count("*").alias("_n_t"))
     n = docs.where(F.col("text").isNotNull()).count()
     pmi = F.log2(F.col("_n_et") * float(n) / (F.col("_n_e") * F.col("_n_t")))
-    told = pairs.join(df, "term").join(of, "_e").where((F.col("_n_et") >= certainty * F.col("_n_t")) & (pmi >= bits)).select("_e", "term")
-    return near.join(told, ["_e", "term"], "left_semi").select("doc_id", "_th", F.lit("term").alias("kind"), "start", "end").distinct()
+    told = pairs.join(df, "term").join(known, "_e").where((F.col("_n_et") >= certainty * F.col("_n_t")) & (pmi >= bits))
+    told = written(told.select("term").distinct(), "told")
+    sent = _sent(told, broadcast_terms, "term")
+    marked = written(every.join(sent, "term", "left_semi").select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).distinct(), "marked")
+    texts = inside.withColumnRenamed("text", "_text").join(_sent(marked, broadcast_terms), F.expr("doc_id <=> _id and _th = _t"), "left_semi")
+    found = _ends(_placed(texts, TERM).dropDuplicates(["doc_id", "_th", "_i"])).withColumn("value", lower_ascii(F.col("value")))
+    return found.join(sent, F.expr("value = term"), "left_semi").select("doc_id", "_th", F.lit("term").alias("kind"), "start", "end")
 
 
 def all_spans(docs: DataFrame, support: int = SUPPORT, certainty: float = CERTAINTY, bits: float = BITS, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
@@ -129,11 +127,16 @@ def all_spans(docs: DataFrame, support: int = SUPPORT, certainty: float = CERTAI
     terms = disclosing_terms(docs, base, support, certainty, bits, broadcast_terms)
     both = base.select("doc_id", "_th", "kind", "start", "end").unionByName(terms)
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
-    got = both.groupBy("doc_id", "_th").agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "end"))).alias("_s"))
     is_term = len(KINDS)
-    got = got.withColumn("_base", F.filter("_s", lambda s: s["rank"] < is_term))
-    free = lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return got.withColumn("_all", F.filter("_s", lambda s: (s["rank"] < is_term) | free(s))).drop("_s")
+    of = Window.partitionBy("doc_id", "_th").orderBy("start", "rank", "end")
+    own = F.col("rank") < is_term
+    # A term within a base span is none of its own: the base spans before it must have ended, and the next one not begun.
+    reached = F.max(F.when(own, F.col("end"))).over(of.rowsBetween(Window.unboundedPreceding, 0))
+    follows = F.min(F.when(own, F.col("start"))).over(of.rowsBetween(0, Window.unboundedFollowing))
+    free = F.coalesce(reached <= F.col("start"), F.lit(True)) & F.coalesce(follows >= F.col("end"), F.lit(True))
+    both = both.withColumn("rank", rank).withColumn("_free", own | free).where("_free")
+    got = both.groupBy("doc_id", "_th").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "end"))).alias("_all"))
+    return got.withColumn("_base", F.filter("_all", lambda s: s["rank"] < is_term))
 
 
 def _joined(spans: Column) -> Column:

@@ -27,7 +27,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 #: Ids a segment holds, unless one document alone has more. Whole segments are coded in lockstep.
 SEGMENT_IDS = 8_000_000
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_CHUNK = re.compile(rf"[ \n]*[^ \n{_LETTER}]*[{_LETTER}]+|[ \n]*[^ \n{_LETTER}]+|[ \n]+")
+#: A letter before a character that may be a letter of another alphabet: only spaces part chunks there.
+_MAY_JOIN = re.compile(rf"[{_LETTER}][^\x00-\x7F{_LETTER}]")
+_WIDE_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
@@ -35,11 +39,12 @@ class Encoder:
     """``Tokenizer.encode`` of whole texts, with the ids of chunks remembered.
 
     The pre-tokenizer never joins characters across the border before a run of spaces and line feeds that
-    follows a visible character, so the ids of a text are those of its chunks. Texts with other white
+    follows a visible character, nor across that between a letter and what is none, and looks at nothing before a
+    border, so the ids of a text are those of its chunks. Texts with other white
     space or an added token are encoded whole. Ids are kept as the bytes of 32-bit integers, so that a text is a join.
     """
 
-    def __init__(self, path: str, remember: int = 250_000):
+    def __init__(self, path: str, remember: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -57,7 +62,8 @@ class Encoder:
             if t and (_OTHER_SPACE.search(t) or any(a in t for a in self.added)):
                 chunks.append(None)
                 continue
-            parts = _CHUNK.findall(t or "")
+            wide = t and not t.isascii() and _MAY_JOIN.search(t)
+            parts = (_WIDE_CHUNK if wide else _CHUNK).findall(t or "")
             chunks.append(parts)
             new |= set(parts).difference(self.known)
         fresh = list(new)

@@ -222,6 +222,39 @@ def test_disclosing_terms(spark):
     assert sorted(r.spans for r in big) == sorted(got[i].spans for i in range(4))
 
 
+def test_disclosing_terms_far_from_their_entity_against_brute_force(spark):
+    rng = np.random.default_rng(21)
+    fill = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(n))
+    rows = [(i, f"Krumplitz {fill(90)} spy@ring.org {fill(5)}") for i in range(5)]  # the name stands 500 characters away
+    rows += [(10, f"{fill(20)} krumplitz, {fill(10)}"), (11, fill(20)), (12, None), (13, ""), rows[0], (14, "x@y.org " + "spam " * 3000), (15, "x@y.org " * 400 + "spam")]
+    rows += [(20 + i, f"call 1.2.3.{i % 2} {fill(10)} Omega") for i in range(6)] + [(30 + i, "omega omega") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    word = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    base, terms = {}, {}
+    for i, t in rows:
+        base[i] = {m.group().lower() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|[0-9]+(?:\.[0-9]+){3}", t or "")}
+        terms[i] = {w.lower() for w in word.findall(t or "")}
+    told = set()
+    texts = [(i, t) for i, t in rows if t is not None]  # documents, copies too
+    for e in set().union(*base.values()):
+        of = [(i, t) for i, t in texts if e in base[i]]
+        for w in set().union(*(terms[i] for i, _ in of)):
+            both = [(i, t) for i, t in of if w in terms[i]]
+            held = sum(w in terms[i] for i, _ in texts)
+            if len({t for _, t in both}) >= 3 and len(both) >= 0.5 * held and math.log2(len(both) * len(texts) / len(of) / held) >= 1:
+                told.add(w)
+    assert "krumplitz" in told and "omega" not in told
+    got = sanitise.personal_data(df, bits=1.0).collect()
+    for r in got:
+        text = next(t for i, t in rows if i == r.doc_id) or ""
+        free = lambda m: not any(m.start() < b.end() and b.start() < m.end() for b in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|[0-9]+(?:\.[0-9]+){3}", text))  # noqa: B023, E731
+        want = [f"term:{m.start()}:{m.end()}" for m in word.finditer(text) if m.group().lower() in told and free(m)]
+        assert [s for s in r.spans.split(",") if s.startswith("term")] == want and r.n_term == len(want), r.doc_id
+    assert next(r for r in got if r.doc_id == 10).n_term == 1
+    many = sanitise.personal_data(df, bits=1.0, broadcast_terms=0).collect()
+    assert ordered(many) == ordered(got)
+
+
 @pytest.mark.parametrize("small", [{}, {"batch_tokens": 300, "shard_tokens": 900}])
 def test_language_model(docs, nothing, small):
     held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
@@ -339,6 +372,56 @@ def test_mixing(docs, nothing):
     assert mixing.taken(nothing).count() == mixing.mixed_documents(nothing).count() == 0
 
 
+def test_block_permutation(spark):
+    for n in (1, 2, 3, 5, 10, 577, 4096, 5000):
+        df = spark.range(3 * n).select(F.lit("a").alias("s"), F.col("id").alias("k"), F.lit(n).cast("bigint").alias("n"))
+        got = [r[0] for r in df.select(mixing.permuted(F.col("s"), F.col("k"), F.col("n"))).orderBy("k").collect()]
+        turns = [got[i : i + n] for i in range(0, 3 * n, n)]
+        assert all(sorted(t) == list(range(n)) for t in turns)
+        if n > 500:  # no stride, and another order each time
+            steps = collections.Counter(np.diff(turns[0]).tolist())
+            assert max(steps.values()) < 0.02 * n and turns[0] != turns[1]
+            assert abs(np.corrcoef(turns[0], np.arange(n))[0, 1]) < 0.15
+    big = 1 << 40
+    df = spark.range(2000).select(F.lit("a").alias("s"), (F.col("id") * 7 + big * 3 - 9000).alias("k"), F.lit(big).alias("n"))
+    got = [r[0] for r in df.select(mixing.permuted(F.col("s"), F.col("k"), F.col("n"))).collect()]
+    assert len(set(got)) == 2000 and all(0 <= x < big for x in got) and max(got) > big // 2
+
+
+def test_mix_is_its_draws_joined_to_the_blocks(docs):
+    """The words taken follow from slots and blocks, put together by hand."""
+    sized, wanted = mixing.plan(docs, 8)
+    slots = collections.Counter((r.source, r.block) for r in mixing.mixed_blocks(wanted).collect())
+    per = {r.source: r for r in wanted.collect()}
+    for s, r in per.items():
+        mine = {b: n for (o, b), n in slots.items() if o == s}
+        assert sum(mine.values()) == r.slots and all(0 <= b < r.n_blocks for b in mine)
+        assert not mine or max(mine.values()) - min(mine.get(b, 0) for b in range(r.n_blocks)) <= 1  # whole turns, and part of one
+    want, at = collections.Counter(), collections.Counter()
+    key = lambda r: (r.source is not None, r.source or "", r.doc_id is not None, r.doc_id or 0, r._th)
+    for r in sorted(sized.collect(), key=key):
+        for w in range(at[r.source], at[r.source] + r.size):
+            want[r.source, r.doc_id, r._th] += slots[r.source, w // 8]
+        at[r.source] += r.size
+    got = collections.Counter()
+    texts = {(r[0], r[3]): [] for r in ROWS}
+    for r in mixing.taken(docs, block=8).collect():
+        got[r.source, r.doc_id] += r.taken
+        texts[r.doc_id, r.source].append(r.size)
+    total = collections.Counter()
+    for (s, d, _), n in want.items():
+        total[s, d] += n
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in total.items() if v}
+
+
+def test_mixing_takes_ids_of_any_kind(spark):
+    rows = [(f"id-{i % 90}" if i % 3 else None, _prose(1 + i % 30), "a" if i % 4 else "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string").repartition(4)
+    got = mixing.taken(df, block=8)
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken", "source"] and got.count() == 300
+    assert got.agg(F.max(F.col("taken") - 3 * F.col("size"))).first()[0] <= 0
+
+
 def test_targets_stop_at_three_times(spark):
     df = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 0), ("d", 40)], "source string, size bigint")
     got = {r.source: r.target for r in mixing.targets(df).collect()}
@@ -392,6 +475,19 @@ def test_neighbours(spark):
     assert neighbours.nearest(spark.createDataFrame(rows[:4], df.schema)).count() == 3
 
 
+def test_neighbours_verify_a_fifth_of_a_block():
+    rng = np.random.default_rng(17)
+    x = rng.standard_normal((4096, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = neighbours.BlockIndex(np.arange(4096), x, neighbours.PROJECTIONS, neighbours.COLLISIONS, neighbours.SEED)
+    right = 0
+    for q in range(0, 4096, 200):
+        d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1)
+        want = set(sorted((i for i in range(4096) if i != q), key=lambda i: (d[i], i))[:10])
+        right += len(want & {i for i, _ in index.search(x[q].astype(float), q, 10)})
+    assert right >= 0.9 * 210 and index.verified < 0.25 * 21 * 4096
+
+
 def test_toxicity(spark, nothing):
     bad = ["scumbag", "idiotic", "moronish"]
     texts = [_prose(30) + (" " + " ".join(_rng.choice(bad, 1 + i % 6)) if i % 4 == 0 else "") for i in range(400)]
