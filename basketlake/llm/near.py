@@ -33,7 +33,7 @@ HASH_BITS = 40
 #: Counters of the sketch as a power of two, and its blocks.
 SKETCH_BITS, BLOCKS = 20, 16
 PARITIES = 512
-#: Prefix rows that one task takes, rows of a shingle above which it is dealt to cells, and pairs compared at once.
+#: Prefix rows that one task takes, rows of a shingle above which it is dealt to cells, and a quarter of the pairs held before they are made distinct.
 TASK_ROWS, HOT_ROWS, CELLS = 500_000, 20_000, 2_000_000
 #: Sets asked for are found by a broadcast up to this many ids of eight bytes, by a shuffle beyond.
 BROADCAST_IDS = 1_000_000
@@ -166,28 +166,31 @@ def _pivots(t: pa.Table) -> pa.Table:
 
 
 def _across(t: pa.Table) -> pa.Table:
-    """Pairs of different components at each shingle; in a cell of two salts only those of one and the other."""
-    (node, n, pos, root, salt, low, high), groups = _grouped(t, ["node", "n", "pos", "root", "salt", "low", "high"])
-    a, b = [], []
-    for s, e in groups:
-        if (root[s:e] == root[s]).all():
-            continue
-        i = s
-        while i < e - 1:
-            # Sizes rise: rows i..j are compared with what follows up to a quarter above the last of them.
-            j = min(e - 1, i + max(1, CELLS // (e - i)))
-            end = s + int(np.searchsorted(n[s:e], 5 * n[j - 1] // 4, side="right"))
-            r, c = slice(i, j), slice(i, end)
-            met = (root[r, None] != root[None, c]) & _may(n[r, None], pos[r, None], n[None, c], pos[None, c]) & (np.arange(i, j)[:, None] < np.arange(i, end)[None, :])
-            if low[s] != high[s]:
-                met &= salt[r, None] != salt[None, c]
-            x, y = np.nonzero(met)
-            a.append(node[i + x])
-            b.append(node[i + y])
-            i = j
-        if sum(map(len, a)) > 4 * CELLS:  # the same pairs meet at many shingles
+    """Pairs of different components at each shingle; in a cell of two salts only those of one and the other.
+
+    All shingles at once: each row meets the row that stands d places after it, for d = 1, 2, ..., as long as that is
+    of its shingle and at most a quarter larger. Sizes rise, so a row that is done stays so.
+    """
+    (shingle, node, n, pos, root, salt, low, high), groups = _grouped(t, ["shingle", "node", "n", "pos", "root", "salt", "low", "high"])
+    start = np.array([s for s, _ in groups], np.int64)
+    if not len(start):
+        return _pair_table([], [])
+    mixed = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
+    at = np.nonzero(np.repeat(mixed, np.diff(np.append(start, len(root)))))[0]
+    a, b, held, d = [], [], 0, 0
+    while len(at):
+        d += 1
+        at = at[at + d < len(n)]
+        other = at + d
+        on = (shingle[other] == shingle[at]) & (4 * n[other] <= 5 * n[at])
+        at, other = at[on], other[on]
+        met = (root[at] != root[other]) & _may(n[at], pos[at], n[other], pos[other]) & ((low[at] == high[at]) | (salt[at] != salt[other]))
+        a.append(node[at[met]])
+        b.append(node[other[met]])
+        held += len(a[-1])
+        if held > 4 * CELLS:  # the same pairs meet at many shingles
             done = _pair_table(a, b)
-            a, b = [done.column("a").to_numpy()], [done.column("b").to_numpy()]
+            a, b, held = [done.column("a").to_numpy()], [done.column("b").to_numpy()], 0
     return _pair_table(a, b)
 
 
