@@ -115,10 +115,24 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, support: int = SUPPORT,
     told = pairs.join(df, "term").join(known, "_e").where((F.col("_n_et") >= certainty * F.col("_n_t")) & (pmi >= bits))
     told = written(told.select("term").distinct(), "told")
     sent = _sent(told, broadcast_terms, "term")
-    marked = written(every.join(sent, "term", "left_semi").select(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).distinct(), "marked")
-    texts = inside.withColumnRenamed("text", "_text").join(_sent(marked, broadcast_terms), F.expr("doc_id <=> _id and _th = _t"), "left_semi")
-    found = _ends(_placed(texts, TERM).dropDuplicates(["doc_id", "_th", "_i"])).withColumn("value", lower_ascii(F.col("value")))
-    return found.join(sent, F.expr("value = term"), "left_semi").select("doc_id", "_th", F.lit("term").alias("kind"), "start", "end")
+    marked = every.join(sent, "term", "left_semi").groupBy(F.col("doc_id").alias("_id"), F.col("_th").alias("_t")).agg(F.collect_set("term").alias("_told"))
+    marked = written(marked.withColumn("_joined", F.array_join("_told", " ")), "marked")
+    keys = F.broadcast(marked) if small(marked, broadcast_terms, "_joined") else marked
+    texts = inside.join(keys.drop("_joined"), F.expr("doc_id <=> _id and _th = _t")).select("doc_id", "_th", F.col("text").alias("_text"), "_told")
+    # Places are summed up within the row, and only the disclosing words leave it.
+    words = F.arrays_zip(F.split("_text", TERM, -1).alias("g"), F.regexp_extract_all("_text", F.lit(TERM), 0).alias("w"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def step(state: Column, x: Column) -> Column:
+        begin = state["at"] + F.length(x["g"])
+        end = begin + F.coalesce(F.length(x["w"]), F.lit(0))
+        told_here = F.coalesce(F.array_contains("_told", lower_ascii(x["w"])), F.lit(False))
+        return F.struct(end.alias("at"), F.when(told_here, F.concat(state["out"], F.array(F.struct(begin.alias("start"), end.alias("end"))))).otherwise(state["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+    spans_of = F.aggregate(words, start, step, lambda state: state["out"])
+    found = texts.select("doc_id", "_th", F.explode(spans_of).alias("_s")).select("doc_id", "_th", F.lit("term").alias("kind"), "_s.start", "_s.end")
+    return found.distinct()
 
 
 def all_spans(docs: DataFrame, support: int = SUPPORT, certainty: float = CERTAINTY, bits: float = BITS, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
