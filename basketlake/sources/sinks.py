@@ -185,7 +185,9 @@ def _upsert_buckets(spark, path: str, updates: DataFrame, keys: list[str], newes
     existing = _read_folders(spark, root, [gens[0][1] for gens in folders.values()], plain.schema)
     merged = merge_keyed(existing, plain, keys).withColumn("bucket", _bucket_of(keys, n))
     # A number no folder has yet: what a broken run left is never taken for a later one's.
-    used = [int(g.split("=")[1]) for b in touched for g in names_in(spark, f"{root}/bucket={b}") if g.startswith("generation=")]
+    # All buckets count: the new mark would finish its folders in buckets that this run does not touch, too.
+    every = [b for b in names_in(spark, root) if b.startswith("bucket=")]
+    used = [int(g.split("=")[1]) for b in every for g in names_in(spark, f"{root}/{b}") if g.startswith("generation=")]
     generation = max([0, *used, *_generations(spark, root)]) + 1
     seen = Observation()
     out = merged.withColumn("generation", F.lit(generation)).observe(seen, F.count(F.lit(1)).alias("rows"))

@@ -176,6 +176,17 @@ def files_of(folder):
     return {str(p.relative_to(folder)): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
 
 
+def test_a_broken_generation_of_an_untouched_bucket_stays_unread(spark, tmp_path):
+    path, schema = str(tmp_path / "kv"), "k int, v int"
+    sinks.upsert_keyed(spark, path, spark.createDataFrame([(k, 0) for k in range(200)], schema), ["k"], buckets=4)
+    sinks.upsert_keyed(spark, path, spark.createDataFrame([(7, 1)], schema), ["k"])
+    touched = next((tmp_path / "kv" / "buckets-4").glob("bucket=*/generation=2")).parent.name
+    other = next(b for b in (f"bucket={i}" for i in range(4)) if b != touched)
+    spark.createDataFrame([(7, 9)], schema).write.parquet(str(tmp_path / "kv" / "buckets-4" / other / "generation=3"))
+    sinks.upsert_keyed(spark, path, spark.createDataFrame([(7, 2)], schema), ["k"])
+    assert {r.k: r.v for r in sinks.read_table(spark, path).collect()} == {**{k: 0 for k in range(200)}, 7: 2}
+
+
 def test_bucket_upsert_leaves_the_files_of_other_buckets(spark, tmp_path):
     path, schema = str(tmp_path / "kv"), "k int, v int, at int"
     start = [(k, 0, 0) for k in range(2000)]
