@@ -7,6 +7,7 @@ written and read by Spark wherever the cluster keeps its files.
 
 from __future__ import annotations
 
+import array
 import functools
 import os
 import re
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,54 +29,130 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 #: Ids a segment holds, unless one document alone has more. Whole segments are coded in lockstep.
 SEGMENT_IDS = 8_000_000
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_CHUNK = re.compile(rf"[ \n]*[^ \n{_LETTER}]*[{_LETTER}]+|[ \n]*[^ \n{_LETTER}]+|[ \n]+")
-#: A letter before a character that may be a letter of another alphabet: only spaces part chunks there.
-_MAY_JOIN = re.compile(rf"[{_LETTER}][^\x00-\x7F{_LETTER}]")
-_WIDE_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: Bytes of texts that are cut into chunks and looked up at a time, unless one text alone has more.
+SLICE_BYTES = 2 << 20
+#: Classes of bytes: white space that parts chunks, letters, other visible ASCII, and first bytes of what may be other white space.
+_SPACE, _LETTER, _SIGN, _RARE = 1, 2, 4, 8
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3]] = _RARE
+_CLASS[[10, 32]] = _SPACE
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_CLASS[[i for i in range(33, 127) if not chr(i).isalpha()]] = _SIGN
+#: Chunks that may stand in one text with others.
+_JOINS = re.compile(rb"[\n !-~\xC3].{0,62}[!-~]|[!-~]", re.DOTALL)
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
+def _borders(data: np.ndarray) -> np.ndarray:
+    """Before which bytes of UTF-8 text a chunk begins, the first one left out.
+
+    No piece of the pre-tokenizer reaches across these borders, nor looks at what is before them: before white space that
+    follows a visible character, after a line feed that stands alone, and between an ASCII letter, or one of two bytes from C3,
+    and another visible ASCII character, except between an apostrophe and a letter. Only spaces and line feeds may be white space.
+    """
+    kind = _CLASS[data]
+    before, after = kind[:-1], kind[1:]
+    latin = np.zeros(len(data), bool)
+    # A second byte after C3 ends a letter, the signs of times (97) and division (B7) left out.
+    np.logical_and(data[:-1] == 0xC3, (data[1:] & 0xDF) != 0x97, out=latin[1:])
+    space, letter = kind == _SPACE, kind == _LETTER
+    sign = kind == _SIGN
+    cut = space[1:] & ~space[:-1]
+    cut[1:] |= (data[1:-1] == 10) & ~space[2:] & ~space[:-2]
+    cut |= (letter | latin)[:-1] & sign[1:]
+    cut |= sign[:-1] & letter[1:] & (data[:-1] != 39)
+    return cut
+
+
 class Encoder:
-    """``Tokenizer.encode`` of whole texts, with the ids of chunks remembered.
+    """``Tokenizer.encode`` of whole texts, with the ids of short chunks that recur remembered.
 
-    The pre-tokenizer never joins characters across the border before a run of spaces and line feeds that
-    follows a visible character, nor across that between a letter and what is none, and looks at nothing before a
-    border, so the ids of a text are those of its chunks. Texts with other white
-    space or an added token are encoded whole. Ids are kept as the bytes of 32-bit integers, so that a text is a join.
+    Texts are cut by numpy and Arrow at borders that the pre-tokenizer never crosses, so the ids of a text are those
+    of its chunks; every different chunk of a slice is looked up once, and the library encodes those not met before. A text
+    with other white space or an added token is one chunk. Ids are kept as the bytes of 32-bit integers.
     """
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 200_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.remember = remember
+        # Tokens are written with one character a byte.
+        self.widths = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.widths[i] = len(token)
+        self.known: dict[bytes, bytes] = {}
+        self.remember, self.longest = remember, longest
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _encode(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of some chunks. Those with visible ends are encoded as one text, apart by white space, and told apart by the bytes that ids stand for."""
+        out: list[bytes] = [b""] * len(chunks)
+        joined = [i for i, c in enumerate(chunks) if _JOINS.fullmatch(c)]
+        alone = sorted({*range(len(chunks))}.difference(joined))
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast([chunks[i].decode() for i in alone], add_special_tokens=False), strict=True):
+            out[i] = array.array("I", e.ids).tobytes()
+        if joined:
+            # A line feed before a chunk that begins with no white space is one id, which is skipped.
+            skip = np.array([chunks[i][0] > 32 for i in joined])
+            parts = [b"\n" + chunks[i] if s else chunks[i] for i, s in zip(joined, skip.tolist(), strict=True)]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(parts).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum([len(p) for p in parts])
+            at = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1
+            data, last = ids.tobytes(), (at * 4).tolist()
+            first = (4 * (np.append(0, at[:-1]) + skip)).tolist()
+            for i, a, b in zip(joined, first, last, strict=True):
+                out[i] = data[a:b]
+        return out
+
+    def _ids(self, chunks: list[bytes], often: np.ndarray) -> list[bytes]:
+        found = [*map(self.known.get, chunks)]
+        new = [i for i, x in enumerate(found) if x is None]
         if len(self.known) > self.remember:
             self.known.clear()
-        chunks: list[list[str] | None] = []
-        new: set[str] = set()
-        for t in texts:
-            if t and (_OTHER_SPACE.search(t) or any(a in t for a in self.added)):
-                chunks.append(None)
-                continue
-            wide = t and not t.isascii() and _MAY_JOIN.search(t)
-            parts = (_WIDE_CHUNK if wide else _CHUNK).findall(t or "")
-            chunks.append(parts)
-            new |= set(parts).difference(self.known)
-        fresh = list(new)
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            self.known.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        find = self.known.__getitem__
-        return [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") if parts is None else np.frombuffer(b"".join(map(find, parts)), "<u4")
-            for t, parts in zip(texts, chunks, strict=True)
-        ]
+        for i in range(0, len(new), 5_000):
+            part = new[i : i + 5_000]
+            keys = [chunks[k] for k in part]
+            ids = self._encode(keys)
+            for k, x in zip(part, ids, strict=True):
+                found[k] = x
+            self.known.update((k, x) for k, x, o in zip(keys, ids, often[part].tolist(), strict=True) if o and len(k) <= self.longest)
+        return found
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, how many of them each has); null has none."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]] if len(texts) else np.zeros(0, np.uint8)
+        ends = ends - ends[0]
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
+        begins = np.zeros(len(data), bool)
+        begins[1:] = _borders(data)
+        begins[ends[:-1][ends[:-1] < len(data)]] = True
+        rare = np.unique(np.searchsorted(ends, np.flatnonzero(_CLASS[data] == _RARE), side="right") - 1).tolist()
+        whole = {i for i in rare if _OTHER_SPACE.search(texts[i].as_py())}
+        for a in self.added:
+            whole.update(np.flatnonzero(pc.match_substring(texts, a).to_numpy(zero_copy_only=False)).tolist())
+        for i in whole:
+            begins[ends[i] + 1 : ends[i + 1]] = False
+        starts = np.flatnonzero(begins)
+        at = np.append(starts, len(data))
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data)]).dictionary_encode()
+        often = np.bincount(chunks.indices.to_numpy()) > 1
+        out = pa.array(self._ids(chunks.dictionary.to_pylist(), often), pa.large_binary()).take(chunks.indices)
+        bounds = np.frombuffer(out.buffers()[1], np.int64)[: len(starts) + 1] >> 2
+        ids = np.frombuffer(out.buffers()[2] or b"", "<u4")[: bounds[-1]]
+        return ids, np.diff(bounds[np.searchsorted(at, ends)])
+
+    def slices(self, texts: pa.Array, slice_bytes: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same, some texts at a time."""
+        sizes = np.cumsum(np.append(0, pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)))
+        i = 0
+        while i < len(texts):
+            n = max(1, int(np.searchsorted(sizes, sizes[i] + slice_bytes, side="right")) - 1 - i)
+            yield self(texts.slice(i, n))
+            i += n
 
 
 @functools.cache
@@ -86,15 +164,17 @@ def encoder(path: str) -> Encoder:
 def _segments(path: str, end_id: int, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, before = encoder(path), TaskContext.get().partitionId(), 0
+        width = np.min_scalar_type(max(len(encode.widths) - 1, end_id))
         docs: list = []
         ids: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         held = 0
 
         def flush():
-            nonlocal docs, ids, held, before
-            every = np.concatenate(ids)
+            nonlocal docs, ids, sizes, held, before
+            every, lens = np.concatenate(ids), np.concatenate(sizes)
+            ids = []
             model, blocks = rangecoder.encode(every)
-            lens = [len(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([len(every)], pa.int64()), pa.array([docs], pa.list_(kind)), pa.array([lens], pa.list_(pa.int64())),
@@ -103,18 +183,28 @@ def _segments(path: str, end_id: int, segment_ids: int):
                 ["part", "before", "n_ids", "doc_ids", "n_tokens", "block_ids", "block_crc", "blocks", "model"],
             )
             before += len(every)
-            docs, ids, held = [], [], 0
+            docs, ids, sizes, held = [], [], [], 0
 
         for b in batches:
-            kind = b.schema.field(0).type
-            for i in range(0, b.num_rows, 64):
-                rows = b.slice(i, 64)
-                for d, x in zip(rows.column(0).to_pylist(), encode(rows.column(1).to_pylist()), strict=True):
-                    if docs and held + len(x) + 1 > segment_ids:
-                        yield from flush()
-                    docs.append(d)
-                    ids.append(np.append(x, np.array([end_id], x.dtype)))
-                    held += len(x) + 1
+            kind, row = b.schema.field(0).type, 0
+            for x, lens in encode.slices(b.column(1)):
+                # With the end ids: one after each text.
+                x, lens = np.insert(x.astype(width), np.cumsum(lens), end_id), lens + 1
+                ends, first = np.cumsum(lens), 0
+                while first < len(lens):
+                    begin = int(ends[first] - lens[first])
+                    n = int(np.searchsorted(ends, begin + segment_ids - held, side="right")) - first
+                    if n <= 0:
+                        if docs:
+                            yield from flush()
+                            continue
+                        n = 1
+                    docs += b.column(0).slice(row + first, n).to_pylist()
+                    sizes.append(lens[first : first + n])
+                    ids.append(x[begin : ends[first + n - 1]])
+                    held += int(ends[first + n - 1]) - begin
+                    first += n
+                row += len(lens)
         if docs:
             yield from flush()
 

@@ -6,9 +6,11 @@ import collections
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -440,6 +442,50 @@ def test_tokens(docs, nothing):
     assert tokens.token_digest(nothing).count() == 0
 
 
+def test_chunks_have_the_ids_of_whole_texts():
+    rng, encode = np.random.default_rng(11), tokens.Encoder(tokens.TOKENIZER, remember=50)
+    few = [*"abzAZ \n09'.,!-", "'s", "'re", " '", "\n\n"]
+    many = [*few, *"\t\r\x1c\x00\x7f\x85\xa0\xad\xb2\xb5\xd7\xf7\xe9\xff\u0131\u03c9\u0416\u0301\u2003\u200b\u3000\u4e2d", "\U0001f642", "<|endoftext|>", "<|"]
+    texts = [*("".join(rng.choice(few if i % 3 else many, rng.integers(0, 40))) for i in range(6000)), None, "", " ", "x" * 200, "\tno\xa0", "'s"]
+    for size in (1, 5000, 1 << 20):
+        got = [*encode.slices(pa.array(["cut off", *texts], pa.string()).slice(1), size)]
+        ids, ends = np.concatenate([x for x, _ in got]), np.cumsum(np.concatenate([n for _, n in got]))
+        assert len(ends) == len(texts) and len(ids) == ends[-1]
+        for t, x in zip(texts, np.split(ids, ends[:-1]), strict=True):
+            assert x.tolist() == encode.tokenizer.encode(t or "", add_special_tokens=False).ids, t
+
+
+@pytest.mark.parametrize("segment", [7, 100, 10**6])
+def test_segments_hold_whole_documents(docs, segment, tmp_path):
+    tokens.write_tokens(docs, str(tmp_path / "t"), segment_ids=segment)
+    rows = docs.sparkSession.read.parquet(str(tmp_path / "t")).collect()
+    assert sum(len(r.doc_ids) for r in rows) == docs.count()
+    assert all(r.n_ids == sum(r.n_tokens) and (r.n_ids <= segment or len(r.doc_ids) == 1) for r in rows)
+
+
+def test_coder_takes_one_symbol_and_few_bytes_an_id():
+    x = np.minimum(np.random.default_rng(11).zipf(1.2, 300 * rangecoder.BLOCK), 50_000).astype("<u4")
+    calls = []
+
+    class Writer(rangecoder._Writer):
+        def take(self, n, cum, freq):
+            calls.append(n)
+            super().take(n, cum, freq)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(rangecoder, "_Writer", Writer)
+        model, blocks = rangecoder.encode(x)
+    assert len(calls) == rangecoder.BLOCK and sum(calls) == len(x)
+    # Beside the ids: numpy tells tracemalloc of all it takes.
+    peaks = []
+    for work in (lambda: rangecoder.encode(x), lambda: rangecoder.decode(model, blocks)):
+        tracemalloc.start()
+        work()
+        peaks.append(tracemalloc.get_traced_memory()[1] / len(x))
+        tracemalloc.stop()
+    assert max(peaks) < 16, peaks
+
+
 def test_range_coder():
     skewed = np.minimum(_rng.zipf(1.2, 60_000), 50_000)
     for x in (np.zeros(0, np.int64), np.array([5]), _rng.integers(0, 65_535, 9000), np.full(5000, 7), np.tile(np.arange(90), 100), skewed, np.repeat(skewed[:9000], 7), _rng.integers(0, 10**6, 30_000), np.array([2**32 - 1, 0, 2**31])):
