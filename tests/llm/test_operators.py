@@ -278,6 +278,30 @@ def test_language_model(docs, nothing, small):
     assert lm.scores(nothing).count() == 0
 
 
+def test_the_trie_holds_every_pair_of_training(monkeypatch):
+    rows = [(i, _PAIRS[i % 3]) for i in range(60)]
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    want = {(a, b) for d, t in rows if not held(d) for a, b in zip(["<s>", *t.split()], [*t.split(), "</s>"], strict=True)}
+    monkeypatch.setattr(lm.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    rb = pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows])})
+    (batch,) = lm._tokenise(10**6)(iter([rb]))
+    tokens_ = batch.column("tokens")[0].as_py()
+    (asked,) = lm._ask_words(1)(iter([batch.select(["batch", "hashes", "counts"])]))
+    words_ = lm._answer_words(1, tokens_ // lm.TOP)(pa.table(asked))
+    n, v = words_.column("n")[0].as_py(), words_.column("v")[0].as_py()
+    top = np.array(sorted(np.int64(x["word"]).view(np.uint64) for x in words_.column("top")[0].as_py()), np.uint64)
+    assert len(top) == v  # all words are frequent ones here
+    messages = lm._batch_pairs(1, n, v, top, pa.int64(), True)(pa.table(batch), words_.slice(1))
+    built = []
+    build = lm.build_level
+    monkeypatch.setattr(lm, "build_level", lambda *a: built.append(build(*a)) or built[-1])
+    lm._answer_pairs(lm.MU)(messages)
+    assert [level.followers.n for level in built] == [len(want)]
+
+
+_PAIRS = ["a b c a c b b", "c c a d", "d b a"]
+
+
 def test_trie(tmp_path):
     for n, u in ((0, 10), (1, 1), (5, 3), (800, 500), (800, 10**12)):
         x = np.sort(_rng.integers(0, u, n)).astype(np.uint64)
