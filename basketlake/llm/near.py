@@ -4,7 +4,7 @@ Candidates come from two sides. Fingerprints of the shingles that meet at an anc
 ones. Prefix filtering gives the rest: the shingles of a text are put in one order for all texts, rare ones first, and
 texts at similarity 0.8 or more share one of the first ``n - ceil(0.8 n) + 1``. Every candidate is verified on
 whole sets. Links that cannot change a component are not looked for: texts at a shingle are first compared with one of
-them, and then only across components.
+them, then each with one of another component, and last all across components.
 
 Sets differ by at least as many shingles as the parities of their shingles' bits do, which settles most pairs
 without their sets; a set travels only for the others. Rarity is the class of a count in a sketch of fixed size: any fixed
@@ -38,6 +38,7 @@ TASK_ROWS, HOT_ROWS, CELLS = 500_000, 20_000, 2_000_000
 #: Sets asked for are found by a broadcast up to this many ids of eight bytes, by a shuffle beyond.
 BROADCAST_IDS = 1_000_000
 _MEET = "task int, shingle bigint, salts int, node bigint, n int, pos int"
+_OPEN_TYPES = [("task", pa.int32()), ("shingle", pa.int64()), ("salts", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("other", pa.int64())]
 
 
 def _buckets(h: np.ndarray) -> np.ndarray:
@@ -165,16 +166,45 @@ def _pivots(t: pa.Table) -> pa.Table:
     return _pair_table(a, b)
 
 
+def _open(t: pa.Table) -> pa.Table:
+    """The rows that another component's row of fitting size meets at their shingle, and for each such a row, drawn by hash, if it may be like it.
+
+    All rows of shingles that are dealt to cells stay, as the others of their shingle are not all here.
+    """
+    (task, shingle, salts, node, n, pos, root), _ = _grouped(t, ["task", "shingle", "salts", "node", "n", "pos", "root"])
+    order = np.lexsort((node, root, n, shingle))
+    shingle, salts, node, n, pos, root = (x[order] for x in (shingle, salts, node, n, pos, root))
+    at = np.arange(len(n))
+    if not len(n):
+        return pa.table({c: pa.array([], k) for c, k in _OPEN_TYPES})
+    first = np.append(True, shingle[1:] != shingle[:-1])
+    # Where the rows of fitting size begin and end, and those of the own component around each row.
+    key = ((np.cumsum(first) - 1) << 32) + n
+    low, high = np.searchsorted(key, key - n + -(-4 * n // 5)), np.searchsorted(key, key - n + 5 * n // 4, side="right")
+    run = np.flatnonzero(first | np.append(True, root[1:] != root[:-1]))
+    of = np.searchsorted(run, at, side="right") - 1
+    before, after = np.maximum(run[of] - low, 0), np.maximum(high - np.append(run[1:], len(n))[of], 0)
+    keep = np.flatnonzero((before + after > 0) | (salts > 1))
+    drawn = (node.view(np.uint64) ^ shingle.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    drawn = (drawn % np.maximum(before + after, 1).astype(np.uint64)).astype(np.int64)
+    other = np.minimum(np.where(drawn < before, low + drawn, high - 1 - (drawn - before)), len(n) - 1)
+    tried = (before + after > 0) & (root != root[other]) & _may(n, pos, n[other], pos[other])
+    columns = [task[:1].repeat(len(keep)), shingle[keep], salts[keep], node[keep], n[keep], pos[keep]]
+    return pa.table([*(pa.array(x, k) for x, (_, k) in zip(columns, _OPEN_TYPES, strict=False)), pa.array(node[other[keep]], pa.int64(), mask=~tried[keep])], names=[c for c, _ in _OPEN_TYPES])
+
+
 def _across(t: pa.Table) -> pa.Table:
-    """Pairs of different components at each shingle; in a cell of two salts only those of one and the other.
+    """Pairs of different components at each shingle that parities leave; in a cell of two salts only those of one and the other.
 
     All shingles at once: each row meets the row that stands d places after it, for d = 1, 2, ..., as long as that is
     of its shingle and at most a quarter larger. Sizes rise, so a row that is done stays so.
     """
-    (shingle, node, n, pos, root, salt, low, high), groups = _grouped(t, ["shingle", "node", "n", "pos", "root", "salt", "low", "high"])
+    t = t.append_column("row", pa.array(np.arange(t.num_rows)))
+    (shingle, node, n, pos, root, salt, low, high, row), groups = _grouped(t, ["shingle", "node", "n", "pos", "root", "salt", "low", "high", "row"])
     start = np.array([s for s, _ in groups], np.int64)
     if not len(start):
         return _pair_table([], [])
+    parity = np.frombuffer(b"".join(t.column("parity").to_pylist()), np.uint64).reshape(-1, PARITIES // 64)
     mixed = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
     at = np.nonzero(np.repeat(mixed, np.diff(np.append(start, len(root)))))[0]
     a, b, held, d = [], [], 0, 0
@@ -185,8 +215,10 @@ def _across(t: pa.Table) -> pa.Table:
         on = (shingle[other] == shingle[at]) & (4 * n[other] <= 5 * n[at])
         at, other = at[on], other[on]
         met = (root[at] != root[other]) & _may(n[at], pos[at], n[other], pos[other]) & ((low[at] == high[at]) | (salt[at] != salt[other]))
-        a.append(node[at[met]])
-        b.append(node[other[met]])
+        x, y = at[met], other[met]
+        met = _parity_may(parity[row[x]], parity[row[y]], n[x] + n[y])
+        a.append(node[x[met]])
+        b.append(node[y[met]])
         held += len(a[-1])
         if held > 4 * CELLS:  # the same pairs meet at many shingles
             done = _pair_table(a, b)
@@ -194,11 +226,16 @@ def _across(t: pa.Table) -> pa.Table:
     return _pair_table(a, b)
 
 
+def _parity_may(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether sets of these parities and sum of sizes may be at similarity 0.8: they differ by a ninth of the sum at most."""
+    return 9 * np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= n
+
+
 def _near_parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, PARITIES // 64) for c in ("pa", "pb"))
         n = b.column("na").to_numpy().astype(np.int64) + b.column("nb").to_numpy()
-        yield b.select(["a", "b"]).filter(pa.array(9 * np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= n))
+        yield b.select(["a", "b"]).filter(pa.array(_parity_may(x, y, n)))
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +290,15 @@ def clusters(docs: DataFrame) -> DataFrame:
     links = _verified(pivots.unionByName(from_prints), rows, nodes)
     roots = written(components(links).select(F.col("node").alias("_node"), "root"), "near-first-roots")
 
-    rest = meet.join(roots, F.expr("node = _node"), "left").select("task", "shingle", "salts", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+    # Large groups of near copies grow together through one other row for each that meets any, before all pairs across components are looked at.
+    rooted = meet.join(roots, F.expr("node = _node"), "left").select("task", "shingle", "salts", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+    left = written(rooted.groupBy("task").applyInArrow(_open, _MEET + ", other bigint"), "near-open")
+    tried = left.where("other is not null").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    links = written(links.unionByName(_verified(tried, rows, nodes)), "near-grown-links")
+    roots = written(components(links).select(F.col("node").alias("_node"), "root"), "near-grown-roots")
+
+    bits = nodes.select(F.col("node").alias("_k"), "parity")
+    rest = left.join(roots, F.expr("node = _node"), "left").join(bits, F.expr("node = _k")).select("task", "shingle", "salts", "node", "n", "pos", F.coalesce("root", "node").alias("root"), "parity")
     salt = F.pmod(F.pmod("node", F.lit(1 << 30)), "salts").cast("int")
     salted = rest.withColumn("salt", salt).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     cells = salted.withColumn("low", F.least("salt", "_other")).withColumn("high", F.greatest("salt", "_other"))
@@ -265,7 +310,7 @@ def clusters(docs: DataFrame) -> DataFrame:
     both = written(links.unionByName(more), "near-all-links")
     roots = written(components(both).select(F.col("node").alias("_node"), "root"), "near-roots")
     out = written(rows.select("doc_id", "_th", "node").join(roots, F.expr("node = _node"), "left").select("doc_id", "_th", F.coalesce("root", "node").alias("root")), "near-clusters")
-    discard(rows, nodes, meet, links, more, both, roots)
+    discard(rows, nodes, meet, left, links, more, both, roots)
     return out
 
 

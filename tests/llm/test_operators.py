@@ -152,6 +152,27 @@ def test_near_copies_at_one_shingle_of_many_texts(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(50_000))
 
 
+def test_near_copies_of_one_text_make_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    base, rows = [f"w{x}" for x in rng.integers(0, 5_000, 150)], []
+    for i in range(400):  # most are alike, through others all are
+        other = list(base)
+        for at in rng.integers(0, 150, 2 + i % 3):
+            other[at] = "changed" + str(rng.integers(0, 10**9))
+        rows.append((i, " ".join(other)))
+    made, verified = [], near._verified
+    monkeypatch.setattr(near, "_verified", lambda pairs, *more: (made.append(pairs.distinct().count()), verified(pairs, *more))[1])
+    got = {r.doc_id: r.root for r in near.clusters(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    label = list(range(400))
+    for i in range(400):
+        for j in range(i):
+            if label[i] != label[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                label = [label[i] if x == label[j] else x for x in label]
+    assert len(set(got.values())) == len(set(label)) == len({(got[i], label[i]) for i in range(400)})
+    assert sum(made) < 20 * 400
+
+
 BENCH = [(1, ITEM), (10, "Short item"), (2, None), (3, "..."), (4, PASSAGE), (None, _prose(20)), (1, ITEM)]
 
 
