@@ -72,7 +72,7 @@ class Encoder:
     with other white space or an added token is one chunk. Ids are kept as the bytes of 32-bit integers.
     """
 
-    def __init__(self, path: str, remember: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, remember: int = 300_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -82,7 +82,9 @@ class Encoder:
         self.widths = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.widths[i] = len(token)
+        #: Chunks met since the last turn, and before it: those not met again in as many others are forgotten.
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.remember, self.longest = remember, longest
 
     def _encode(self, chunks: list[bytes]) -> list[bytes]:
@@ -105,18 +107,25 @@ class Encoder:
                 out[i] = data[a:b]
         return out
 
-    def _ids(self, chunks: list[bytes], often: np.ndarray) -> list[bytes]:
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
         found = [*map(self.known.get, chunks)]
-        new = [i for i, x in enumerate(found) if x is None]
-        if len(self.known) > self.remember:
-            self.known.clear()
-        for i in range(0, len(new), 5_000):
-            part = new[i : i + 5_000]
-            keys = [chunks[k] for k in part]
+        missed = [i for i, x in enumerate(found) if x is None]
+        again = [*map(self.before.get, [chunks[i] for i in missed])]
+        new = []
+        for i, x in zip(missed, again, strict=True):
+            if x is None:
+                new.append(i)
+            else:
+                found[i] = self.known[chunks[i]] = x
+        for k in range(0, len(new), 5_000):
+            part = new[k : k + 5_000]
+            keys = [chunks[i] for i in part]
             ids = self._encode(keys)
-            for k, x in zip(part, ids, strict=True):
-                found[k] = x
-            self.known.update((k, x) for k, x, o in zip(keys, ids, often[part].tolist(), strict=True) if o and len(k) <= self.longest)
+            for i, x in zip(part, ids, strict=True):
+                found[i] = x
+            self.known.update((c, x) for c, x in zip(keys, ids, strict=True) if len(c) <= self.longest)
+            if len(self.known) > self.remember:
+                self.known, self.before = {}, self.known
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +148,7 @@ class Encoder:
         starts = np.flatnonzero(begins)
         at = np.append(starts, len(data))
         chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data)]).dictionary_encode()
-        often = np.bincount(chunks.indices.to_numpy()) > 1
-        out = pa.array(self._ids(chunks.dictionary.to_pylist(), often), pa.large_binary()).take(chunks.indices)
+        out = pa.array(self._ids(chunks.dictionary.to_pylist()), pa.large_binary()).take(chunks.indices)
         bounds = np.frombuffer(out.buffers()[1], np.int64)[: len(starts) + 1] >> 2
         ids = np.frombuffer(out.buffers()[2] or b"", "<u4")[: bounds[-1]]
         return ids, np.diff(bounds[np.searchsorted(at, ends)])

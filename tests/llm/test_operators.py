@@ -487,6 +487,17 @@ def test_tokens(docs, nothing):
     assert tokens.token_digest(nothing).count() == 0
 
 
+def test_chunks_met_once_a_slice_are_remembered():
+    encode = tokens.Encoder(tokens.TOKENIZER, remember=8)
+    asked, library = [], encode._encode
+    encode._encode = lambda chunks: (asked.extend(chunks), library(chunks))[1]
+    for text in ("aqua bello", "bello corvus", "aqua corvus", *(f"w{'x' * i} aqua" for i in range(40)), "aqua"):
+        ids, sizes = encode(pa.array([text]))
+        assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids and sizes.tolist() == [len(ids)]
+        assert len(encode.known) <= 8 and len(encode.before) <= 9
+    assert asked.count(b" corvus") == asked.count(b" aqua") == 1  # met again often enough to stay
+
+
 def test_chunks_have_the_ids_of_whole_texts():
     rng, encode = np.random.default_rng(11), tokens.Encoder(tokens.TOKENIZER, remember=50)
     few = [*"abzAZ \n09'.,!-", "'s", "'re", " '", "\n\n"]
