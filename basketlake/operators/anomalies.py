@@ -295,8 +295,8 @@ def keep_acknowledgement(found: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def acknowledge_anomaly(anomalies: DataFrame, day, metric: str, by: str = "analyst", at=None) -> DataFrame:
-    """Marks one (day, metric) as acknowledged; every other row passes through."""
-    hit = (F.col("anomaly_date") == F.lit(str(day)).cast("date")) & (F.col("metric_name") == metric)
+    """Marks one (day, metric) as acknowledged; every other row passes through, as do all where ``day`` is None."""
+    hit = (F.col("anomaly_date") == F.lit(None if day is None else str(day)).cast("date")) & (F.col("metric_name") == metric)
     now = F.localtimestamp() if at is None else F.lit(str(at)).cast("timestamp_ntz")
     keep = lambda new, old: F.when(hit, new).otherwise(F.col(old))
     return (

@@ -1,12 +1,14 @@
 import datetime as dt
 import math
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from basketlake.operators import anomalies, forecast, series
+from checks import catalog
 from tests.conftest import rows
 
 START = dt.date(2024, 1, 1)
@@ -153,6 +155,15 @@ def test_acknowledge_touches_one_row(frame):
     assert [(r.anomaly_date, r.acknowledged_by) for r in done.where("acknowledged").collect()] == [(day, "ana")]
 
 
+def test_acknowledge_query_without_a_revenue_anomaly(frame):
+    """No day of the metric stands out: nothing is marked, and the other metric's rows pass through."""
+    values = weekly(80, 3)
+    values[40] *= 3
+    found = anomalies.anomaly_rows(anomalies.detect_anomalies(frame(days(values, "total_orders") + days(weekly(80), "total_revenue"))))
+    stored = SimpleNamespace(table={"ml_anomalies_daily": found.where("metric_name = 'total_orders'")}.get)
+    assert rows(catalog.acknowledge_anomaly(stored)) == [(START + dt.timedelta(days=40), "total_orders", False, None)]
+
+
 def test_lookback_is_inclusive(frame):
     assert series.lookback_filter(frame(days(range(60))), 30).count() == 31
 
