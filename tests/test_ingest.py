@@ -1,13 +1,18 @@
 import datetime as dt
 import json
+import pathlib
 import random
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from basketlake.functions import parsers
 from basketlake.schemas import CSV_COLUMNS, RAW_COLUMNS
-from basketlake.sources import readers, sinks
+from basketlake.shared import cut_lineage
+from basketlake.sources import parts, readers, sinks
 
 
 def model_int(v):
@@ -245,3 +250,22 @@ def test_csv_records_over_several_lines(spark, tmp_path):
     assert len(readers.read_transactions_csv(spark, str(tmp_path / "d" / "*.gz")).collect()) == 2
     (tmp_path / "none").mkdir()
     assert readers.read_transactions_csv(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {f for d in folders for f in pathlib.Path(str(d)).rglob("shuffle_*")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, said = files(), spark.conf.get(setting)
+    sums = lambda: spark.range(4000).withColumn("k", F.col("id") % 100).groupBy("k").agg(F.sum("id").alias("s"))
+    with ThreadPoolExecutor(3) as pool:
+        todo = [pool.submit(inheritable_thread_target(spark)(sinks.write_table), sums(), str(tmp_path / f"t{i}"), partition_by="k", cluster=True) for i in range(3)]
+        assert [t.result() for t in todo] == [100] * 3
+    parts.write(sums(), str(tmp_path / "p"), 0, ["k"])
+    cut = cut_lineage(sums())
+    assert spark.conf.get(setting) == said
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and cut.count() == 100
