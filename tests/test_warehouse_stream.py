@@ -283,3 +283,32 @@ def test_profile_adds_only_new_months(spark, tmp_path):
     exact = {r.column_name: r for r in quality.profile_columns(w.table("stg_transactions_clean"), "t", ["quantity", "country"], exact=True).collect()}
     for c in exact:
         assert (whole[c].total_rows, whole[c].min_value, whole[c].max_value) == (exact[c].total_rows, exact[c].min_value, exact[c].max_value)
+
+
+def test_event_days_parse_a_line_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(value):
+        calls.add(1)
+        return value
+
+    raw, data = skewed_raw(spark, 200)
+    df = raw.withColumn("invoice_date", text(F.col("invoice_date").cast("string")).cast("timestamp_ntz"))
+    kpis = st.DailyKpis(spark, str(tmp_path))
+    kpis.batch(df, 0)
+    assert calls.value == len(data) == kpis.table().agg(F.sum("lines")).first()[0]
+
+
+def test_stream_files_grow_with_the_lines(spark, monkeypatch):
+    """More files, each a task's work, and still three batches of days of their own."""
+    from checks import catalog
+
+    folders = []
+    monkeypatch.setattr(catalog, "LINES_A_FILE", 250)
+    monkeypatch.setattr(catalog, "_STREAMED", {})
+    monkeypatch.setattr(catalog, "_scratch", lambda *a, make=catalog._scratch: folders.append(make(*a)) or folders[-1])
+    log = catalog.QUERIES["stream_run_log"](spark, "/root/testdata/sf0.001").first()
+    assert (log.batches, log.lines) == (3, 3) and log.rows_read == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    counts = [len([n for n in parts.names_in(spark, f) if n.endswith(".csv")]) for f in folders]
+    assert max(counts) > 6
