@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from basketlake.llm import decontaminate, induced, language, lm, mixing, near, neighbours, rangecoder, repeats, sanitise, simhash, tokens, toxicity, trie
+from basketlake.llm import decontaminate, induced, language, lm, mixing, near, neighbours, queries, rangecoder, repeats, sanitise, simhash, tokens, toxicity, trie
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -299,6 +299,33 @@ def test_language_model(docs, nothing, small):
     assert lm.scores(nothing).count() == 0
 
 
+@pytest.mark.parametrize("small", [{}, {"batch_tokens": 300, "shard_tokens": 900}])
+def test_language_model_of_triples(spark, docs, nothing, monkeypatch, small):
+    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
+    every = [(r[0], [*words(r[1]), None]) for r in ROWS]
+    c, pair, triple, texts = collections.Counter(), collections.Counter(), collections.Counter(), 0
+    of = lambda w: list(zip(["<s>", "<s>", *w[:-2]], ["<s>", *w[:-1]], w)) if len(w) > 1 else [("<s>", "<s>", w[0])]  # noqa: B905, E731
+    for d, w in every:
+        if not held(d):
+            c.update(w)
+            pair.update((b, x) for _, b, x in of(w))
+            triple.update(of(w))
+            texts += 1
+    n, v = sum(c.values()), len(c)
+    p = lambda w: (c[w] + 1) / (n + v + 1)
+    q = lambda a, b: (pair[a, b] + lm.MU * p(b)) / ((texts if a == "<s>" else c[a]) + lm.MU)
+    t = lambda a, b, x: (triple[a, b, x] + lm.MU * q(b, x)) / ((texts if b == "<s>" else pair[a, b]) + lm.MU)
+    want = ordered((d, held(d), len(w), sum(x in c for x in w), n, sum(math.log10(p(x)) for x in w), sum(math.log10(t(*x)) for x in of(w))) for d, w in every)
+    got = ordered(r[:7] for r in lm.scores(docs, order=3, **small).collect())
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for g, w in zip(got, want, strict=True):
+        assert g[5] == pytest.approx(w[5], abs=1e-8) and g[6] == pytest.approx(w[6], abs=2.6e-4 * g[2])
+    assert lm.scores(nothing, order=3).count() == 0
+    # The query asks for triples.
+    monkeypatch.setattr(queries, "table", lambda *a: docs)
+    assert [r[6] for r in ordered(r[:7] for r in queries.op4_lm_scores(spark, "").collect())] == pytest.approx([w[6] for w in want], abs=0.3)
+
+
 def test_the_trie_holds_every_pair_of_training(monkeypatch):
     rows = [(i, _PAIRS[i % 3]) for i in range(60)]
     held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
